@@ -70,18 +70,17 @@ def forest_stages(plan: ForestPlan, label: str, seed: int = SPLIT_SEED) -> Pipel
         stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded))
     else:
         encoded = indexed
-    stages += [
-        VectorAssembler(inputCols=[*encoded, *plan.numeric], outputCol="features"),
-        RandomForestClassifier(
-            labelCol=label,
-            featuresCol="features",
-            numTrees=plan.trees,
-            maxDepth=plan.depth,
-            seed=seed,
-            weightCol="class_weight" if plan.balanced else None,
-        ),
-    ]
-    return Pipeline(stages=stages)
+    forest = RandomForestClassifier(
+        labelCol=label,
+        featuresCol="features",
+        numTrees=plan.trees,
+        maxDepth=plan.depth,
+        seed=seed,
+    )
+    if plan.balanced:
+        forest = forest.setWeightCol("class_weight")
+    assembler = VectorAssembler(inputCols=[*encoded, *plan.numeric], outputCol="features")
+    return Pipeline(stages=[*stages, assembler, forest])
 
 
 def training_rows(df: DataFrame, plan: ForestPlan, label: str) -> DataFrame:
@@ -117,12 +116,17 @@ def score(df: DataFrame, model: Transformer) -> DataFrame:
     )
 
 
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """One row from several one-row frames with different columns."""
+    both = rows[0]
+    for r in rows[1:]:
+        both = both.unionByName(r, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 def evaluate(scored: DataFrame, label: str = "is_fraud") -> DataFrame:
     """Metrics of a scored test side, one row."""
-    one = F.lit(1).alias("_row")
-    parts = [precision_recall(scored, label), ranking_metrics(scored, label)]
-    left, right = [p.select("*", one) for p in parts]
-    return left.join(F.broadcast(right), "_row").drop("_row")  # one row each
+    return side_by_side(precision_recall(scored, label), ranking_metrics(scored, label))
 
 
 METRIC_COLUMNS = [
@@ -158,10 +162,9 @@ def predict_and_evaluate(
         ),
         "predictions",
     )
-    one = F.lit(1).alias("_row")
-    counts = split_counts(rows, label).select("*", one)
-    metrics = evaluate(scored, label).select("*", one)
-    return metrics.join(F.broadcast(counts), "_row").select(*METRIC_COLUMNS)
+    return side_by_side(evaluate(scored, label), split_counts(rows, label)).select(
+        *METRIC_COLUMNS
+    )
 
 
 def train_and_evaluate(

@@ -9,6 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.operators.rollup import batch_summary
 from riskweave.schemas import ANALYTICS_COLUMNS, LAKE_COLUMNS, MONEY, OPS_COLUMNS
 
 BATCH = "batch_id"
@@ -135,3 +136,8 @@ def fan_out(scored: DataFrame, batch_id: int, stores: Sequence) -> None:
             store.write(scored, batch_id)
     finally:
         scored.unpersist()
+
+
+def batch_counts(stored: DataFrame) -> DataFrame:
+    """Rows written and flagged per batch of a store."""
+    return batch_summary(stored, BATCH)

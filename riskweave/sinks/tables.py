@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from riskweave.schemas import TABLES
 from riskweave.sinks.stores import write_partitioned
