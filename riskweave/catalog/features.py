@@ -116,9 +116,8 @@ def account_amount_stats(spark, sf_dir):
     " from txn order by account_id, event_time, transaction_id"
 )
 def sort_account_time(spark, sf_dir):
-    return (
-        txn(spark, sf_dir)
-        .select(
+    return features.sort_account_time(
+        txn(spark, sf_dir).select(
             "account_id",
             "event_time",
             "transaction_id",
@@ -126,7 +125,6 @@ def sort_account_time(spark, sf_dir):
             "merchant_category",
             "location",
         )
-        .orderBy("account_id", "event_time", "transaction_id")
     )
 
 

@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import micros, no_nan
-from riskweave.operators.skew import GROUP_ROWS, hot_groups, running_totals, same_keys
+from riskweave.operators.skew import (
+    COPY_BLOCK,
+    GROUP_ROWS,
+    each_copy,
+    hot_groups,
+    running_totals,
+    same_keys,
+)
 from riskweave.schemas import FIRST_EVENT_HOURS, ROLLING_WINDOW_MICROS
 
 FEATURES = [
@@ -36,6 +43,12 @@ def account_amount_stats(df: DataFrame, by: Sequence[str] = ("account_id",)) ->
     )
 
 
+def sort_account_time(df: DataFrame) -> DataFrame:
+    """Rows in order of account, event time and id. The last key lets the range
+    partitioning separate rows that are equal in all three."""
+    return df.orderBy("account_id", "event_time", "transaction_id", F.rand(0))
+
+
 def account_features(
     df: DataFrame,
     by: Sequence[str] = ("account_id",),
@@ -96,55 +109,70 @@ def _by_window(df: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def _by_slices(df: DataFrame, by: list[str], rows: int, slice_rows: int) -> DataFrame:
+def _by_slices(
+    df: DataFrame, by: list[str], rows: int, slice_rows: int, copy_block: int = COPY_BLOCK
+) -> DataFrame:
     """The same features as a sweep over time: each event enters the count at its
-    own time and leaves it one hour later, ahead of the events at that instant."""
-    stats = F.broadcast(account_amount_stats(df, by))
-    us = micros("event_time")
+    own time and leaves it one hour later, ahead of the events at that instant.
+
+    Equal rows, which no order could tell apart, are swept as one with a weight.
+    """
+    stats = F.broadcast(account_amount_stats(df, by))  # one row per hot account
     counted = no_nan("amount").isNotNull().cast("long")
-    sweep = df.select(
-        *by,
-        F.explode(
-            F.array(
-                F.struct(
-                    us.alias("_us"),
-                    F.lit(1).alias("_enters"),
-                    F.col("transaction_id").alias("_id"),
-                    counted.alias("_step"),
-                    us.alias("_seen"),
-                    F.struct(*df.columns).alias("_row"),
-                ),
-                F.struct(
-                    (us + F.lit(ROLLING_WINDOW_MICROS)).alias("_us"),
-                    F.lit(0).alias("_enters"),
-                    F.col("transaction_id").alias("_id"),
-                    (-counted).alias("_step"),
-                    F.lit(None).cast("long").alias("_seen"),
-                    F.lit(None).cast(df.select(F.struct(*df.columns)).schema[0].dataType)
-                    .alias("_row"),
-                ),
-            )
-        ).alias("_e"),
-    ).select(*by, "_e.*")
+    us, copies = micros("event_time"), F.col("_copies")
+    row = F.struct(*df.columns)
+    entry = F.struct(
+        us.alias("_us"),
+        F.lit(1).alias("_enters"),
+        F.col("transaction_id").alias("_id"),
+        F.xxhash64(*df.columns).alias("_tie"),
+        (counted * copies).alias("_step"),
+        us.alias("_seen"),
+        copies.alias("_copies"),
+        row.alias("_row"),
+    )
+    leaving = F.struct(
+        (us + F.lit(ROLLING_WINDOW_MICROS)).alias("_us"),
+        F.lit(0).alias("_enters"),
+        F.col("transaction_id").alias("_id"),
+        F.xxhash64(*df.columns).alias("_tie"),
+        (-counted * copies).alias("_step"),
+        F.lit(None).cast("long").alias("_seen"),
+        F.lit(None).cast("long").alias("_copies"),
+        F.lit(None).cast(df.schema).alias("_row"),
+    )
+    sweep = (
+        df.groupBy(*df.columns)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .select(*by, F.explode(F.array(entry, leaving)).alias("_e"))
+        .select(*by, "_e.*")
+    )
     swept = running_totals(
         sweep,
         by,
-        ["_us", "_enters", "_id"],
+        ["_us", "_enters", "_id", "_tie"],
         rows=2 * rows,
-        sums={FEATURES[2]: "_step"},
+        sums={"_total": "_step"},
         earlier_max={"_previous": "_seen"},
         slice_rows=slice_rows,
     ).filter("_enters = 1")
-    events = swept.select(
-        "_row.*",
-        hours_between(F.col("_us"), F.col("_previous")).alias(FEATURES[1]),
-        FEATURES[2],
+    events = each_copy(
+        swept.select("_row.*", "_us", "_previous", "_total", "_copies"), rows, copy_block
+    )
+    first = F.col("_copy") == 1
+    later = F.col("_copies") - F.col("_copy")
+    timed = events.select(
+        *df.columns,
+        hours_between(
+            F.col("_us"), F.when(first, F.col("_previous")).otherwise(F.col("_us"))
+        ).alias(FEATURES[1]),
+        (F.col("_total") - counted * later).alias(FEATURES[2]),
     )
-    joined = events.join(stats, same_keys(events, stats, by), "left")
-    score = zscore(no_nan(events["amount"]), stats["amount_mean"], stats["amount_std"])
+    joined = timed.join(stats, same_keys(timed, stats, by), "left")
+    score = zscore(no_nan(timed["amount"]), stats["amount_mean"], stats["amount_std"])
     return joined.select(
-        *[events[c] for c in df.columns],
+        *[timed[c] for c in df.columns],
         score.alias(FEATURES[0]),
-        events[FEATURES[1]],
-        events[FEATURES[2]],
+        timed[FEATURES[1]],
+        timed[FEATURES[2]],
     )

@@ -15,6 +15,11 @@ GROUP_ROWS = 5_000_000
 # Hot keys are kept on the driver and broadcast, so their number is limited;
 # the row limit is raised until they fit, which always ends (keys <= rows / limit).
 MAX_HOT_KEYS = 100_000
+# Carried totals are broadcast, one row per slice at most; beyond this number of
+# slices the slices grow instead.
+MAX_SLICES = 20_000
+# A row repeated more often than this is handed out to several tasks.
+COPY_BLOCK = 1_000_000
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -67,7 +72,7 @@ def running_totals(
     cannot be separated by sorting.
     """
     sums, earlier_max = dict(sums or {}), dict(earlier_max or {})
-    slices = math.ceil(rows / slice_rows)
+    slices = min(math.ceil(rows / slice_rows), MAX_SLICES)
     if slices <= 1:
         upto, before = _frames(groups, order)
         return df.select(
@@ -117,6 +122,27 @@ def running_totals(
     )
 
 
+def each_copy(df: DataFrame, rows: int, block: int = COPY_BLOCK) -> DataFrame:
+    """One row per copy, numbered from 1 in `_copy`, of rows that stand for `_copies`
+    equal ones; `rows` bounds the total."""
+    copies = F.col("_copies")
+    few = df.filter(copies <= block).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))
+    )
+    if rows <= block:
+        return few
+    first = F.lit(1).cast("long")
+    last = F.least(F.col("_from") + F.lit(block - 1), copies)
+    many = (
+        df.filter(copies > block)
+        .withColumn("_from", F.explode(F.sequence(first, copies, F.lit(block).cast("long"))))
+        .repartition(min(math.ceil(rows / block), MAX_SLICES))
+        .withColumn("_copy", F.explode(F.sequence(F.col("_from"), last)))
+        .drop("_from")
+    )
+    return few.unionByName(many)
+
+
 def _frames(groups: Sequence[str], order: Sequence[str]):
     w = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(*order)
     start = Window.unboundedPreceding

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from riskweave.functions.columns import split_hash
 from riskweave.schemas import SPLIT_SEED, TRAIN_SHARE
 
+MAX_CLASSES = 100
+
 
 def random_split(
     df: DataFrame,
@@ -51,7 +53,7 @@ def stratified_split(
         .filter("_before < _want and _before + _n >= _want")
         .select("_y", "_cell", (F.col("_want") - F.col("_before")).alias("_left"))
     )
-    # One row per class, and so are both broadcasts.
+    # One row per class.
     h, e = hashed.withColumn("_cell", cell).alias("h"), F.broadcast(end).alias("e")
     inside = (
         h.join(
@@ -68,10 +70,14 @@ def stratified_split(
         .groupBy("_y")
         .agg(F.max("_h").alias("_last"))
     )
-    joined = df.join(F.broadcast(last), df[label].eqNullSafe(last["_y"]), "left")
-    return joined.select(
-        *[df[c] for c in df.columns],
-        F.when(split_hash(df[id_column], seed) <= last["_last"], "train")
-        .otherwise("test")
-        .alias("split"),
-    )
+    # One row per class: the ends become constants, the split a plain expression.
+    ends = last.limit(MAX_CLASSES + 1).collect()
+    if len(ends) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    train = F.lit(False)
+    for r in ends:
+        train = train | (
+            F.col(label).eqNullSafe(F.lit(r["_y"]))
+            & (split_hash(id_column, seed) <= F.lit(r["_last"]))
+        )
+    return df.withColumn("split", F.when(train, "train").otherwise("test"))

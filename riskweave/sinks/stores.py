@@ -100,7 +100,7 @@ class JdbcStore:
 
     def write(self, scored: DataFrame, batch_id: int) -> None:
         spark = scored.sparkSession
-        rows = self.rows(scored)
+        rows = self.rows(scored).dropDuplicates([self.key])
         first, last = rows.agg(F.min(self.time_column), F.max(self.time_column)).first()
         present = (
             spark.read.jdbc(self.url, self.table, properties=self.properties)
