@@ -22,11 +22,12 @@ from riskweave.sources.messages import (
     bounded_drain,
     encode_orders,
     encode_transactions,
+    good_and_bad,
     message_files,
-    order_messages,
     parse_transactions,
+    read_orders,
+    read_transactions,
     source_backlog,
-    split_transactions,
 )
 
 TXN_SQL = """
@@ -84,7 +85,7 @@ def quarantine_bad_messages(spark, sf_dir):
     messages = orders.select(
         "seq", F.when(F.col("seq") % 19 == 0, broken).otherwise(text).alias("value")
     )
-    return order_messages(messages).select("seq", "status", "order_id", "amount")
+    return read_orders(messages).select("seq", "status", "order_id", "amount")
 
 
 @query(
@@ -107,7 +108,7 @@ def quarantine_bad_transactions(spark, sf_dir):
             )
         )
     )
-    good, bad = split_transactions(dirty)
+    good, bad = good_and_bad(read_transactions(dirty))
     bad_id = F.get_json_object(F.col("value").cast("string"), "$.transaction_id")
     return good.select("transaction_id", F.lit("good").alias("status")).unionByName(
         bad.select(bad_id.alias("transaction_id"), F.lit("bad").alias("status"))
@@ -155,7 +156,7 @@ def encode_order_messages(spark, sf_dir):
     orders = order_msgs(spark, sf_dir).select(
         "order_id", "customer_id", "amount", "order_date"
     )
-    return order_messages(encode_orders(orders)).drop("value", "status")
+    return read_orders(encode_orders(orders)).drop("value", "status")
 
 
 @query("select transaction_id, amount, merchant_category from txn", name="select_present_columns")

@@ -63,5 +63,9 @@ def json_records(df: DataFrame) -> DataFrame:
 
 
 def clean_orders(df: DataFrame, run_date: str, flow: str = ORDER_FLOW_NAME) -> DataFrame:
-    """The whole cleaning of order messages."""
-    return json_safe(dedupe_first(stamp_ingest(coerce_types(df), run_date, flow)))
+    """The whole cleaning of order messages.
+
+    The first arrival does not depend on types or stamps, so duplicates go before
+    anything else is done to them or shuffled with them.
+    """
+    return json_safe(stamp_ingest(coerce_types(dedupe_first(df)), run_date, flow))

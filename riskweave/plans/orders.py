@@ -11,7 +11,7 @@ from riskweave.operators.cleaning import clean_orders
 from riskweave.schemas import MAX_MESSAGES, ORDER_FLOW_NAME
 from riskweave.session import written
 from riskweave.sinks.tables import VersionedTable, full_refresh, order_summary_rows
-from riskweave.sources.messages import bounded_drain, split_orders
+from riskweave.sources.messages import bounded_drain, read_orders, split_orders
 
 
 @dataclass(frozen=True)
@@ -35,7 +35,8 @@ def load_orders(
     """
     if limit is not None:
         messages = bounded_drain(messages, limit)
-    good, bad = split_orders(messages)
+    # The queue is read and parsed once; the good and the bad part come from the table.
+    good, bad = split_orders(written(read_orders(messages), "messages"))
     if quarantine:
         bad.write.mode("append").parquet(quarantine)
     # Loaded and checked below; both read the same cleaned rows.

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.functions.columns import event_time_text
+from riskweave.functions.columns import event_time_text, no_nan
 from riskweave.schemas import (
     MAX_MESSAGES,
     ORDER_MESSAGE_SCHEMA,
@@ -70,17 +70,15 @@ def publish_topic(messages: DataFrame, servers: str, topic: str) -> None:
     )
 
 
-def _one_object(value: Column, schema: T.StructType) -> Column:
-    """The single JSON object a message holds, else NULL.
+def _as_list(value: Column, schema: T.StructType) -> Column:
+    """The JSON objects in a message, NULL if it is anything else.
 
-    Reading the text as a list makes trailing text, several objects, lists and
-    bare scalars all fail; bytes that are not UTF-8 are NULL before that.
+    Reading the text as a list makes trailing text, nested lists and bare scalars
+    fail and shows several objects for what they are; bytes that are not UTF-8 are
+    NULL before that.
     """
     text = F.try_validate_utf8(value.cast("string"))
-    listed = F.from_json(
-        F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema)
-    )
-    return F.when(F.size(listed) == 1, listed[0])
+    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema))
 
 
 def parse_transactions(df: DataFrame) -> DataFrame:
@@ -92,67 +90,67 @@ def parse_transactions(df: DataFrame) -> DataFrame:
     ).select(*rest, "_t.*")
 
 
-def split_transactions(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, bad) of a frame of messages.
+def read_transactions(df: DataFrame) -> DataFrame:
+    """Typed transactions from `value`, with `event_time` as a timestamp.
 
-    Good rows are typed, with `event_time` as a timestamp. Bad ones, which keep
-    their text and a reason, do not parse or miss a field no store can do without.
+    `reason` names what is missing in a message that does not parse or lacks a
+    field no store can do without; such a message keeps its `value`.
     """
-    typed = df.select(
-        "*", F.from_json(F.col("value").cast("string"), TRANSACTION_SCHEMA).alias("_t")
-    ).withColumns(
-        {
-            "_time": F.try_to_timestamp("_t.event_time"),
-            "_amount": F.when(~F.isnan("_t.amount"), F.col("_t.amount")),
-        }
-    )
-    absent = [
-        F.col(
-            {"event_time": "_time", "amount": "_amount"}.get(c, f"_t.{c}")
-        ).isNull()
-        for c in TRANSACTION_REQUIRED
-    ]
-    missing = F.concat_ws(
-        ",", *[F.when(a, F.lit(c)) for a, c in zip(absent, TRANSACTION_REQUIRED)]
-    )
-    typed = typed.withColumn("_missing", missing)
     rest = [c for c in df.columns if c not in ("key", "value")]
-    good = typed.filter("_missing = ''").select(
-        *rest,
-        *[
-            {
-                "event_time": F.col("_time").alias("event_time"),
-                "amount": F.col("_amount").alias("amount"),
-            }.get(c, F.col(f"_t.{c}").alias(c))
-            for c in TRANSACTION_SCHEMA.names
-        ],
+    typed = {
+        c: F.col(f"_t.{c}")
+        for c in TRANSACTION_SCHEMA.names
+    } | {
+        "amount": no_nan("_t.amount"),
+        "event_time": F.try_to_timestamp("_t.event_time"),
+    }
+    fields = (
+        df.select(
+            *rest,
+            "value",
+            F.from_json(F.col("value").cast("string"), TRANSACTION_SCHEMA).alias("_t"),
+        )
+        .select(*rest, "value", *[c.alias(n) for n, c in typed.items()])
     )
-    bad = typed.filter("_missing <> ''").select(
-        *df.columns, F.concat(F.lit("missing "), "_missing").alias("reason")
+    missing = [F.when(F.col(c).isNull(), F.lit(c)) for c in TRANSACTION_REQUIRED]
+    reason = F.when(
+        F.concat_ws("", *missing) != "",
+        F.concat(F.lit("missing "), F.concat_ws(",", *missing)),
     )
+    return fields.withColumn("reason", reason).withColumn(
+        "value", F.when(F.col("reason").isNotNull(), F.col("value"))
+    )
+
+
+def good_and_bad(read: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) of `read_transactions` rows. Both look at stored columns only when
+    `read` has been written, so that messages are parsed once."""
+    good = read.filter("reason is null").drop("value", "reason")
+    bad = read.filter("reason is not null").drop(*TRANSACTION_SCHEMA.names)
     return good, bad
 
 
-def order_messages(df: DataFrame) -> DataFrame:
-    """Order fields and a `status` of good or bad for each message in `value`."""
+def read_orders(df: DataFrame) -> DataFrame:
+    """Order fields and a `status` of good or bad for each message in `value`; a bad
+    message keeps its `value`."""
     rest = [c for c in df.columns if c != "value"]
+    # Separate steps, so that each message is parsed once.
     parsed = df.select(
-        *rest, "value", _one_object(F.col("value"), ORDER_MESSAGE_SCHEMA).alias("_o")
-    )
+        *rest, "value", _as_list(F.col("value"), ORDER_MESSAGE_SCHEMA).alias("_l")
+    ).select(*rest, "value", F.when(F.size("_l") == 1, F.col("_l")[0]).alias("_o"))
+    bad = F.col("_o").isNull()
     return parsed.select(
         *rest,
-        "value",
-        F.when(F.col("_o").isNull(), "bad").otherwise("good").alias("status"),
+        F.when(bad, F.col("value")).alias("value"),
+        F.when(bad, "bad").otherwise("good").alias("status"),
         "_o.*",
     )
 
 
-def split_orders(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, bad) of a frame of order messages; bad ones keep their text."""
-    read = order_messages(df)
-    rest = [c for c in df.columns if c != "value"]
-    good = read.filter("status = 'good'").select(*rest, *ORDER_MESSAGE_SCHEMA.names)
-    bad = read.filter("status = 'bad'").select(*rest, "value")
+def split_orders(read: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) of `read_orders` rows."""
+    good = read.filter("status = 'good'").drop("value", "status")
+    bad = read.filter("status = 'bad'").drop("status", *ORDER_MESSAGE_SCHEMA.names)
     return good, bad
 
 

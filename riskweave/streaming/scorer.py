@@ -14,7 +14,7 @@ from riskweave.plans.model import score
 from riskweave.schemas import TRIGGER_INTERVAL
 from riskweave.session import written
 from riskweave.sinks.stores import fan_out, replace_batch
-from riskweave.sources.messages import split_transactions
+from riskweave.sources.messages import good_and_bad, read_transactions
 
 Model = Callable[[], tuple[str, object]]
 
@@ -47,11 +47,8 @@ def batch_writer(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Messages are read from the source once, the rest reads this table.
-        batch = written(batch, "batch")
-        if batch.isEmpty():
-            return
-        good, bad = split_transactions(batch)
+        # The source is read and parsed once, the rest reads this table.
+        good, bad = good_and_bad(written(read_transactions(batch), "batch"))
         if quarantine:
             replace_batch(bad, quarantine, batch_id)
         if good.isEmpty():

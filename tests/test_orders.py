@@ -9,9 +9,10 @@ from riskweave.session import scratch
 from riskweave.sinks.tables import VersionedTable, full_refresh, insert_if_absent
 from riskweave.sources.messages import (
     bounded_drain,
-    order_messages,
+    good_and_bad,
+    read_orders,
+    read_transactions,
     split_orders,
-    split_transactions,
 )
 
 ORDERS = "seq long, order_id string, customer_id string, amount string, order_date string"
@@ -19,10 +20,10 @@ ORDERS = "seq long, order_id string, customer_id string, amount string, order_da
 
 def statuses(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "seq long, value binary")
-    return [r["status"] for r in order_messages(df).orderBy("seq").collect()]
+    return [r["status"] for r in read_orders(df).orderBy("seq").collect()]
 
 
-def test_bad_order_messages(spark):
+def test_bad_read_orders(spark):
     good = [b'{"order_id": "ORD-1", "amount": 12.5}', b'{"amount": "12.5", "other": 1}', b"{}"]
     bad = [
         b"not json",
@@ -49,7 +50,7 @@ def test_quoted_and_bare_numbers_survive(spark):
         [(1, '{"order_id": 7, "amount": 12.5}'), (2, '{"order_id": "7", "amount": "12.5"}')],
         "seq long, value string",
     )
-    good, bad = split_orders(df)
+    good, bad = split_orders(read_orders(df))
     assert bad.count() == 0
     assert {(r["order_id"], r["amount"]) for r in coerce_types(good).collect()} == {("7", 12.5)}
 
@@ -67,7 +68,7 @@ def test_transactions_split(spark):
         None,
     ]
     df = spark.createDataFrame([(v,) for v in values], "value string")
-    good, bad = split_transactions(df)
+    good, bad = good_and_bad(read_transactions(df))
     assert [str(r["event_time"]) for r in good.collect()] == [
         "2024-01-01 00:00:00.123456",
         "2024-01-01 00:00:00",
