@@ -15,6 +15,7 @@ from riskweave.sinks.tables import (
     insert_if_absent as absent_rows,
     order_summary_rows,
 )
+from riskweave.streaming.orders import start_order_load
 
 # Fixed value: the day the loads are run for.
 RUN_DATE = "2024-02-01"
@@ -151,3 +152,18 @@ def verify_output(spark, sf_dir):
         row = checks.verify_output(df, name, spark)
         out = row if out is None else out.unionByName(row)
     return out
+
+
+@query(f"select {SUMMARY} from first_orders where order_id is not null")
+def stream_order_load(spark, sf_dir):
+    root = scratch(spark, "order_stream")
+    order_msgs(spark, sf_dir).select(
+        "seq",
+        F.to_json(F.struct("order_id", "customer_id", "amount", "order_date")).alias("value"),
+    ).write.parquet(f"{root}/in")
+    messages = spark.readStream.schema("seq long, value string").parquet(f"{root}/in")
+    target = VersionedTable(spark, f"{root}/order_summary")
+    start_order_load(
+        messages, target, RUN_DATE, f"{root}/checkpoint", f"{root}/rejected"
+    ).awaitTermination()
+    return target.read()

@@ -10,6 +10,7 @@ from riskweave.operators.checks import verify_output
 from riskweave.operators.cleaning import clean_orders
 from riskweave.schemas import MAX_MESSAGES, ORDER_FLOW_NAME
 from riskweave.session import written
+from riskweave.sinks.stores import replace_batch
 from riskweave.sinks.tables import VersionedTable, full_refresh, order_summary_rows
 from riskweave.sources.messages import bounded_drain, read_orders, split_orders
 
@@ -28,16 +29,21 @@ def load_orders(
     limit: int | None = MAX_MESSAGES,
     flow: str = ORDER_FLOW_NAME,
     skip_if_empty: bool = False,
+    batch_id: int | None = None,
 ) -> OrderLoad:
     """Loads queue messages (`seq`, `value`) into the order summary, replacing it.
 
     `limit` bounds one run to the oldest messages; None takes the whole backlog.
+    Rejected messages are added to `quarantine`, or, with a `batch_id`, take the place
+    of what an earlier try of that batch rejected.
     """
     if limit is not None:
         messages = bounded_drain(messages, limit)
     # The queue is read and parsed once; the good and the bad part come from the table.
     good, bad = split_orders(written(read_orders(messages), "messages"))
-    if quarantine:
+    if quarantine and batch_id is not None:
+        replace_batch(bad, quarantine, batch_id)
+    elif quarantine:
         bad.write.mode("append").parquet(quarantine)
     # Loaded and checked below; both read the same cleaned rows.
     cleaned = written(clean_orders(good, run_date, flow), "cleaned")

@@ -34,6 +34,22 @@ def transaction_topic(
     return reader.load()
 
 
+def order_topic(
+    spark: SparkSession, servers: str, topic: str, max_per_trigger: int = MAX_MESSAGES
+) -> DataFrame:
+    """A stream of queued orders, at most `max_per_trigger` at a time (needs the Kafka
+    connector). `seq` is the arrival time, partition and offset tell equal times apart."""
+    return (
+        spark.readStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("subscribe", topic)
+        .option("startingOffsets", "earliest")
+        .option("maxOffsetsPerTrigger", max_per_trigger)
+        .load()
+        .select(F.unix_micros("timestamp").alias("seq"), "partition", "offset", "value")
+    )
+
+
 def message_files(
     spark: SparkSession, path: str, files_per_trigger: int | None = None
 ) -> DataFrame:
