@@ -15,7 +15,7 @@ from riskweave.plans.model import (
     train_and_evaluate,
 )
 from riskweave.schemas import MIN_PRECISION, MIN_RECALL
-from riskweave.session import session
+from riskweave.session import session, temporary
 from riskweave.sinks.stores import JdbcStore, analytics_rows, ops_rows, table_stores
 from riskweave.sinks.tables import VersionedTable, write_metrics
 from riskweave.sources.files import scan_training_input
@@ -28,8 +28,9 @@ FORESTS = {"behaviour": BEHAVIOUR_FOREST, "simple": SIMPLE_FOREST}
 
 def train(spark: SparkSession, a: argparse.Namespace) -> None:
     rows = scan_training_input(spark, a.input)
-    model, metrics = train_and_evaluate(rows, FORESTS[a.forest], a.label)
-    write_metrics(metrics, a.metrics_out)
+    with temporary(spark):
+        model, metrics = train_and_evaluate(rows, FORESTS[a.forest], a.label)
+        write_metrics(metrics, a.metrics_out)
     if model is not None:
         model.write().overwrite().save(a.model_out)
 

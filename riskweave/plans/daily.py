@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskweave.operators.rollup import daily_fraud_metrics, filter_day
 from riskweave.plans.model import (
@@ -15,6 +16,7 @@ from riskweave.plans.model import (
     train_and_evaluate,
 )
 from riskweave.schemas import MIN_PRECISION, MIN_RECALL
+from riskweave.session import temporary
 from riskweave.sinks.tables import write_daily_metrics, write_metrics
 
 
@@ -27,6 +29,9 @@ class DailyRun:
 
 def refresh_rollup(analytics: DataFrame, day: str, path: str) -> None:
     """The metrics of one day into the rollup table; a rerun replaces that day."""
+    if "scored_month" in analytics.columns:  # lets the scan leave out other months
+        month = day[:4] + day[5:7]
+        analytics = analytics.filter(F.col("scored_month").cast("string") == month)
     write_daily_metrics(daily_fraud_metrics(filter_day(analytics, day)), path)
 
 
@@ -45,9 +50,10 @@ def daily_run(
     current model and is reported, the rollup of the day before is made anyway."""
     snapshot = f"{root}/snapshots/{run_date}"
     history.write.mode("overwrite").parquet(snapshot)
-    model, metrics = train_and_evaluate(spark.read.parquet(snapshot), plan, label)
     metrics_path = f"{root}/metrics/{run_date}"
-    write_metrics(metrics, metrics_path)
+    with temporary(spark):
+        model, metrics = train_and_evaluate(spark.read.parquet(snapshot), plan, label)
+        write_metrics(metrics, metrics_path)
     registry = ModelRegistry(spark, f"{root}/model")
     promoted = False
     if model is not None:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from riskweave.operators.checks import verify_output
 from riskweave.operators.cleaning import clean_orders
 from riskweave.schemas import MAX_MESSAGES, ORDER_FLOW_NAME
-from riskweave.session import written
 from riskweave.sinks.stores import replace_batch
 from riskweave.sinks.tables import VersionedTable, full_refresh, order_summary_rows
 from riskweave.sources.messages import bounded_drain, read_orders, split_orders
@@ -39,14 +39,19 @@ def load_orders(
     """
     if limit is not None:
         messages = bounded_drain(messages, limit)
-    # The queue is read and parsed once; the good and the bad part come from the table.
-    good, bad = split_orders(written(read_orders(messages), "messages"))
-    if quarantine and batch_id is not None:
-        replace_batch(bad, quarantine, batch_id)
-    elif quarantine:
-        bad.write.mode("append").parquet(quarantine)
-    # Loaded and checked below; both read the same cleaned rows.
-    cleaned = written(clean_orders(good, run_date, flow), "cleaned")
-    loaded = full_refresh(target, order_summary_rows(cleaned, run_date), skip_if_empty)
-    status = verify_output(cleaned, "cleaned_orders", cleaned.sparkSession).first()
-    return OrderLoad(loaded, status["status"])
+    # The queue is read and parsed once; the good and the bad part come from the copy.
+    read = read_orders(messages).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        good, bad = split_orders(read)
+        if quarantine and batch_id is not None:
+            replace_batch(bad, quarantine, batch_id)
+        elif quarantine:
+            bad.write.mode("append").parquet(quarantine)
+        cleaned = clean_orders(good, run_date, flow)
+        rows = order_summary_rows(cleaned, run_date)
+        loaded = full_refresh(target, rows, skip_if_empty)
+        # Cleaning leaves rows exactly when there were good messages.
+        status = verify_output(good, "cleaned_orders", good.sparkSession).first()["status"]
+    finally:
+        read.unpersist()
+    return OrderLoad(loaded, status)

@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 from riskweave.functions.columns import flagged
 
 
+# Declared, so that the zone-less `ts` reads as a timestamp of the session's zone and
+# conditions on it reach the scan.
+EVENTS = (
+    "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -19,13 +26,13 @@ def _props_k():
 
 def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions: the six message fields, event time as a timestamp."""
-    return table(spark, sf_dir, "events").select(
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").select(
         F.col("event_id").cast("string").alias("transaction_id"),
         F.col("user_id").cast("string").alias("account_id"),
         F.col("value").alias("amount"),
         F.col("event_type").alias("merchant_category"),
         F.concat(F.lit("L"), (_props_k() % 10).cast("string")).alias("location"),
-        F.col("ts").cast("timestamp").alias("event_time"),
+        F.col("ts").alias("event_time"),
     )
 
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_given_out: ContextVar[list[str] | None] = ContextVar("given_out", default=None)
 
 
 def session(app: str = "riskweave", **conf: str) -> SparkSession:
@@ -41,7 +45,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/riskweave/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/riskweave/{name}-{uuid.uuid4().hex}"
+    paths = _given_out.get()
+    if paths is not None:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Removes, at the end of the block, the scratch paths given out within it."""
+    paths: list[str] = []
+    token = _given_out.set(paths)
+    try:
+        yield
+    finally:
+        _given_out.reset(token)
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for path in paths:
+            folder = hadoop.Path(path)
+            fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+            fs.delete(folder, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

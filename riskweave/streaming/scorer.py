@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskweave.operators.features import account_features
 from riskweave.plans.model import score
 from riskweave.schemas import TRIGGER_INTERVAL
-from riskweave.session import written
+from riskweave.session import temporary
 from riskweave.sinks.stores import fan_out, replace_batch
 from riskweave.sources.messages import good_and_bad, read_transactions
 
@@ -47,15 +48,20 @@ def batch_writer(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # The source is read and parsed once, the rest reads this table.
-        good, bad = good_and_bad(written(read_transactions(batch), "batch"))
-        if quarantine:
-            replace_batch(bad, quarantine, batch_id)
-        if good.isEmpty():
-            return
-        _, fitted = model()
-        rows = score_batch(good, fitted, by=by)
-        fan_out(scored_at(rows) if scored_at else rows, batch_id, stores)
+        # The source is read and parsed once; a lost executor reads its part again.
+        read = read_transactions(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            with temporary(batch.sparkSession):
+                good, bad = good_and_bad(read)
+                if quarantine:
+                    replace_batch(bad, quarantine, batch_id)
+                if good.isEmpty():
+                    return
+                _, fitted = model()
+                rows = score_batch(good, fitted, by=by)
+                fan_out(scored_at(rows) if scored_at else rows, batch_id, stores)
+        finally:
+            read.unpersist()
 
     return write
 
