@@ -23,8 +23,8 @@ PRECISION_SQL = """
   coalesce(round(2 * sum(is_fraud * is_flagged)
     / cast(nullif(sum(is_flagged) + sum(is_fraud), 0) as double), 6), 0.0) as f1
 """
-RANKING_SQL = """
-  g as (select fraud_probability p, sum(is_fraud) pos, count(*) n from scored group by 1),
+RANKED = """
+  g as (select fraud_probability p, sum(is_fraud) pos, count(*) n from {source} group by 1),
   c as (select p, pos, n, sum(pos) over (order by p desc) tp, sum(n) over (order by p desc) cn,
                sum(pos) over () pt, sum(n) over () nt from g),
   ranked as (
@@ -32,6 +32,7 @@ RANKING_SQL = """
            round(sum(cast(pos as double) * (nt - pt - (cn - tp)) + 0.5 * cast(pos as double) * (n - pos))
                  / (max(pt) * cast(max(nt - pt) as double)), 6) roc_auc
     from c)"""
+RANKING_SQL = RANKED.format(source="scored")
 
 
 def stand_in_model(scale: float) -> PipelineModel:
@@ -191,8 +192,25 @@ def train_forest(spark, sf_dir):
     )
 
 
-@query()
+@query(
+    f"""
+, split as (select * from {SPLIT_SQL}),
+tested as (select * from split where split = 'test'), {RANKED.format(source="tested")}
+select {PRECISION_SQL}, (select roc_auc from ranked) roc_auc,
+       (select avg_precision from ranked) avg_precision, round(avg(is_fraud), 6) fraud_rate_test,
+       (select count(*) from split where split = 'train') n_train, count(*) n_test,
+       (select count(*) from split) n_samples
+from tested
+"""
+)
 def predict_and_evaluate(spark, sf_dir):
+    rows = models.training_rows(scored(spark, sf_dir), models.BEHAVIOUR_FOREST, "is_fraud")
+    measured = models.predict_and_evaluate(rows, stand_in_model(200.0))
+    return rounded(measured, *[c for c in measured.columns if not c.startswith("n_")])
+
+
+@query()
+def train_and_evaluate_simple_forest(spark, sf_dir):
     _, measured = models.train_and_evaluate(scored(spark, sf_dir), models.SIMPLE_FOREST)
     return rounded(measured, *[c for c in measured.columns if not c.startswith("n_")])
 

@@ -6,7 +6,7 @@ from conftest import SF_DIR
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-ROWS_ONLY = {"predict_and_evaluate"}
+ROWS_ONLY = {"train_and_evaluate_simple_forest"}
 
 
 @pytest.fixture(scope="module")
