@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -71,7 +71,7 @@ class TableStore:
     """A Parquet table that a batch can be written to again without doubling rows."""
 
     path: str
-    rows: object
+    rows: Callable[[DataFrame], DataFrame]
     partitions: tuple[str, ...] = ()
     clustered: tuple[str, ...] = ()
 
@@ -92,7 +92,7 @@ class JdbcStore:
 
     url: str
     table: str
-    rows: object
+    rows: Callable[[DataFrame], DataFrame]
     properties: dict = field(default_factory=dict)
     time_column: str = "event_time"
     key: str = "transaction_id"
