@@ -80,6 +80,7 @@ def orders(spark: SparkSession, a: argparse.Namespace) -> None:
         a.checkpoint,
         a.quarantine,
         skip_if_empty=a.skip_if_empty,
+        keep_versions=a.keep_versions,
     ).awaitTermination()
 
 
@@ -114,6 +115,7 @@ def parser() -> argparse.ArgumentParser:
     j = job(orders, "orders", ["servers", "topic", "target", "checkpoint", "run-date"])
     j.add_argument("--quarantine")
     j.add_argument("--skip-if-empty", action="store_true")
+    j.add_argument("--keep-versions", type=int, default=24)
     return p
 
 

@@ -30,6 +30,7 @@ def load_orders(
     flow: str = ORDER_FLOW_NAME,
     skip_if_empty: bool = False,
     batch_id: int | None = None,
+    keep_versions: int | None = None,
 ) -> OrderLoad:
     """Loads queue messages (`seq`, `value`) into the order summary, replacing it.
 
@@ -49,7 +50,7 @@ def load_orders(
             bad.write.mode("append").parquet(quarantine)
         cleaned = clean_orders(good, run_date, flow)
         rows = order_summary_rows(cleaned, run_date)
-        loaded = full_refresh(target, rows, skip_if_empty)
+        loaded = full_refresh(target, rows, skip_if_empty, keep_versions)
         # Cleaning leaves rows exactly when there were good messages.
         status = verify_output(good, "cleaned_orders", good.sparkSession).first()["status"]
     finally:

@@ -61,11 +61,15 @@ def temporary(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _given_out.reset(token)
-        hadoop = spark._jvm.org.apache.hadoop.fs
         for path in paths:
-            folder = hadoop.Path(path)
-            fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-            fs.delete(folder, True)
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder on whatever file system the path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(folder, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from riskweave.operators.rollup import batch_summary
 from riskweave.schemas import ANALYTICS_COLUMNS, LAKE_COLUMNS, MONEY, OPS_COLUMNS
 
 BATCH = "batch_id"
+log = logging.getLogger(__name__)
 
 
 def ops_rows(scored: DataFrame) -> DataFrame:
@@ -127,15 +129,19 @@ def table_stores(root: str) -> list[TableStore]:
     ]
 
 
-def fan_out(scored: DataFrame, batch_id: int, stores: Sequence) -> None:
-    """One scored batch to every store. It is kept meanwhile, so all stores get the
-    same rows and the scoring runs once."""
+def fan_out(scored: DataFrame, batch_id: int, stores: Sequence) -> Row:
+    """One scored batch to every store; returns and logs how many rows were scored and
+    how many flagged. The rows are kept meanwhile, so all stores get the same ones and
+    the scoring runs once."""
     scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        counts = batch_counts(scored.withColumn(BATCH, F.lit(batch_id))).first()
         for store in stores:
             store.write(scored, batch_id)
     finally:
         scored.unpersist()
+    log.info("batch %d: %d scored, %d flagged", *counts)
+    return counts
 
 
 def batch_counts(stored: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.schemas import TABLES
+from riskweave.session import remove
 from riskweave.sinks.stores import write_partitioned
 
 
@@ -35,18 +36,32 @@ class VersionedTable:
         ).withColumn("promoted_at", F.current_timestamp())
         pointer.coalesce(1).write.mode("append").parquet(f"{self.root}/pointer")
 
-    def pointer(self) -> DataFrame | None:
-        """The current pointer row, None before the first version."""
+    def _history(self) -> DataFrame | None:
         try:
-            history = self.spark.read.schema(
+            return self.spark.read.schema(
                 "version string, path string, promoted_at timestamp"
             ).parquet(f"{self.root}/pointer")
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
+
+    def pointer(self) -> DataFrame | None:
+        """The current pointer row, None before the first version."""
+        history = self._history()
+        if history is None:
+            return None
         return history.orderBy(F.col("promoted_at").desc()).limit(1)
 
+    def forget(self, keep: int) -> None:
+        """Removes the folders of all but the `keep` newest versions."""
+        if (history := self._history()) is None:
+            return
+        newest = history.groupBy("path").agg(F.max("promoted_at").alias("at"))
+        old = newest.orderBy(F.col("at").desc()).offset(keep).select("path")
+        for row in old.collect():  # a path per load
+            remove(self.spark, row["path"])
+
     def read(self) -> DataFrame | None:
         now = self.pointer()
         return None if now is None else self.spark.read.parquet(now.first()["path"])
@@ -62,14 +77,23 @@ def order_summary_rows(cleaned: DataFrame, load_date: str) -> DataFrame:
     )
 
 
-def full_refresh(table: VersionedTable, df: DataFrame, skip_if_empty: bool = False) -> int:
+def full_refresh(
+    table: VersionedTable,
+    df: DataFrame,
+    skip_if_empty: bool = False,
+    keep_versions: int | None = None,
+) -> int:
     """Replaces all rows of the table and returns how many it holds now.
 
-    An empty set empties the table unless `skip_if_empty` keeps what is there.
+    An empty set empties the table unless `skip_if_empty` keeps what is there. Older
+    versions stay, for readers under way, or the newest `keep_versions` of them.
     """
     if skip_if_empty and df.isEmpty():
         return 0
-    return table.spark.read.parquet(table.replace(df)).count()
+    path = table.replace(df)
+    if keep_versions:
+        table.forget(keep_versions)
+    return table.spark.read.parquet(path).count()
 
 
 def insert_if_absent(new: DataFrame, present: DataFrame, key: str = "order_id") -> DataFrame:

@@ -1,6 +1,7 @@
 """Messages and the order load."""
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from riskweave.operators.checks import table_checks, verify_output
 from riskweave.operators.cleaning import clean_orders, coerce_types, dedupe_first, json_records
@@ -166,3 +167,13 @@ def test_full_refresh_returns_count(spark):
     assert full_refresh(target, spark.range(5).toDF("order_id")) == 5
     assert full_refresh(target, spark.range(3).toDF("order_id")) == 3
     assert target.read().count() == 3
+
+
+def test_old_versions_are_forgotten(spark):
+    target = VersionedTable(spark, scratch(spark, "t"))
+    paths = [target.replace(spark.range(i)) for i in range(4)]
+    assert full_refresh(target, spark.range(9), keep_versions=2) == 9
+    assert target.read().count() == 9
+    assert spark.read.parquet(paths[3]).count() == 3
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(paths[2])

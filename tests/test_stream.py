@@ -6,7 +6,7 @@ from riskweave.catalog.stream import _deliver, feature_model
 from riskweave.plans import model as models
 from riskweave.plans.views import scored, txn
 from riskweave.session import scratch
-from riskweave.sinks.stores import JdbcStore, batch_counts, ops_rows, table_stores
+from riskweave.sinks.stores import JdbcStore, batch_counts, fan_out, ops_rows, table_stores
 from riskweave.sources.files import scan_training_input
 from riskweave.sources.messages import encode_transactions, message_files
 from riskweave.streaming.scorer import batch_writer, start_scoring
@@ -49,6 +49,12 @@ def test_replayed_batch_replaces_itself(spark, sf_dir):
         assert got == {0: 1000, 1: 1000}
 
 
+def test_fan_out_reports_counts(spark, sf_dir):
+    rows = scored(spark, sf_dir)
+    got = fan_out(rows, 7, table_stores(scratch(spark, "counts")))
+    assert tuple(got) == (7, 1000, rows.filter("is_flagged = 1").count())
+
+
 def test_empty_batch_writes_nothing(spark, sf_dir):
     root = scratch(spark, "empty")
     write = batch_writer(lambda: 1 / 0, table_stores(root), f"{root}/rejected")
