@@ -12,6 +12,7 @@ from riskweave.plans.model import (
     BEHAVIOUR_FOREST,
     SIMPLE_FOREST,
     ModelRegistry,
+    stamp_metrics,
     train_and_evaluate,
 )
 from riskweave.schemas import MIN_PRECISION, MIN_RECALL
@@ -30,7 +31,7 @@ def train(spark: SparkSession, a: argparse.Namespace) -> None:
     rows = scan_training_input(spark, a.input)
     with temporary(spark):
         model, metrics = train_and_evaluate(rows, FORESTS[a.forest], a.label)
-        write_metrics(metrics, a.metrics_out)
+        write_metrics(stamp_metrics(metrics, a.model_out), a.metrics_out)
     if model is not None:
         model.write().overwrite().save(a.model_out)
 

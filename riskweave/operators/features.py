@@ -35,6 +35,10 @@ def hours_between(later: Column, earlier: Column) -> Column:
     return F.coalesce((later - earlier) / F.lit(3.6e9), F.lit(FIRST_EVENT_HOURS))
 
 
+def _if_timed(count: Column) -> Column:
+    return F.when(F.col("_us").isNull(), F.lit(0).cast("long")).otherwise(count)
+
+
 def account_amount_stats(df: DataFrame, by: Sequence[str] = ("account_id",)) -> DataFrame:
     """Mean and sample standard deviation of the amounts of each account."""
     amount = no_nan("amount")
@@ -58,11 +62,13 @@ def account_features(
 
     The account's mean and deviation run over all of its rows; the previous event
     and the count over (t - 1h, t] follow event time, ties in order of
-    transaction_id, so a row sees of its peers only those before it. `by` may name
-    further group columns, e.g. the batch a row came in.
+    transaction_id, so a row sees of its peers only those before it. A row without
+    a time counts nothing and is counted by none. `by` may name further group
+    columns, e.g. the batch a row came in.
 
     Accounts of ordinary size share one shuffle on `by`. Those above
-    `max_group_rows` are cut into slices of time instead.
+    `max_group_rows` are cut into slices of time instead. They are looked for when
+    the frame is built, so `df` cannot be a stream, but may be one of its batches.
     """
     by = list(by)
     hot, hot_rows = hot_groups(df, by, max_group_rows)
@@ -104,7 +110,7 @@ def _by_window(df: DataFrame, by: list[str]) -> DataFrame:
             *df.columns,
             zscore(amount, F.col("_mean"), F.col("_std")).alias(FEATURES[0]),
             hours_between(F.col("_us"), F.col("_previous")).alias(FEATURES[1]),
-            (F.col("_upto") - F.col("_expired")).alias(FEATURES[2]),
+            _if_timed(F.col("_upto") - F.col("_expired")).alias(FEATURES[2]),
         )
     )
 
@@ -166,7 +172,7 @@ def _by_slices(
         hours_between(
             F.col("_us"), F.when(first, F.col("_previous")).otherwise(F.col("_us"))
         ).alias(FEATURES[1]),
-        (F.col("_total") - counted * later).alias(FEATURES[2]),
+        _if_timed(F.col("_total") - counted * later).alias(FEATURES[2]),
     )
     joined = timed.join(stats, same_keys(timed, stats, by), "left")
     score = zscore(no_nan(timed["amount"]), stats["amount_mean"], stats["amount_std"])

@@ -13,6 +13,7 @@ from riskweave.plans.model import (
     BEHAVIOUR_FOREST,
     ForestPlan,
     ModelRegistry,
+    stamp_metrics,
     train_and_evaluate,
 )
 from riskweave.schemas import MIN_PRECISION, MIN_RECALL
@@ -53,6 +54,7 @@ def daily_run(
     metrics_path = f"{root}/metrics/{run_date}"
     with temporary(spark):
         model, metrics = train_and_evaluate(spark.read.parquet(snapshot), plan, label)
+        metrics = stamp_metrics(metrics, run_date)
         write_metrics(metrics, metrics_path)
     registry = ModelRegistry(spark, f"{root}/model")
     promoted = False

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassifier
@@ -167,6 +168,16 @@ def predict_and_evaluate(
     )
 
 
+def stamp_metrics(metrics: DataFrame, version: str) -> DataFrame:
+    """Metrics with the version they belong to and the time of training."""
+    return metrics.withColumns(
+        {
+            "model_version": F.lit(version),
+            "trained_at": F.lit(datetime.now(timezone.utc)),
+        }
+    )
+
+
 def train_and_evaluate(
     df: DataFrame, plan: ForestPlan = BEHAVIOUR_FOREST, label: str = "is_fraud"
 ) -> tuple[PipelineModel | None, DataFrame]:

@@ -40,19 +40,21 @@ def write_partitioned(
     partitions: Sequence[str] = (),
     clustered: Sequence[str] = (),
     mode: str = "append",
+    batch: Sequence[str] = (),
 ) -> None:
     """Parquet below `path`, rows of a partition together and files of even size.
 
     The rebalance splits a partition that holds most of the rows over several
-    tasks and merges small ones; `clustered` orders the rows inside each file.
+    tasks and merges small ones; `clustered` orders the rows inside each file. `batch`
+    are further partition columns with one value in all of `df`.
     """
     if partitions:
         df = df.hint("rebalance", *partitions)
     if clustered:
-        df = df.sortWithinPartitions(*partitions, *clustered)
+        df = df.sortWithinPartitions(*partitions, *batch, *clustered)
     writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    if partitions:
-        writer = writer.partitionBy(*partitions)
+    if partitions or batch:
+        writer = writer.partitionBy(*partitions, *batch)
     writer.parquet(path)
 
 
@@ -65,7 +67,7 @@ def replace_batch(
 ) -> None:
     """The rows of one batch, in place of what an earlier try of it left behind."""
     stamped = df.withColumn(BATCH, F.lit(batch_id).cast("long"))
-    write_partitioned(stamped, path, [*partitions, BATCH], clustered, mode="overwrite")
+    write_partitioned(stamped, path, partitions, clustered, "overwrite", [BATCH])
 
 
 @dataclass(frozen=True)

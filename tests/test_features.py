@@ -113,6 +113,20 @@ def test_not_a_number_counts_as_absent(spark):
     }
 
 
+@pytest.mark.parametrize("limit", [100, 1])
+def test_rows_without_a_time(spark, limit):
+    timed = frame(spark, [("c", "x", 3.0, 0), ("d", "x", 4.0, 10)])
+    untimed = spark.createDataFrame([("a", "x", 1.0, None), ("b", "x", 2.0, None)], SCHEMA)
+    got_rows = account_features(timed.unionByName(untimed), max_group_rows=limit).collect()
+    assert {(r["transaction_id"], r[COUNT]) for r in got_rows} == {
+        ("a", 0),
+        ("b", 0),
+        ("c", 1),
+        ("d", 2),
+    }
+    assert [r[HOURS] for r in got_rows if r["transaction_id"] in "abc"] == [24.0] * 3
+
+
 @pytest.mark.parametrize("block", [1_000_000, 7])
 def test_many_copies_of_one_row(spark, block):
     rows = [("a", "x", 1.0, 0)] + [("b", "x", 2.0, 10)] * 50 + [("c", "x", 4.0, HOUR + 5)]
