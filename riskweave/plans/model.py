@@ -7,7 +7,12 @@ from datetime import datetime, timezone
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,28 +59,38 @@ SIMPLE_FOREST = ForestPlan(
 )
 
 
-def forest_stages(plan: ForestPlan, label: str, seed: int = SPLIT_SEED) -> Pipeline:
-    """Category indexing, encoding and the forest as one estimator.
+def category_indexer() -> StringIndexer:
+    """Indexes both categories; one unseen in training gets an index of its own."""
+    return StringIndexer(
+        inputCols=CATEGORY_FEATURES,
+        outputCols=[f"{c}_index" for c in CATEGORY_FEATURES],
+        handleInvalid="keep",
+    )
+
 
-    The vocabularies are learnt from the training side only; a category unseen in
-    training encodes as zeros (one-hot) or as an index of its own.
+def forest_stages(
+    plan: ForestPlan, indexer: StringIndexerModel, label: str, seed: int = SPLIT_SEED
+) -> Pipeline:
+    """Indexing, encoding and the forest as one estimator.
+
+    One-hot, the index of unseen categories is the one left out, so they encode as
+    zeros. Indexed, a tree needs as many bins as there are categories.
     """
-    indexed = [f"{c}_index" for c in CATEGORY_FEATURES]
-    stages = [
-        StringIndexer(
-            inputCols=CATEGORY_FEATURES, outputCols=indexed, handleInvalid="keep"
-        )
-    ]
+    columns = indexer.getOutputCols()
+    stages = [indexer]
+    bins = RandomForestClassifier().getMaxBins()
     if plan.one_hot:
         encoded = [f"{c}_onehot" for c in CATEGORY_FEATURES]
-        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded))
+        stages.append(OneHotEncoder(inputCols=columns, outputCols=encoded))
     else:
-        encoded = indexed
+        encoded = columns
+        bins = max(bins, *[len(labels) + 1 for labels in indexer.labelsArray])
     forest = RandomForestClassifier(
         labelCol=label,
         featuresCol="features",
         numTrees=plan.trees,
         maxDepth=plan.depth,
+        maxBins=bins,
         seed=seed,
     )
     if plan.balanced:
@@ -98,11 +113,12 @@ def training_rows(df: DataFrame, plan: ForestPlan, label: str) -> DataFrame:
 def train_forest(
     rows: DataFrame, plan: ForestPlan = BEHAVIOUR_FOREST, label: str = "is_fraud"
 ) -> PipelineModel:
-    """A fitted model from the training side of `training_rows`."""
+    """A fitted model from the training side of `training_rows`; the vocabularies are
+    learnt from that side only."""
     train = rows.filter("split = 'train'")
     if plan.balanced:
         train = with_class_weights(train, label)
-    return forest_stages(plan, label).fit(train)
+    return forest_stages(plan, category_indexer().fit(train), label).fit(train)
 
 
 def score(df: DataFrame, model: Transformer) -> DataFrame:

@@ -94,6 +94,14 @@ def test_forest_scores_unseen_categories(spark, rows):
     assert models.score(new, loaded).exceptAll(got).count() == 0
 
 
+def test_indexed_forest_takes_many_categories(rows):
+    wide = rows.withColumn("location", F.concat(F.lit("L"), F.col("transaction_id") % 90))
+    plan = models.ForestPlan(("amount",), False, 2, 2, False, False)
+    model = models.train_forest(models.training_rows(wide, plan, "is_flagged"), plan, "is_flagged")
+    assert model.stages[-1].getMaxBins() > 80
+    assert models.score(rows.drop("is_flagged", "fraud_probability"), model).count() == 1000
+
+
 def test_training_metrics(rows):
     model, measured = models.train_and_evaluate(rows, SMALL)
     got = measured.first()
