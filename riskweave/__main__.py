@@ -65,7 +65,7 @@ def score(spark: SparkSession, a: argparse.Namespace) -> None:
             time_column="scored_at",
         )
     start_scoring(
-        transaction_topic(spark, a.servers, a.topic),
+        transaction_topic(spark, a.servers, a.topic, max_per_trigger=a.max_per_trigger),
         ModelRegistry(spark, a.models).current,
         [ops, lake, analytics],
         a.checkpoint,
@@ -111,6 +111,7 @@ def parser() -> argparse.ArgumentParser:
     j.add_argument("--min-precision", type=float, default=MIN_PRECISION)
     j = job(score, "score", ["servers", "models", "stores", "checkpoint"])
     j.add_argument("--topic", default="transactions")
+    j.add_argument("--max-per-trigger", type=int)
     j.add_argument("--ops-jdbc-url")
     j.add_argument("--analytics-jdbc-url")
     j = job(orders, "orders", ["servers", "topic", "target", "checkpoint", "run-date"])

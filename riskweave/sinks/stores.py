@@ -101,6 +101,7 @@ class JdbcStore:
     time_column: str = "event_time"
     key: str = "transaction_id"
     batch_rows: int = 10_000
+    connections: int = 32
 
     def write(self, scored: DataFrame, batch_id: int) -> None:
         spark = scored.sparkSession
@@ -111,7 +112,11 @@ class JdbcStore:
             .filter(F.col(self.time_column).between(F.lit(first), F.lit(last)))
             .select(self.key)
         )
-        properties = {**self.properties, "batchsize": str(self.batch_rows)}
+        properties = {
+            **self.properties,
+            "batchsize": str(self.batch_rows),
+            "numPartitions": str(self.connections),
+        }
         rows.join(present, self.key, "left_anti").select(*rows.columns).write.jdbc(
             self.url, self.table, mode="append", properties=properties
         )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from riskweave.functions.columns import event_time_text, no_nan
 from riskweave.schemas import (
@@ -205,3 +206,8 @@ def bounded_drain(df: DataFrame, limit: int = MAX_MESSAGES, by: str = "seq") ->
 def source_backlog(df: DataFrame) -> DataFrame:
     """How many messages are pending."""
     return df.agg(F.count(F.lit(1)).alias("pending"))
+
+
+def rows_taken(query: StreamingQuery) -> int:
+    """How many rows the recent batches of a stream took from its sources."""
+    return sum(p["numInputRows"] for p in query.recentProgress)

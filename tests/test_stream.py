@@ -8,7 +8,7 @@ from riskweave.plans.views import scored, txn
 from riskweave.session import scratch
 from riskweave.sinks.stores import JdbcStore, batch_counts, fan_out, ops_rows, table_stores
 from riskweave.sources.files import scan_training_input
-from riskweave.sources.messages import encode_transactions, message_files
+from riskweave.sources.messages import encode_transactions, message_files, rows_taken
 from riskweave.streaming.scorer import batch_writer, start_scoring
 
 
@@ -37,6 +37,20 @@ def test_stream_with_forest_and_quarantine(spark, sf_dir):
     assert len(times[0]) == 1 and times[0] == times[1] == times[2]
 
 
+def test_rows_taken(spark, sf_dir):
+    root = scratch(spark, "taken")
+    _deliver(txn(spark, sf_dir), f"{root}/in")
+    query = start_scoring(
+        message_files(spark, f"{root}/in"),
+        lambda: ("v", feature_model()),
+        table_stores(f"{root}/stores"),
+        f"{root}/checkpoint",
+        available_now=True,
+    )
+    query.awaitTermination()
+    assert rows_taken(query) >= 1000  # a batch is read once per look at its source
+
+
 def test_replayed_batch_replaces_itself(spark, sf_dir):
     root = scratch(spark, "replay")
     stores = table_stores(f"{root}/stores")
@@ -114,5 +128,6 @@ def test_jdbc_store_leaves_out_present_ids(spark, sf_dir, monkeypatch):
     JdbcStore("jdbc:any", "transactions_scored", ops_rows, {"user": "u"}).write(
         rows.unionByName(rows), 0
     )
-    assert sent["mode"] == "append" and sent["properties"]["batchsize"] == "10000"
+    assert sent["mode"] == "append"
+    assert sent["properties"] == {"user": "u", "batchsize": "10000", "numPartitions": "32"}
     assert sent["rows"] == rows.filter("is_flagged = 0").count()
