@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +41,7 @@ def stratified_split(
     """
     hashed = df.select(F.col(label).alias("_y"), split_hash(id_column, seed).alias("_h"))
     cell = F.substring("_h", 1, 4)
+    part = F.lit(Decimal(str(share)))  # as a double, 0.8 * n may end above a whole number
     # At most 65,536 cells per class, whatever the number of rows.
     cells = hashed.groupBy("_y", cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
     per_class = Window.partitionBy("_y")
@@ -47,7 +50,7 @@ def stratified_split(
         cells.withColumns(
             {
                 "_before": F.coalesce(F.sum("_n").over(behind), F.lit(0)),
-                "_want": F.ceil(F.lit(share) * F.sum("_n").over(per_class)),
+                "_want": F.ceil(part * F.sum("_n").over(per_class)).cast("long"),
             }
         )
         .filter("_before < _want and _before + _n >= _want")

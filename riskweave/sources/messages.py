@@ -114,21 +114,15 @@ def read_transactions(df: DataFrame) -> DataFrame:
     field no store can do without; such a message keeps its `value`.
     """
     rest = [c for c in df.columns if c not in ("key", "value")]
-    typed = {
-        c: F.col(f"_t.{c}")
-        for c in TRANSACTION_SCHEMA.names
-    } | {
+    typed = {c: F.col(f"_t.{c}") for c in TRANSACTION_SCHEMA.names} | {
         "amount": no_nan("_t.amount"),
         "event_time": F.try_to_timestamp("_t.event_time"),
     }
-    fields = (
-        df.select(
-            *rest,
-            "value",
-            F.from_json(F.col("value").cast("string"), TRANSACTION_SCHEMA).alias("_t"),
-        )
-        .select(*rest, "value", *[c.alias(n) for n, c in typed.items()])
-    )
+    fields = df.select(
+        *rest,
+        "value",
+        F.from_json(F.col("value").cast("string"), TRANSACTION_SCHEMA).alias("_t"),
+    ).select(*rest, "value", *[c.alias(n) for n, c in typed.items()])
     missing = [F.when(F.col(c).isNull(), F.lit(c)) for c in TRANSACTION_REQUIRED]
     reason = F.when(
         F.concat_ws("", *missing) != "",
@@ -140,8 +134,8 @@ def read_transactions(df: DataFrame) -> DataFrame:
 
 
 def good_and_bad(read: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, bad) of `read_transactions` rows. Both look at stored columns only when
-    `read` has been written, so that messages are parsed once."""
+    """(good, bad) of `read_transactions` rows; persist those first, so that each
+    message is parsed once."""
     good = read.filter("reason is null").drop("value", "reason")
     bad = read.filter("reason is not null").drop(*TRANSACTION_SCHEMA.names)
     return good, bad
@@ -184,7 +178,7 @@ def bounded_drain(df: DataFrame, limit: int = MAX_MESSAGES, by: str = "seq") ->
     before = 0  # messages below `low`, all of them wanted
     while True:
         step = max((high - low) // 1000, 1)
-        cell = F.floor((F.col(by) - F.lit(low)) / F.lit(step)).cast("long")
+        cell = F.expr(f"(`{by}` - {low}L) div {step}L")  # exact, unlike a double quotient
         counts = (
             df.filter(F.col(by).between(low, high))
             .groupBy(cell.alias("cell"))

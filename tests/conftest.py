@@ -25,6 +25,7 @@ def spark(tmp_path_factory):
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
             "spark.driver.bindAddress": "127.0.0.1",
+            "spark.driver.host": "127.0.0.1",
             "spark.checkpoint.dir": shared,
             "spark.sql.warehouse.dir": f"{shared}/warehouse",
         },

@@ -107,7 +107,8 @@ def test_missing_account_is_a_group_of_its_own(spark):
 
 def test_not_a_number_counts_as_absent(spark):
     rows = [("a", "x", float("nan"), 0), ("b", "x", 2.0, 10)]
-    assert {(r["transaction_id"], r[Z], r[COUNT]) for r in account_features(frame(spark, rows)).collect()} == {
+    got_rows = account_features(frame(spark, rows)).collect()
+    assert {(r["transaction_id"], r[Z], r[COUNT]) for r in got_rows} == {
         ("a", 0.0, 0),
         ("b", 0.0, 1),
     }
@@ -145,7 +146,6 @@ def test_one_shuffle_and_one_sort(spark):
 
 def test_groups_within_batches(spark):
     df = frame(spark, EDGES["ties"]).selectExpr("*", "transaction_id = 'c' as batch")
-    counts = {
-        r["transaction_id"]: r[COUNT] for r in account_features(df, ["batch", "account_id"]).collect()
-    }
+    got_rows = account_features(df, ["batch", "account_id"]).collect()
+    counts = {r["transaction_id"]: r[COUNT] for r in got_rows}
     assert counts == {"a": 1, "b": 1, "c": 1}

@@ -57,7 +57,10 @@ def test_quoted_and_bare_numbers_survive(spark):
 
 
 def test_transactions_split(spark):
-    ok = '{"transaction_id":"t","account_id":"a","amount":1.5,"merchant_category":"m","event_time":"%s"}'
+    ok = (
+        '{"transaction_id":"t","account_id":"a","amount":1.5,'
+        '"merchant_category":"m","event_time":"%s"}'
+    )
     values = [
         ok % "2024-01-01T00:00:00.123456+00:00",
         ok % "2024-01-01T02:00:00+02:00",
@@ -91,6 +94,12 @@ def test_bounded_drain(spark, limit):
     assert got == list(range(min(limit, 500)))
 
 
+def test_bounded_drain_of_huge_numbers(spark):
+    df = spark.range(300).selectExpr("9007199254740993 + id as seq", "id")
+    got = sorted(r["id"] for r in bounded_drain(df, 120).collect())
+    assert got == list(range(120))
+
+
 def test_first_arrival_wins(spark):
     rows = [
         (4, "a", "late", "2", None),
@@ -117,8 +126,8 @@ def test_json_records_keep_absent_fields(spark):
 
 
 def test_clean_orders_columns(spark):
-    got = clean_orders(spark.createDataFrame([(1, "a", "c", "x", "2024-01-05")], ORDERS), "2024-02-01")
-    row = got.first()
+    raw = spark.createDataFrame([(1, "a", "c", "x", "2024-01-05")], ORDERS)
+    row = clean_orders(raw, "2024-02-01").first()
     assert (row["amount"], row["order_date"], row["ingestion_date"]) == (
         None,
         "2024-01-05",

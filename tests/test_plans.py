@@ -88,4 +88,5 @@ def test_analytics_rows_are_clustered(spark, sf_dir):
 @pytest.mark.parametrize("column", ["amount", "merchant_category"])
 def test_features_shuffle_no_unused_column(spark, sf_dir, column):
     counted = features.account_features(txn(spark, sf_dir)).select("hours_since_last_txn")
-    assert {"amount": "value", "merchant_category": "event_type"}[column] not in read_columns(counted)
+    read_as = {"amount": "value", "merchant_category": "event_type"}[column]
+    assert read_as not in read_columns(counted)

@@ -37,6 +37,27 @@ def test_stream_with_forest_and_quarantine(spark, sf_dir):
     assert len(times[0]) == 1 and times[0] == times[1] == times[2]
 
 
+def test_continuous_trigger(spark, sf_dir):
+    root = scratch(spark, "continuous")
+    stores = table_stores(f"{root}/stores")
+    rows = txn(spark, sf_dir)
+    _deliver(rows.filter(F.col("transaction_id") % 2 == 0), f"{root}/in")
+    query = start_scoring(
+        message_files(spark, f"{root}/in"),
+        lambda: ("v", feature_model()),
+        stores,
+        f"{root}/checkpoint",
+    )
+    try:
+        query.processAllAvailable()
+        assert stores[0].read(spark).count() == 500
+        _deliver(rows.filter(F.col("transaction_id") % 2 == 1), f"{root}/in")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert stores[0].read(spark).count() == 1000
+
+
 def test_rows_taken(spark, sf_dir):
     root = scratch(spark, "taken")
     _deliver(txn(spark, sf_dir), f"{root}/in")
