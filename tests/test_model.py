@@ -17,7 +17,9 @@ SMALL = models.ForestPlan(("amount",), True, 5, 4, True, True)
 
 @pytest.fixture(scope="module")
 def rows(spark, sf_dir):
-    return scored(spark, sf_dir).cache()
+    kept = scored(spark, sf_dir).cache()
+    yield kept
+    kept.unpersist()
 
 
 def test_auc_equals_evaluator(rows):
