@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import fingerprints, pieces, sharding, warc
+from riskweave.llm import fingerprints, packing, pieces, pivots, sharding, warc
 from riskweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,22 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = packing.pack(
+        table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2
+    )
+    return rows.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 @query
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.archive_round_trip(table(spark, sf_dir, "pages"))
@@ -83,6 +99,11 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95, seed=8)
+
+
 ORACLE["op6_warc"] = """
 with p as (select page_id, encode(coalesce(html, '')) payload, sha1(coalesce(html, '')) digest from pages),
 f as (select digest, max(page_id) first from p where octet_length(payload) >= 1000 group by digest)
