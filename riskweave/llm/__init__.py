@@ -1 +1,8 @@
 """Operators for preparing training corpora: filters, deduplication, sharding, packing, archives."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with the job, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,30 @@ def runs(texts: list[str], limit: int = RUN_CHARS) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def mix64(x: np.ndarray) -> np.ndarray:
+    """Spreads 64-bit numbers, one to one."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def span_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes in each span [begin, end), the same wherever they stand.
+
+    Differences of running polynomial sums, brought to position 0 by inverse powers.
+    """
+    base, n = 0x9E3779B97F4A7C15, len(raw)  # odd, so that powers have inverses modulo 2^64
+    powers, inverse = _powers(base, n + 1), _powers(pow(base, -1, 1 << 64), n + 1)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum((raw.astype(np.uint64) + 1) * powers[:n])])
+    return mix64((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
+
+
 def map_rows(
     df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str
 ) -> DataFrame:

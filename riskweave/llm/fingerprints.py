@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import RUN_CHARS, map_rows, parallelism
+from riskweave.llm.common import RUN_CHARS, map_rows, parallelism, span_hashes
 
 MIN_BYTES, USUAL_BYTES, MAX_BYTES = 12, 32, 128
 STRICT_BITS, LOOSE_BITS = 6, 4
@@ -31,23 +31,10 @@ GEAR = np.array(
     [int.from_bytes(hashlib.sha256(bytes([b])).digest()[:4], "little") for b in range(256)],
     np.uint32,
 )
-BASE = 0x9E3779B97F4A7C15  # odd, so its powers have inverses modulo 2^64
 MASK48 = np.uint64((1 << 48) - 1)
 RECORD = np.dtype([("digest", ">u8"), ("length", ">u2")])
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def _cuts(strict: list[int], loose: list[int], start: int, end: int) -> list[int]:
     """Ends of the chunks of the bytes [start, end), given where the hash allows a cut."""
     out = []
@@ -93,10 +80,7 @@ def chunk_sets(texts: list[str]) -> list[np.ndarray]:
     begin[1:] = stop[:-1]
     first = np.concatenate([[0], np.cumsum(counts)[:-1]])[counts > 0]
     begin[first] = starts[counts > 0]
-    n = len(raw)
-    powers, inverse = _powers(BASE, n + 1), _powers(pow(BASE, -1, 1 << 64), n + 1)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum((raw.astype(np.uint64) + 1) * powers[:n])])
-    digest = _mix((sums[stop] - sums[begin]) * inverse[begin] + (stop - begin).astype(np.uint64))
+    digest = span_hashes(raw, begin, stop)
     record = np.empty(len(stop), RECORD)
     record["digest"], record["length"] = digest & MASK48, stop - begin
     return [np.unique(r) for r in np.split(record, np.cumsum(counts)[:-1])]

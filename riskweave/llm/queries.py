@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import fingerprints, packing, pieces, pivots, sharding, warc
+from riskweave.llm import fingerprints, jaccard, packing, pieces, pivots, sharding, warc
 from riskweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8).drop("text_md5")
+
+
 @query
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.sharded(table(spark, sf_dir, "documents"), shards=8, seed=20)
