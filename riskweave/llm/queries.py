@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import fingerprints, jaccard, packing, pieces, pivots, sharding, warc
-from riskweave.llm.common import table
+from riskweave.llm import fingerprints, jaccard, packing, pieces, pivots, sharding, toxicity, warc
+from riskweave.llm.common import mod_crc, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # What SQL can express. The drawn, hashed and learned results have none.
@@ -109,6 +109,20 @@ def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95, seed=8)
 
 
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learn = toxicity.labelled(
+        docs.filter(mod_crc("doc_id", 3) != 1), table(spark, sf_dir, "labels"), "toxic"
+    )
+    return toxicity.with_scores(docs, toxicity.fit(learn)).select(
+        "doc_id",
+        (mod_crc("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 ORACLE["op6_warc"] = """
 with p as (select page_id, encode(coalesce(html, '')) payload, sha1(coalesce(html, '')) digest from pages),
 f as (select digest, max(page_id) first from p where octet_length(payload) >= 1000 group by digest)
