@@ -8,7 +8,18 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import fingerprints, jaccard, packing, pieces, pivots, quality, sharding, toxicity, warc
+from riskweave.llm import (
+    fingerprints,
+    jaccard,
+    language,
+    packing,
+    pieces,
+    pivots,
+    quality,
+    sharding,
+    toxicity,
+    warc,
+)
 from riskweave.llm.common import mod_crc, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,6 +125,16 @@ def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95, seed=8)
 
 
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.filter(mod_crc("doc_id", 5) != 0))
+    # Each text with a letter gets a learned language here, so none is rejected.
+    return language.identify(docs, model, reject_below=0.0).select(
+        "doc_id", (mod_crc("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
