@@ -92,3 +92,25 @@ def map_rows(
                 )
 
     return df.mapInArrow(run, types)
+
+
+def filter_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], list[bool]]], *names: str) -> DataFrame:
+    """The rows of `df`, unchanged, for which the function that `make` returns gives True.
+
+    It gets a dict of the named columns and `text` (NULL as '').
+    """
+
+    def run(batches):
+        work = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            work = work or make()
+            columns = {n: batch.column(n).to_pylist() for n in {*names, "text"}}
+            columns["text"] = [t or "" for t in columns["text"]]
+            mask = []
+            for a, b in runs(columns["text"]):
+                mask += [bool(k) for k in work({n: v[a:b] for n, v in columns.items()})]
+            yield batch.filter(pa.array(mask, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

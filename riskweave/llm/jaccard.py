@@ -282,3 +282,24 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         F.nullif(F.coalesce("smallest._id", "_id"), low).alias("component_id"),
         first.alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """The rows of `docs` without near-duplicates: one document of each component stays."""
+    verdict = written(near_duplicates(docs, threshold), "verdict")
+    keys = verdict.groupBy("doc_id", "text_md5").agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum(F.col("kept").cast("int")).alias("_kept")
+    )
+    marked = docs.withColumn("_md5", F.md5(F.coalesce("text", F.lit(""))))
+
+    def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        right = right.select(F.col("doc_id").alias("_key"), "text_md5")
+        same = left["doc_id"].eqNullSafe(right["_key"]) & (left["_md5"] == right["text_md5"])
+        return left.join(right, same, how)
+
+    out = joined(marked, keys.filter("_kept = 0"), "left_anti")
+    again = keys.filter("_kept > 0 and _rows > _kept")  # rows that repeat id and text
+    if not again.isEmpty():
+        once = joined(out, again, "left_semi").dropDuplicates(["doc_id", "_md5"])
+        out = joined(out, again, "left_anti").unionByName(once)
+    return out.select(*docs.columns)

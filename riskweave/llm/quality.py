@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import map_rows
-from riskweave.llm.linear import calibrate, fit_dense
+from riskweave.llm.common import filter_rows, map_rows
+from riskweave.llm.linear import calibrate, fit_dense, sigmoid
 from riskweave.session import written
 
 ROUNDS = 2
@@ -36,6 +36,7 @@ SURE = 0.98  # precision, on rows kept aside, of what a view hands over
 LEAST_SURE = 20  # rows kept aside that this precision is read off, at least
 PSEUDO_WEIGHT = 0.5
 SOURCES, LANGUAGES = 32, 8  # hashed places of the metadata view
+LIMIT = 20.0  # of a view's calibrated logit
 REJECT = 0.5  # documents below this chance of being good are rejected
 
 _MARKS = re.compile(r"[^\w\s]+")
@@ -191,11 +192,33 @@ def _bounded(rows: DataFrame, n: int, seed: int) -> DataFrame:
     return rows.filter(chance < min(1.0, SAMPLE_ROWS / max(n, 1)))
 
 
-def score(docs: DataFrame, labels: DataFrame, seed: int = 1) -> DataFrame:
-    """doc_id, text_score, page_score, score (chance of being good) and keep of every row.
+class Model:
+    """The views and how they are combined; without views, the share of good labels."""
 
-    `labels` has doc_id and quality (1 good, 0 bad); other values do not count.
-    """
+    def __init__(self, views: list[View], weights: np.ndarray, share: float):
+        self.views, self.weights, self.share = views, weights, share
+
+    def chance(self, text: np.ndarray, page: np.ndarray) -> np.ndarray:
+        if not self.views:
+            return np.full(len(text), max(self.share, REJECT))
+        z = [np.clip(v.logit(x), -LIMIT, LIMIT) for v, x in zip(self.views, (text, page))]
+        return sigmoid(z[0] * self.weights[0] + z[1] * self.weights[1] + self.weights[2])
+
+    def columns(self) -> list[Column]:
+        """text_score, page_score and score over the features."""
+        if not self.views:
+            none = F.lit(None).cast("double")
+            return [
+                none.alias("text_score"), none.alias("page_score"), F.lit(self.share).alias("score")
+            ]
+        z = [F.least(F.greatest(v.expression(), F.lit(-LIMIT)), F.lit(LIMIT)) for v in self.views]
+        w = [float(x) for x in self.weights]
+        logits = {"text_score": z[0], "page_score": z[1], "score": z[0] * w[0] + z[1] * w[1] + w[2]}
+        return [(1.0 / (1.0 + F.exp(-x))).alias(n) for n, x in logits.items()]
+
+
+def with_labels(docs: DataFrame, labels: DataFrame, seed: int) -> DataFrame:
+    """The features of every row, its label (NULL: none) and whether it is kept aside."""
     marks = (
         labels.select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("label"))
         .filter("label in (0, 1)")
@@ -204,16 +227,16 @@ def score(docs: DataFrame, labels: DataFrame, seed: int = 1) -> DataFrame:
     )
     table = features(docs).join(marks, F.col("doc_id") == F.col("_id"), "left").drop("_id")
     fold = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(4))
-    table = written(table.withColumn("_aside", fold == 0), "views")
+    return written(table.withColumn("_aside", fold == 0), "views")
+
+
+def fit(table: DataFrame, seed: int) -> Model:
+    """Co-trains the views on the rows of `with_labels`."""
     known, unknown = table.filter("label is not null"), table.filter("label is null")
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     total = sum(sizes.values())
-    none = F.lit(None).cast("double")
     if not sizes.get(0) or not sizes.get(1):
-        share = F.lit(sizes.get(1, 0) / total if total else 1.0)
-        return table.select(
-            "doc_id", none.alias("text_score"), none.alias("page_score"), share.alias("score"), F.lit(True).alias("keep")
-        )
+        return Model([], np.empty(0), sizes.get(1, 0) / total if total else 1.0)
     y, aside, text, page = _fetch(_bounded(known, total, seed + 1))
     if len(set(y[aside])) < 2 or len(set(y[~aside])) < 2:
         aside = np.zeros(len(y), bool)
@@ -257,16 +280,30 @@ def score(docs: DataFrame, labels: DataFrame, seed: int = 1) -> DataFrame:
             more = [[], []]  # votes are taken anew by the better views
     # The views' calibrated logits are combined by a regression on the rows kept aside.
     z = np.stack([view.logit(own[k][test]) for k, view in enumerate(views)], axis=1)
-    w = fit_dense(np.clip(z, -20, 20), y[test], penalty=1e-3)
-    clipped = [F.least(F.greatest(v.expression(), F.lit(-20.0)), F.lit(20.0)) for v in views]
-    both = clipped[0] * float(w[0]) + clipped[1] * float(w[1]) + float(w[2])
-
-    def chance(logit: Column) -> Column:
-        return 1.0 / (1.0 + F.exp(-logit))
-
-    return table.select(
-        "doc_id",
-        chance(clipped[0]).alias("text_score"),
-        chance(clipped[1]).alias("page_score"),
-        chance(both).alias("score"),
-    ).withColumn("keep", F.col("score") >= REJECT)
+    return Model(views, fit_dense(np.clip(z, -LIMIT, LIMIT), y[test]), total and sizes[1] / total)
+
+
+def score(docs: DataFrame, labels: DataFrame, seed: int = 1) -> DataFrame:
+    """doc_id, text_score, page_score, score (chance of being good) and keep of every row.
+
+    `labels` has doc_id and quality (1 good, 0 bad); other values do not count.
+    """
+    table = with_labels(docs, labels, seed)
+    model = fit(table, seed)
+    keep = F.col("score") >= REJECT if model.views else F.lit(True)
+    return table.select("doc_id", *model.columns()).withColumn("keep", keep)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, seed: int = 1) -> DataFrame:
+    """The rows of `docs`, unchanged, that `score` keeps."""
+    model = fit(with_labels(docs, labels, seed), seed)
+
+    def make():
+        def work(c):
+            text = np.array([text_features(t) for t in c["text"]], np.float32)
+            page = [page_features(*x) for x in zip(c["source"], c["lang"], c["text"], c["n_chars"])]
+            return model.chance(text, np.array(page, np.float32)) >= REJECT
+
+        return work
+
+    return filter_rows(docs, make, "source", "lang", "n_chars")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import map_rows
+from riskweave.llm.common import filter_rows, map_rows
 from riskweave.llm.linear import calibrate, fit_logistic, sigmoid
 from riskweave.session import written
 
@@ -194,6 +194,23 @@ def with_scores(docs: DataFrame, model: Model) -> DataFrame:
     return map_rows(rows, make, "doc_id bigint, score double")
 
 
+def without_toxic(docs: DataFrame, model: Model, reject_from: float = 0.5) -> DataFrame:
+    """The rows of `docs` whose score is below `reject_from`."""
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (model.weights, model.constant, model.slope, model.shift)
+    )
+
+    def make():
+        own = Model(*shared.value)
+
+        def work(c):
+            return own.score(c["text"]) < reject_from
+
+        return work
+
+    return filter_rows(docs, make)
+
+
 def labelled(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
     """doc_id, text and label of the rows of `docs` that have a 0 or 1 in that column."""
     marks = (
