@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import map_rows, mix64, span_hashes
+from riskweave.llm.common import map_rows, mix64, parallelism, span_hashes
 from riskweave.llm.components import block_pairs, components, local_labels
 from riskweave.session import written
 
@@ -35,6 +35,7 @@ BANDS, VALUES = 32, 4  # 128 MinHash values
 STEP = 16  # values compared at a time
 TOLERANCE = 1e-6
 BLOCK_ROWS = 512
+PAIRS = 1 << 17  # looked at together
 _RNG = np.random.default_rng(5)
 FACTORS = _RNG.integers(0, 2**63, BANDS * VALUES, np.uint64) * np.uint64(2) + np.uint64(1)
 TERMS = _RNG.integers(0, 2**63, BANDS * VALUES, np.uint64)
@@ -147,32 +148,58 @@ def shingles_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return map_rows(found, make, "set binary, shingles binary")
 
 
-def _candidates(frame: pd.DataFrame, i: int, j: int, least: dict[int, int]):
-    """Pairs of row numbers that first meet in this bucket and survive the pruning."""
-    own, band = frame["_own"].to_numpy(), int(frame["band"].iloc[0])
+def _pruned(values: np.ndarray, x: np.ndarray, y: np.ndarray, least: dict[int, int]):
+    """The pairs of rows of MinHash values whose similarity may reach the threshold."""
+    equal = np.zeros(len(x), np.int64)
+    for n, need in least.items():
+        equal += (values[x, n - STEP : n] == values[y, n - STEP : n]).sum(axis=1)
+        stay = equal >= need
+        x, y, equal = x[stay], y[stay], equal[stay]
+    return x, y
+
+
+def _pairs(starts: np.ndarray, sizes: np.ndarray):
+    """All pairs of rows within groups of consecutive rows, in portions of bounded size."""
+    for n in np.unique(sizes[sizes > 1]):
+        first = starts[sizes == n]
+        for i in range(0, n - 1, step := max(1, PAIRS // n)):
+            rows, columns = np.meshgrid(np.arange(i, min(i + step, n - 1)), np.arange(n), indexing="ij")
+            upper = columns > rows
+            rows, columns = rows[upper], columns[upper]
+            for g in range(0, len(first), groups := max(1, PAIRS // len(rows))):
+                base = first[g : g + groups, None]
+                yield (base + rows).ravel(), (base + columns).ravel()
+
+
+def _candidates(frame: pd.DataFrame, starts: np.ndarray, sizes: np.ndarray, least: dict[int, int]):
+    """Pairs of row numbers of one group that first meet in its bucket and survive.
+
+    `frame` holds groups (bucket, _i, _j) of consecutive rows. Of a group that stands for
+    two blocks only pairs across them count.
+    """
+    own, i, j = (frame[n].to_numpy() for n in ("_own", "_i", "_j"))
+    band = frame["band"].to_numpy()
     values = np.frombuffer(b"".join(frame["minhash"]), np.uint32).reshape(len(frame), -1)
-    names = bucket_names(values)[:, :band]
-    rows, columns = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    names = bucket_names(values)
     kept = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for a in range(0, len(rows), 64):
-        x = np.repeat(rows[a : a + 64], len(columns))
-        y = np.tile(columns, len(rows[a : a + 64]))
-        if i == j:
-            x, y = x[x < y], y[x < y]
-        fresh = np.ones(len(x), bool)
-        for k in range(band):
-            fresh &= names[x, k] != names[y, k]
-        x, y = x[fresh], y[fresh]
-        equal = np.zeros(len(x), np.int64)
-        for n, need in least.items():
-            equal += (values[x, n - STEP : n] == values[y, n - STEP : n]).sum(axis=1)
-            stay = equal >= need
-            x, y, equal = x[stay], y[stay], equal[stay]
+    for x, y in _pairs(starts, sizes):
+        meet = (i[x] == j[x]) | (own[x] != own[y])
+        x, y = x[meet], y[meet]
+        # The first of the buckets that both are in; this one is among them.
+        first = (names[x] == names[y]).argmax(axis=1) == band[x]
+        x, y = _pruned(values, x[first], y[first], least)
         kept[0].append(x)
         kept[1].append(y)
     return np.concatenate(kept[0]), np.concatenate(kept[1])
 
 
+def _groups(frame: pd.DataFrame) -> np.ndarray:
+    """Where runs of rows with the same bucket and blocks begin, and the end."""
+    keys = frame[["bucket", "_i", "_j"]].to_numpy()
+    change = (keys[1:] != keys[:-1]).any(axis=1)
+    return np.concatenate([[0], np.flatnonzero(change) + 1, [len(frame)]])
+
+
 def _common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Sizes of the intersections of pairs of sets."""
     if len(x) < 4 * len(sets):
@@ -217,25 +244,37 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     members = classes.select("set", F.posexplode("buckets").alias("band", "bucket"))
     group = ["bucket", "_i", "_j"]
 
-    def survivors(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        x, y = _candidates(frame, key[1], key[2], least)
+    def survivors(frames):
+        rest = None
+        for frame in frames:
+            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            bounds = _groups(frame)
+            rest = frame.iloc[bounds[-2] :].reset_index(drop=True)  # may go on in the next batch
+            yield surviving(frame.iloc[: bounds[-2]], bounds[:-1])
+        if rest is not None and len(rest):
+            yield surviving(rest, _groups(rest))
+
+    def surviving(frame: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
+        if not len(frame):
+            return frame[["set", "band", *group, "_own"]]
+        x, y = _candidates(frame, bounds[:-1], np.diff(bounds), least)
         return frame.iloc[np.union1d(x, y)][["set", "band", *group, "_own"]]
 
     facts = classes.select("set", "minhash")
     met = written(
         block_pairs(members, "bucket", "set", BLOCK_ROWS)
         .join(facts, "set")
-        .groupBy(*group)
-        .applyInPandas(
-            survivors, "set binary, band int, bucket bigint, _i int, _j int, _own int"
-        ),
+        .select("set", "band", *group, "_own", "minhash")
+        .repartition(parallelism(docs.sparkSession), *group)
+        .sortWithinPartitions(*group)
+        .mapInPandas(survivors, "set binary, band int, bucket bigint, _i int, _j int, _own int"),
         "met",
     )
     wanted = classes.join(met.select("set").distinct(), "set").select("set", "first._id", "first._text")
 
     def verify(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("set", ignore_index=True)
-        x, y = _candidates(frame, key[1], key[2], least)
+        x, y = _candidates(frame, np.array([0]), np.array([len(frame)]), least)
         sets = [np.frombuffer(s, np.uint64) for s in frame["shingles"]]
         sizes = np.array([len(s) for s in sets])
         common = _common(sets, x, y)
