@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from riskweave.plans.daily import daily_run
 from riskweave.plans.model import (
@@ -17,18 +17,24 @@ from riskweave.plans.model import (
 )
 from riskweave.schemas import MIN_PRECISION, MIN_RECALL
 from riskweave.session import session, temporary
-from riskweave.sinks.stores import JdbcStore, analytics_rows, ops_rows, table_stores
+from riskweave.sinks.stores import (
+    JdbcStore,
+    analytics_rows,
+    ops_rows,
+    read_store,
+    table_stores,
+)
 from riskweave.sinks.tables import VersionedTable, write_metrics
 from riskweave.sources.files import scan_training_input
 from riskweave.sources.messages import order_topic, transaction_topic
-from riskweave.streaming.orders import start_order_load
+from riskweave.streaming.orders import load_pending_orders
 from riskweave.streaming.scorer import start_scoring
 
 FORESTS = {"behaviour": BEHAVIOUR_FOREST, "simple": SIMPLE_FOREST}
 
 
 def train(spark: SparkSession, a: argparse.Namespace) -> None:
-    rows = scan_training_input(spark, a.input)
+    rows = scan_training_input(spark, a.input, format=a.format)
     with temporary(spark):
         model, metrics = train_and_evaluate(rows, FORESTS[a.forest], a.label)
         write_metrics(stamp_metrics(metrics, a.model_out), a.metrics_out)
@@ -36,11 +42,18 @@ def train(spark: SparkSession, a: argparse.Namespace) -> None:
         model.write().overwrite().save(a.model_out)
 
 
+def table_or_path(spark: SparkSession, name: str) -> DataFrame:
+    """A catalog table by its name, or what a path holds: a store or plain Parquet."""
+    if "/" not in name:
+        return spark.table(name)
+    return read_store(spark, name)
+
+
 def daily(spark: SparkSession, a: argparse.Namespace) -> None:
     done = daily_run(
         spark,
-        spark.read.parquet(a.history),
-        spark.read.parquet(a.analytics),
+        table_or_path(spark, a.history),
+        table_or_path(spark, a.analytics),
         a.root,
         a.run_date,
         a.label,
@@ -74,7 +87,7 @@ def score(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def orders(spark: SparkSession, a: argparse.Namespace) -> None:
-    start_order_load(
+    load_pending_orders(
         order_topic(spark, a.servers, a.topic),
         VersionedTable(spark, a.target),
         a.run_date,
@@ -82,7 +95,12 @@ def orders(spark: SparkSession, a: argparse.Namespace) -> None:
         a.quarantine,
         skip_if_empty=a.skip_if_empty,
         keep_versions=a.keep_versions,
-    ).awaitTermination()
+    )
+
+
+def compact(spark: SparkSession, a: argparse.Namespace) -> None:
+    for store in table_stores(a.stores):
+        store.compact(spark)
 
 
 def _jdbc(prefix: str) -> dict[str, str]:
@@ -101,11 +119,12 @@ def parser() -> argparse.ArgumentParser:
             j.add_argument(f"--{option}", required=True)
         if forest:
             j.add_argument("--forest", choices=FORESTS, default="behaviour")
-            j.add_argument("--label", default="is_fraud")
+            j.add_argument("--label")
         j.set_defaults(run=run)
         return j
 
-    job(train, "train", ["input", "model-out", "metrics-out"], forest=True)
+    j = job(train, "train", ["input", "model-out", "metrics-out"], forest=True)
+    j.add_argument("--format", choices=["parquet", "csv"])
     j = job(daily, "daily", ["history", "analytics", "root", "run-date"], forest=True)
     j.add_argument("--min-recall", type=float, default=MIN_RECALL)
     j.add_argument("--min-precision", type=float, default=MIN_PRECISION)
@@ -114,6 +133,7 @@ def parser() -> argparse.ArgumentParser:
     j.add_argument("--max-per-trigger", type=int)
     j.add_argument("--ops-jdbc-url")
     j.add_argument("--analytics-jdbc-url")
+    job(compact, "compact", ["stores"])
     j = job(orders, "orders", ["servers", "topic", "target", "checkpoint", "run-date"])
     j.add_argument("--quarantine")
     j.add_argument("--skip-if-empty", action="store_true")

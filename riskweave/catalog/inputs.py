@@ -10,7 +10,7 @@ from riskweave.operators.checks import is_empty
 from riskweave.operators.metrics import precision_recall
 from riskweave.operators.rollup import filter_day
 from riskweave.plans.model import empty_metrics
-from riskweave.plans.views import order_msgs, scored, txn
+from riskweave.plans.views import order_msgs, scored, table, txn
 from riskweave.schemas import TRANSACTION_SCHEMA
 from riskweave.session import scratch
 from riskweave.sources.files import (
@@ -91,7 +91,8 @@ def quarantine_bad_messages(spark, sf_dir):
 @query(
     """
 select transaction_id,
-       case when cast(transaction_id as bigint) % 7 = 0 then 'bad' else 'good' end status
+       case when cast(transaction_id as bigint) % 7 = 0 or cast(transaction_id as bigint) % 21 in (3, 5)
+            then 'bad' else 'good' end status
 from txn
 """
 )
@@ -103,7 +104,9 @@ def quarantine_bad_transactions(spark, sf_dir):
                 {
                     "account_id": F.when(number % 21 != 0, F.col("account_id")),
                     "event_time": F.when(number % 21 != 7, F.col("event_time")),
-                    "amount": F.when(number % 21 != 14, F.col("amount")),
+                    "amount": F.when(number % 21 == 3, F.lit(1e11))
+                    .when(number % 21 == 5, F.lit(float("inf")))
+                    .when(number % 21 != 14, F.col("amount")),
                 }
             )
         )
@@ -120,18 +123,42 @@ def bounded_drain_first(spark, sf_dir):
     return bounded_drain(order_msgs(spark, sf_dir), 5000).select("seq", "order_id", "amount")
 
 
+@query(
+    """
+, m as (select o_orderkey k, case when o_orderkey % 7 <> 0 then o_orderkey // 500 end seq from orders)
+select k as "offset", seq from m order by seq nulls last, k
+limit (select cast(count(*) * 0.95 as bigint) from m)
+"""
+)
+def bounded_drain_ties(spark, sf_dir):
+    k = F.col("o_orderkey")
+    messages = table(spark, sf_dir, "orders").select(
+        k.alias("offset"), F.when(k % 7 != 0, F.floor(k / 500)).alias("seq")
+    )
+    n = messages.count()
+    # Many messages share an arrival time, a seventh have none; the bound lies among those.
+    return bounded_drain(messages, round(n * 0.95)).select("offset", "seq")
+
+
 @query("select count(*) pending from order_msgs", name="source_backlog")
 def source_backlog_count(spark, sf_dir):
     return source_backlog(order_msgs(spark, sf_dir))
 
 
-@query("select event_id, user_id, event_type, value, props from events")
+@query("select event_id, user_id, event_type, value, props, ts from events")
 def scan_parquet(spark, sf_dir):
     return scan_training_input(spark, f"{sf_dir}/events.parquet").select(
-        "event_id", "user_id", "event_type", "value", "props"
+        "event_id", "user_id", "event_type", "value", "props", "ts"
     )
 
 
+@query("select event_id, user_id, event_type, value, props, ts from events")
+def scan_parquet_folder(spark, sf_dir):
+    path = scratch(spark, "snapshot")  # a name without a suffix
+    spark.read.parquet(f"{sf_dir}/events.parquet").write.parquet(path)
+    return scan_training_input(spark, path, format="parquet")
+
+
 @query(TXN_SQL)
 def scan_csv(spark, sf_dir):
     path = scratch(spark, "csv")

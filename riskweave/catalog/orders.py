@@ -8,14 +8,14 @@ from riskweave.catalog.registry import query
 from riskweave.operators import checks, cleaning
 from riskweave.plans.orders import load_orders
 from riskweave.plans.views import order_msgs, scored
-from riskweave.schemas import ORDER_FLOW_NAME
+from riskweave.schemas import NOT_NULL, ORDER_FLOW_NAME
 from riskweave.session import scratch
 from riskweave.sinks.tables import (
     VersionedTable,
     insert_if_absent as absent_rows,
     order_summary_rows,
 )
-from riskweave.streaming.orders import start_order_load
+from riskweave.streaming.orders import load_pending_orders
 
 # Fixed value: the day the loads are run for.
 RUN_DATE = "2024-02-01"
@@ -89,7 +89,7 @@ def full_refresh_load(spark, sf_dir):
         "seq",
         F.to_json(F.struct("order_id", "customer_id", "amount", "order_date")).alias("value"),
     )
-    load_orders(messages, target, RUN_DATE, f"{root}/rejected", limit=None)
+    load_orders(messages, target, RUN_DATE, f"{root}/rejected")
     return target.read()
 
 
@@ -114,18 +114,34 @@ def insert_if_absent(spark, sf_dir):
 
 @query(
     """
-select 'scored' as name, 'not_null_transaction_id' as rule, count(*) - count(transaction_id) as violations from scored
-union all select 'scored', 'not_null_account_id', count(*) - count(account_id) from scored
-union all select 'scored', 'not_null_amount', count(*) - count(amount) from scored
-union all select 'scored', 'unique_transaction_id', count(transaction_id) - count(distinct transaction_id) from scored
+, gaps as (select transaction_id, case when k % 11 <> 0 then account_id end account_id,
+                  case when k % 13 <> 0 then amount end amount,
+                  case when k % 17 <> 0 then merchant_category end merchant_category,
+                  case when k % 19 <> 0 then event_time end event_time,
+                  case when k % 23 <> 0 then fraud_probability end fraud_probability,
+                  case when k % 29 <> 0 then is_flagged end is_flagged,
+                  case when k % 31 <> 0 then scored_at end scored_at
+           from (select *, cast(transaction_id as bigint) k from scored))
+select 'scored' as name, 'not_null_transaction_id' as rule, count(*) - count(transaction_id) as violations from gaps
+union all select 'scored', 'not_null_account_id', count(*) - count(account_id) from gaps
+union all select 'scored', 'not_null_amount', count(*) - count(amount) from gaps
+union all select 'scored', 'not_null_merchant_category', count(*) - count(merchant_category) from gaps
+union all select 'scored', 'not_null_event_time', count(*) - count(event_time) from gaps
+union all select 'scored', 'not_null_fraud_probability', count(*) - count(fraud_probability) from gaps
+union all select 'scored', 'not_null_is_flagged', count(*) - count(is_flagged) from gaps
+union all select 'scored', 'not_null_scored_at', count(*) - count(scored_at) from gaps
+union all select 'scored', 'unique_transaction_id', count(transaction_id) - count(distinct transaction_id) from gaps
 union all select 'order_msgs', 'not_null_order_id', count(*) - count(order_id) from order_msgs
-union all select 'order_msgs', 'not_null_customer_id', count(*) - count(customer_id) from order_msgs
 union all select 'order_msgs', 'unique_order_id', count(order_id) - count(distinct order_id) from order_msgs
 """
 )
 def table_checks(spark, sf_dir):
-    a = checks.table_checks(scored(spark, sf_dir), ["account_id", "amount"], "transaction_id")
-    b = checks.table_checks(order_msgs(spark, sf_dir), ["customer_id"], "order_id")
+    k = F.col("transaction_id").cast("long")
+    gaps = scored(spark, sf_dir)
+    for column, n in zip(NOT_NULL["transactions_scored"], (11, 13, 17, 19, 23, 29, 31)):
+        gaps = gaps.withColumn(column, F.when(k % n != 0, F.col(column)))
+    a = checks.check_rules(gaps, "transactions_scored")
+    b = checks.check_rules(order_msgs(spark, sf_dir), "order_summary")
     return a.select(F.lit("scored").alias("name"), "*").unionByName(
         b.select(F.lit("order_msgs").alias("name"), "*")
     )
@@ -157,13 +173,16 @@ def verify_output(spark, sf_dir):
 @query(f"select {SUMMARY} from first_orders where order_id is not null")
 def stream_order_load(spark, sf_dir):
     root = scratch(spark, "order_stream")
+    # Four bounded batches; an order and its repeats come in different ones.
     order_msgs(spark, sf_dir).select(
         "seq",
         F.to_json(F.struct("order_id", "customer_id", "amount", "order_date")).alias("value"),
-    ).write.parquet(f"{root}/in")
-    messages = spark.readStream.schema("seq long, value string").parquet(f"{root}/in")
+    ).repartitionByRange(4, "seq").write.parquet(f"{root}/in")
+    messages = (
+        spark.readStream.schema("seq long, value string")
+        .option("maxFilesPerTrigger", 1)
+        .parquet(f"{root}/in")
+    )
     target = VersionedTable(spark, f"{root}/order_summary")
-    start_order_load(
-        messages, target, RUN_DATE, f"{root}/checkpoint", f"{root}/rejected"
-    ).awaitTermination()
+    load_pending_orders(messages, target, RUN_DATE, f"{root}/checkpoint", f"{root}/rejected")
     return target.read()

@@ -101,18 +101,40 @@ def replay_safe_write(spark, sf_dir):
     )
 
 
+@query(
+    """
+select transaction_id, amount, cast(cast(event_time as date) as varchar) event_date,
+       cast(transaction_id as bigint) % 4 as batch_id
+from scored
+"""
+)
+def compact_lake(spark, sf_dir):
+    store = stores.table_stores(scratch(spark, "compact"))[1]
+    rows = scored(spark, sf_dir)
+
+    def deliver(batch_id):
+        store.write(rows.filter(F.col("transaction_id").cast("long") % 4 == batch_id), batch_id)
+
+    for batch_id in (0, 1, 1):  # a replay before the compaction
+        deliver(batch_id)
+    store.compact(spark)  # closes batch 0
+    for batch_id in (0, 1, 2):  # replays behind it
+        deliver(batch_id)
+    store.compact(spark)  # closes batches 1 and 2 but for the newest
+    deliver(3)
+    return store.read(spark).select("transaction_id", "amount", "event_date", "batch_id")
+
+
 @query(LAKE_SQL)
 def snapshot_history(spark, sf_dir):
     root = scratch(spark, "snapshot")
     name = f"riskweave_{uuid.uuid4().hex}"
     tables.create_tables(spark, name, f"{root}/db")
     history = f"{name}.transactions_scored_history"
-    stores.lake_rows(scored(spark, sf_dir)).hint("rebalance", "event_date").write.insertInto(
-        history
-    )
+    stores.CatalogStore(history, stores.lake_rows).write(scored(spark, sf_dir), 0)
     tables.append_snapshot(spark, history, f"{root}/snapshot.parquet")
     spark.sql(f"DROP DATABASE {name} CASCADE")
-    return spark.read.parquet(f"{root}/snapshot.parquet")
+    return spark.read.parquet(f"{root}/snapshot.parquet").drop("batch_id")
 
 
 @query(
@@ -129,14 +151,16 @@ def create_tables(spark, sf_dir):
     tables.create_tables(spark, name, f"{scratch(spark, 'tables')}/db")
     rows = scored(spark, sf_dir)
     filled = {
-        "transactions_scored": stores.ops_rows(rows),
-        "transactions_scored_history": stores.lake_rows(rows),
-        "transactions_scored_analytics": stores.analytics_rows(rows),
-        "fraud_metrics_daily": daily_fraud_metrics(rows),
+        "transactions_scored": stores.ops_rows,
+        "transactions_scored_history": stores.lake_rows,
+        "transactions_scored_analytics": stores.analytics_rows,
     }
-    for table, df in filled.items():
-        columns = spark.table(f"{name}.{table}").columns
-        df.select(*columns).write.insertInto(f"{name}.{table}")
+    for table, columns in filled.items():
+        store = stores.CatalogStore(f"{name}.{table}", columns)
+        for _ in (1, 2):  # delivered twice
+            store.write(rows, 0)
+    days = f"{name}.fraud_metrics_daily"
+    daily_fraud_metrics(rows).select(*spark.table(days).columns).write.insertInto(days)
     out = None
     for table in TABLES:
         one = spark.table(f"{name}.{table}").select(F.lit(table).alias("name"))

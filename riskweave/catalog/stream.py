@@ -3,6 +3,9 @@ restarted stream on the same checkpoint."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
@@ -78,8 +81,18 @@ def stream_score(spark, sf_dir):
     stores = table_stores(f"{root}/stores")
     model = feature_model()
     rows = txn(spark, sf_dir)
+    # Amounts that no store can hold must neither stop the stream nor touch other rows.
+    odd = rows.withColumns(
+        {
+            "transaction_id": F.concat(F.lit("odd-"), "transaction_id"),
+            "amount": F.when(F.col("transaction_id").cast("long") % 2 == 0, F.lit(1e11)).otherwise(
+                F.lit(float("inf"))
+            ),
+        }
+    )
     for i in range(PARTS):
-        _deliver(_part(rows, i), f"{root}/in")
+        some = odd.filter(F.substring("transaction_id", 5, 20).cast("long") % (10 * PARTS) == i)
+        _deliver(_part(rows, i).unionByName(some), f"{root}/in")
         _run(spark, root, lambda: ("stand-in", model), stores)
     return (
         stores[1]
@@ -133,3 +146,53 @@ def model_hot_swap(spark, sf_dir):
         _deliver(_part(rows, i), f"{root}/in")
         _run(spark, root, registry.current, stores)
     return stores[1].read(spark).select("transaction_id", "fraud_probability")
+
+
+@dataclass(frozen=True)
+class FailsOnce:
+    """A store whose first write fails after the stores before it have taken the batch."""
+
+    store: object
+    failed: list
+
+    def write(self, scored, batch_id):
+        if not self.failed:
+            self.failed.append(batch_id)
+            raise OSError("the store is down")
+        self.store.write(scored, batch_id)
+
+
+@query(
+    """
+select s.name, count(*) n_rows, count(distinct transaction_id) n_ids, cast(1 as bigint) n_times
+from txn, (values ('transactions_scored'), ('transactions_scored_history'),
+                  ('transactions_scored_analytics')) as s(name)
+group by s.name
+"""
+)
+def replay_scoring_time(spark, sf_dir):
+    root = scratch(spark, "replayed")
+    stores = table_stores(f"{root}/stores")
+    targets = [*stores[:2], FailsOnce(stores[2], [])]
+    _deliver(txn(spark, sf_dir), f"{root}/in")
+    model = feature_model()
+    for _ in (1, 2):  # the batch is tried again by the restarted stream
+        try:
+            start_scoring(
+                message_files(spark, f"{root}/in"),
+                lambda: ("stand-in", model),
+                targets,
+                f"{root}/checkpoint",
+                available_now=True,
+            ).awaitTermination()
+        except StreamingQueryException:
+            pass
+    out = None
+    for store in stores:
+        one = store.read(spark).agg(
+            F.count("*").alias("n_rows"),
+            F.count_distinct("transaction_id").alias("n_ids"),
+            F.count_distinct("scored_at").alias("n_times"),
+        ).select(F.lit(store.path.rsplit("/", 1)[1]).alias("name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out

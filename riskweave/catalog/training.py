@@ -92,6 +92,64 @@ def class_balance_weights(spark, sf_dir):
     return rounded(metrics.class_balance_weights(scored(spark, sf_dir)), "class_weight")
 
 
+@query(
+    """
+select merchant_category, count(*) n_class,
+       round((select count(*) from scored) / ((select count(distinct merchant_category) from scored)
+             * cast(count(*) as double)), 6) class_weight
+from scored group by merchant_category
+"""
+)
+def class_balance_weights_any_label(spark, sf_dir):
+    return rounded(
+        metrics.class_balance_weights(scored(spark, sf_dir), "merchant_category"), "class_weight"
+    )
+
+
+@query(
+    """
+select transaction_id, merchant_category,
+       case when row_number() over (partition by merchant_category order by md5(transaction_id || '42'))
+                 <= ceil(0.8 * count(*) over (partition by merchant_category))
+            then 'train' else 'test' end as split
+from scored
+"""
+)
+def stratified_split_any_label(spark, sf_dir):
+    return splits.stratified_split(scored(spark, sf_dir), "merchant_category").select(
+        "transaction_id", "merchant_category", "split"
+    )
+
+
+@query(
+    """
+select plan, count(*) n_rows, count(location) n_locations
+from (select 'behaviour' as plan, case when cast(transaction_id as bigint) % 3 <> 0 then location end as location
+      from scored
+      union all
+      select 'simple', location from scored where cast(transaction_id as bigint) % 3 <> 0)
+group by plan
+"""
+)
+def training_rows_with_gaps(spark, sf_dir):
+    k = F.col("transaction_id").cast("long")
+    gaps = scored(spark, sf_dir).withColumns(
+        {
+            "location": F.when(k % 3 != 0, F.col("location")),
+            "transaction_id": F.when(k % 5 != 0, F.col("transaction_id")),
+        }
+    )
+    out = None
+    for name, plan in (("behaviour", models.BEHAVIOUR_FOREST), ("simple", models.SIMPLE_FOREST)):
+        one = models.training_rows(gaps, plan).agg(
+            F.lit(name).alias("plan"),
+            F.count("*").alias("n_rows"),
+            F.count("location").alias("n_locations"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query(
     """
 select merchant_category, count(*) n,
@@ -211,18 +269,61 @@ def predict_and_evaluate(spark, sf_dir):
     return rounded(measured, *[c for c in measured.columns if not c.startswith("n_")])
 
 
-@query()
+RANDOM_SQL = """(
+  select *, case when substr(md5(transaction_id || '42'), 1, 8) < 'cccccccc' then 'train' else 'test' end split
+  from scored)"""
+
+
+@query(
+    f"""
+select count(*) filter (where split = 'train') n_train, count(*) filter (where split = 'test') n_test,
+       count(*) n_samples, 100 n_trees, true as within_depth, true as metrics_valid,
+       true as better_than_chance
+from {RANDOM_SQL}
+"""
+)
 def train_and_evaluate_simple_forest(spark, sf_dir):
-    _, measured = models.train_and_evaluate(scored(spark, sf_dir), models.SIMPLE_FOREST)
+    plan = models.SIMPLE_FOREST
+    forest, measured = models.train_and_evaluate(scored(spark, sf_dir), plan)
+    trees = forest.stages[-1].trees
+    shares = ["precision", "recall", "f1", "roc_auc", "avg_precision"]
+    return measured.select(
+        "n_train",
+        "n_test",
+        "n_samples",
+        F.lit(len(trees)).alias("n_trees"),
+        F.lit(all(t.depth <= plan.depth for t in trees)).alias("within_depth"),
+        F.forall(F.array(*shares), lambda m: m.between(0, 1)).alias("metrics_valid"),
+        (F.col("roc_auc") > 0.5).alias("better_than_chance"),
+    )
+
+
+@query(
+    f"""
+, split as (select * from {SPLIT_SQL.replace("is_fraud", "is_flagged")}),
+tested as (select * exclude (is_fraud), is_flagged is_fraud from split where split = 'test'),
+{RANKED.format(source="tested")}
+select {PRECISION_SQL}, (select roc_auc from ranked) roc_auc,
+       (select avg_precision from ranked) avg_precision, round(avg(is_fraud), 6) fraud_rate_test,
+       (select count(*) from split where split = 'train') n_train, count(*) n_test,
+       (select count(*) from split) n_samples
+from (select * exclude (is_flagged), case when least(amount / 400.0, 1.0) >= 0.5 then 1 else 0 end is_flagged
+      from tested)
+"""
+)
+def evaluate_scored_history(spark, sf_dir):
+    # The label is the flag of an earlier model; another one decides anew.
+    label = "is_flagged"
+    rows = models.training_rows(scored(spark, sf_dir), models.BEHAVIOUR_FOREST, label)
+    measured = models.predict_and_evaluate(rows, stand_in_model(400.0), label)
     return rounded(measured, *[c for c in measured.columns if not c.startswith("n_")])
 
 
 @query("select count(*) n_rows, 0 n_changed from scored")
 def model_save_load(spark, sf_dir):
     rows = scored(spark, sf_dir).drop("fraud_probability", "is_flagged")
-    # Ten trees are enough to tell a model that was read back from another.
-    few = replace(models.SIMPLE_FOREST, trees=10)
-    fitted = models.train_forest(models.training_rows(rows, few, "is_fraud"), few)
+    plan = replace(models.SIMPLE_FOREST, label="is_fraud")
+    fitted = models.train_forest(models.training_rows(rows, plan), plan)
     loaded = models.save_and_load(fitted, spark)
     before = models.score(rows, fitted).withColumnsRenamed(
         {"fraud_probability": "p_before", "is_flagged": "f_before"}
@@ -237,28 +338,36 @@ def model_save_load(spark, sf_dir):
 @query(
     f"""
 , m as (select {PRECISION_SQL} from scored)
-select 'v' || cast(i as varchar) as version, passed,
-       max(case when passed then 'v' || cast(i as varchar) end) over (order by i) as promoted_version
-from (select 1 i, recall >= 0.25 and precision >= 0.25 passed from m
-      union all select 2, recall >= 0.75 and precision >= 0.6 from m)
+select i as attempt, 'v' || cast(v as varchar) as version, passed, 'v1' as promoted_version,
+       (select round(sum(fraud_probability), 4) from scored) as total_score
+from (select 1 i, 1 v, recall >= 0.25 and precision >= 0.25 passed from m
+      union all select 2, 2, recall >= 0.75 and precision >= 0.6 from m
+      union all select 3, 1, recall >= 2 from m)
 """
 )
 def promote_model(spark, sf_dir):
     registry = models.ModelRegistry(spark, scratch(spark, "registry"))
     rows = scored(spark, sf_dir)
+    plain_rows = rows.drop("fraud_probability", "is_flagged")
     out = None
-    for version, recall, precision in [("v1", 0.25, 0.25), ("v2", 0.75, 0.6)]:
-        candidate = stand_in_model(200.0)
+    # The third attempt saves another model as v1 again and misses the gate.
+    attempts = [(1, "v1", 200.0, 0.25, 0.25), (2, "v2", 200.0, 0.75, 0.6), (3, "v1", 900.0, 2.0, 0.0)]
+    for attempt, version, scale, recall, precision in attempts:
+        candidate = stand_in_model(scale)
         registry.save_candidate(candidate, version)
-        plain_rows = rows.drop("fraud_probability", "is_flagged")
         measured = metrics.precision_recall(models.score(plain_rows, candidate))
         passed = registry.promote(version, measured, recall, precision)
-        row = registry.table.pointer().select(
+        # A registry that starts now must agree with the one under way.
+        promoted, model = models.ModelRegistry(spark, registry.root).current()
+        total = models.score(plain_rows, model).agg(
+            F.round(F.sum("fraud_probability"), 4).alias("total_score")
+        )
+        row = total.select(
+            F.lit(attempt).alias("attempt"),
             F.lit(version).alias("version"),
             F.lit(passed).alias("passed"),
-            F.col("version").alias("promoted_version"),
+            F.lit(promoted).alias("promoted_version"),
+            "total_score",
         )
-        # The pointer moves on, so each state is kept before the next candidate.
-        row = spark.createDataFrame(row.collect(), row.schema)
         out = row if out is None else out.unionByName(row)
     return out

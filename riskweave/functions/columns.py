@@ -56,5 +56,7 @@ def flagged(probability: str | Column, threshold: float = FLAG_THRESHOLD) -> Col
 
 
 def split_hash(c: str | Column, seed: int = SPLIT_SEED) -> Column:
-    """A reproducible 32-digit hex hash of an id, independent of partitioning."""
-    return F.md5(F.concat(_col(c).cast("string"), F.lit(str(seed))))
+    """A reproducible 32-digit hex hash of an id, independent of partitioning; rows without
+    an id hash like an empty one."""
+    text = F.coalesce(_col(c).cast("string"), F.lit(""))
+    return F.md5(F.concat(text, F.lit(str(seed))))

@@ -12,6 +12,7 @@ from riskweave.operators.skew import (
     COPY_BLOCK,
     GROUP_ROWS,
     each_copy,
+    MAX_HOT_KEYS,
     hot_groups,
     running_totals,
     same_keys,
@@ -26,9 +27,10 @@ FEATURES = [
 
 
 def zscore(amount: Column, mean: Column, std: Column) -> Column:
-    """Standard score; a zero deviation counts as 1, an undefined result as 0."""
+    """Standard score; a zero deviation counts as 1, an undefined result (NULL or NaN, as
+    from an infinite amount) as 0."""
     spread = F.when(std == 0, F.lit(1.0)).otherwise(std)
-    return F.coalesce((amount - mean) / spread, F.lit(0.0))
+    return F.coalesce(no_nan((amount - mean) / spread), F.lit(0.0))
 
 
 def hours_between(later: Column, earlier: Column) -> Column:
@@ -57,6 +59,7 @@ def account_features(
     df: DataFrame,
     by: Sequence[str] = ("account_id",),
     max_group_rows: int = GROUP_ROWS,
+    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """`df` with the three account features.
 
@@ -71,12 +74,14 @@ def account_features(
     the frame is built, so `df` cannot be a stream, but may be one of its batches.
     """
     by = list(by)
-    hot, hot_rows = hot_groups(df, by, max_group_rows)
+    hot, hot_rows, small = hot_groups(df, by, max_group_rows, max_hot_keys)
     if hot is None:
         return _by_window(df, by)
     cond = same_keys(df, hot, by)
     rest = _by_window(df.join(hot, cond, "left_anti"), by)
-    large = _by_slices(df.join(hot, cond, "left_semi"), by, hot_rows, max_group_rows)
+    large = _by_slices(
+        df.join(hot, cond, "left_semi"), by, hot_rows, max_group_rows, many=not small
+    )
     return rest.unionByName(large)
 
 
@@ -116,14 +121,21 @@ def _by_window(df: DataFrame, by: list[str]) -> DataFrame:
 
 
 def _by_slices(
-    df: DataFrame, by: list[str], rows: int, slice_rows: int, copy_block: int = COPY_BLOCK
+    df: DataFrame,
+    by: list[str],
+    rows: int,
+    slice_rows: int,
+    copy_block: int = COPY_BLOCK,
+    many: bool = False,
 ) -> DataFrame:
     """The same features as a sweep over time: each event enters the count at its
     own time and leaves it one hour later, ahead of the events at that instant.
 
     Equal rows, which no order could tell apart, are swept as one with a weight.
     """
-    stats = F.broadcast(account_amount_stats(df, by))  # one row per hot account
+    stats = account_amount_stats(df, by)  # one row per hot account
+    if not many:
+        stats = F.broadcast(stats)
     counted = no_nan("amount").isNotNull().cast("long")
     us, copies = micros("event_time"), F.col("_copies")
     row = F.struct(*df.columns)

@@ -40,10 +40,11 @@ def ranking_metrics(
     """Exact `roc_auc` (ties count half) and step-wise `avg_precision`, one row.
 
     Rows are combined per distinct score first, so a score shared by many costs
-    nothing; the running counts over the scores are cut into slices.
+    nothing; the running counts over the scores are cut into slices. Rows without a score
+    or a label do not count.
     """
     by_score = written(
-        df.groupBy((-F.col(score)).alias("_worst")).agg(
+        df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy((-F.col(score)).alias("_worst")).agg(
             F.sum(F.col(label).cast("long")).alias("_pos"),
             F.count(F.lit(1)).alias("_n"),
         ),
@@ -84,34 +85,22 @@ def split_counts(df: DataFrame, label: str = "is_fraud") -> DataFrame:
 
 
 def class_balance_weights(df: DataFrame, label: str = "is_fraud") -> DataFrame:
-    """Weight of each class of a 0/1 label: rows / (2 * rows of the class)."""
-    y = F.col(label)
-    counts = df.agg(
-        F.count(y).alias("_n"),
-        F.array(
-            *[
-                F.struct(F.lit(v).alias(label), F.count_if(y == v).alias("n_class"))
-                for v in (0, 1)
-            ]
-        ).alias("_c"),
-    )
-    return (
-        counts.select("_n", F.explode("_c").alias("c"))
-        .filter("c.n_class > 0")
-        .select(
-            f"c.{label}",
-            "c.n_class",
-            (F.col("_n") / (2.0 * F.col("c.n_class"))).alias("class_weight"),
-        )
+    """Weight of each class: rows / (classes * rows of the class). Rows without a label
+    are no class."""
+    sizes = df.filter(F.col(label).isNotNull()).groupBy(label).agg(
+        F.count(F.lit(1)).alias("n_class")
     )
+    rows, classes = sizes.agg(F.sum("n_class"), F.count(F.lit(1))).first()
+    weight = F.lit(float(rows or 0)) / (F.lit(float(classes)) * F.col("n_class"))
+    return sizes.select(label, "n_class", weight.alias("class_weight"))
 
 
 def with_class_weights(df: DataFrame, label: str = "is_fraud") -> DataFrame:
-    """`df` with `class_weight`, as a conditional on the two-valued label."""
-    weight = F.lit(None).cast("double")
-    for r in class_balance_weights(df, label).collect():  # two rows at most
-        weight = F.when(F.col(label) == r[label], r["class_weight"]).otherwise(weight)
-    return df.withColumn("class_weight", weight)
+    """`df` with `class_weight`."""
+    weights = class_balance_weights(df, label).select(
+        F.col(label).alias("_class"), "class_weight"
+    )
+    return df.join(weights, df[label] == weights["_class"], "left").drop("_class")
 
 
 def category_index(

@@ -19,7 +19,7 @@ def filter_day(df: DataFrame, day: str, column: str = "scored_at") -> DataFrame:
 
 def daily_fraud_metrics(df: DataFrame) -> DataFrame:
     """Transactions, flags, flagged money and mean probability of each scoring day."""
-    flagged_money = F.when(F.col("is_flagged") == 1, F.col("amount").cast(MONEY))
+    flagged_money = F.when(F.col("is_flagged") == 1, F.col("amount").try_cast(MONEY))
     return df.groupBy(F.to_date("scored_at").alias("metric_date")).agg(
         F.count(F.lit(1)).alias("total_transactions"),
         F.sum("is_flagged").cast("long").alias("flagged_transactions"),

@@ -12,8 +12,7 @@ from riskweave.session import written
 
 # One task sorts at most about this many rows of one group.
 GROUP_ROWS = 5_000_000
-# Hot keys are kept on the driver and broadcast, so their number is limited;
-# the row limit is raised until they fit, which always ends (keys <= rows / limit).
+# So many hot keys at most are broadcast.
 MAX_HOT_KEYS = 100_000
 # Carried totals are broadcast, one row per slice at most; beyond this number of
 # slices the slices grow instead.
@@ -31,22 +30,25 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def hot_groups(
-    df: DataFrame, keys: Sequence[str], limit: int = GROUP_ROWS
-) -> tuple[DataFrame | None, int]:
-    """The groups with more than `limit` rows (None if there are none) and their row total.
-
-    One aggregate over the key columns alone, combined before the shuffle.
+    df: DataFrame,
+    keys: Sequence[str],
+    limit: int = GROUP_ROWS,
+    max_keys: int = MAX_HOT_KEYS,
+) -> tuple[DataFrame | None, int, bool]:
+    """The groups with more than `limit` rows (None if there are none), their row total,
+    and whether they are few enough for a broadcast.
+
+    One aggregate over the key columns alone, combined before the shuffle. Up to
+    `max_keys` hot groups are broadcast; more are kept as a table for an ordinary join.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    while True:
-        rows = sizes.filter(F.col("_rows") > limit).limit(MAX_HOT_KEYS + 1).collect()
-        if len(rows) <= MAX_HOT_KEYS:
-            break
-        limit *= 10
-    if not rows:
-        return None, 0
-    hot = df.sparkSession.createDataFrame(rows, sizes.schema).select(*keys)
-    return F.broadcast(hot), sum(r["_rows"] for r in rows)
+    hot = written(sizes.filter(F.col("_rows") > limit), "hot-groups")
+    n, total = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    if not n:
+        return None, 0, True
+    small = n <= max_keys
+    found = hot.select(*keys)
+    return F.broadcast(found) if small else found, total, small
 
 
 def running_totals(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskweave.functions.columns import split_hash
 from riskweave.schemas import SPLIT_SEED, TRAIN_SHARE
 
-MAX_CLASSES = 100
+MAX_CLASSES = 100  # up to which class ends are written into the plan
 
 
 def random_split(
@@ -20,8 +20,8 @@ def random_split(
     seed: int = SPLIT_SEED,
 ) -> DataFrame:
     """`df` with `split`: train below the share's place in the hash range. No shuffle."""
-    bound = format(int(share * 16**8), "08x")
-    train = F.substring(split_hash(id_column, seed), 1, 8) < bound
+    place = F.conv(F.substring(split_hash(id_column, seed), 1, 8), 16, 10).cast("long")
+    train = place < F.lit(int(Decimal(str(share)) * 16**8))
     return df.withColumn("split", F.when(train, "train").otherwise("test"))
 
 
@@ -73,12 +73,16 @@ def stratified_split(
         .groupBy("_y")
         .agg(F.max("_h").alias("_last"))
     )
-    # One row per class: the ends become constants, the split a plain expression.
-    ends = last.limit(MAX_CLASSES + 1).collect()
-    if len(ends) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    # One row per class. A few classes become a plain expression, more a join.
+    few = last.limit(MAX_CLASSES + 1).collect()
+    if len(few) > MAX_CLASSES:
+        last = last.select(F.col("_y").alias("_class"), "_last")
+        rows = df.join(last, df[label].eqNullSafe(last["_class"]), "left")
+        train = split_hash(id_column, seed) <= F.coalesce("_last", F.lit(""))
+        split = F.when(train, "train").otherwise("test")
+        return rows.select(*[df[c] for c in df.columns], split.alias("split"))
     train = F.lit(False)
-    for r in ends:
+    for r in few:
         train = train | (
             F.col(label).eqNullSafe(F.lit(r["_y"]))
             & (split_hash(id_column, seed) <= F.lit(r["_last"]))

@@ -8,6 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskweave.operators.checks import check_rules
 from riskweave.operators.rollup import daily_fraud_metrics, filter_day
 from riskweave.plans.model import (
     BEHAVIOUR_FOREST,
@@ -16,10 +17,12 @@ from riskweave.plans.model import (
     stamp_metrics,
     train_and_evaluate,
 )
-from riskweave.schemas import MIN_PRECISION, MIN_RECALL
-from riskweave.session import temporary
+from riskweave.schemas import MIN_PRECISION, MIN_RECALL, NOT_NULL
+from riskweave.session import complete_folders, remove, temporary
 from riskweave.sinks.tables import write_daily_metrics, write_metrics
 
+KEEP_SNAPSHOTS = 30
+
 
 @dataclass(frozen=True)
 class DailyRun:
@@ -42,15 +45,25 @@ def daily_run(
     analytics: DataFrame,
     root: str,
     run_date: str,
-    label: str = "is_fraud",
+    label: str | None = None,
     plan: ForestPlan = BEHAVIOUR_FOREST,
     min_recall: float = MIN_RECALL,
     min_precision: float = MIN_PRECISION,
+    keep_snapshots: int = KEEP_SNAPSHOTS,
 ) -> DailyRun:
     """One day's work below `root`. A candidate that misses the gate leaves the
-    current model and is reported, the rollup of the day before is made anyway."""
+    current model and is reported, the rollup of the day before is made anyway.
+
+    Violations of the scored table's rules are written next to the metrics; they do not
+    stop the run, for the history cannot be loaded anew. The newest snapshots are kept.
+    """
     snapshot = f"{root}/snapshots/{run_date}"
     history.write.mode("overwrite").parquet(snapshot)
+    for old in sorted(complete_folders(spark, f"{root}/snapshots"))[:-keep_snapshots]:
+        remove(spark, f"{root}/snapshots/{old}")
+    present = spark.read.parquet(snapshot)
+    if set(NOT_NULL["transactions_scored"]) <= set(present.columns):
+        write_metrics(check_rules(present, "transactions_scored"), f"{root}/checks/{run_date}")
     metrics_path = f"{root}/metrics/{run_date}"
     with temporary(spark):
         model, metrics = train_and_evaluate(spark.read.parquet(snapshot), plan, label)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -48,6 +49,8 @@ class ForestPlan:
     depth: int
     balanced: bool
     stratified: bool
+    label: str = "is_fraud"
+    keeps_gaps: bool = True  # rows without a category stay, as an unknown one
 
 
 # The two forests.
@@ -55,7 +58,14 @@ BEHAVIOUR_FOREST = ForestPlan(
     tuple(NUMERIC_FEATURES), one_hot=True, trees=200, depth=8, balanced=True, stratified=True
 )
 SIMPLE_FOREST = ForestPlan(
-    ("amount",), one_hot=False, trees=100, depth=10, balanced=False, stratified=False
+    ("amount",),
+    one_hot=False,
+    trees=100,
+    depth=10,
+    balanced=False,
+    stratified=False,
+    label="is_flagged",
+    keeps_gaps=False,
 )
 
 
@@ -99,22 +109,29 @@ def forest_stages(
     return Pipeline(stages=[*stages, assembler, forest])
 
 
-def training_rows(df: DataFrame, plan: ForestPlan, label: str) -> DataFrame:
-    """Complete rows with the features the plan asks for, and their split."""
+def training_rows(df: DataFrame, plan: ForestPlan, label: str | None = None) -> DataFrame:
+    """Rows with the features the plan asks for, and their split.
+
+    A row needs its label and its numbers, and its categories unless the plan keeps gaps.
+    The id is no feature; rows without one stay.
+    """
+    label = label or plan.label
     if set(plan.numeric) - {"amount"}:
         df = account_features(df)
     wanted = ["transaction_id", *plan.numeric, *CATEGORY_FEATURES, label]
-    df = df.select(*wanted).dropna(how="any")
+    needed = [*plan.numeric, label, *([] if plan.keeps_gaps else CATEGORY_FEATURES)]
+    df = df.select(*wanted).dropna(how="any", subset=needed)
     # Read again by the split, the vocabularies, the trees and the evaluation.
     df = written(df, "training")
     return stratified_split(df, label) if plan.stratified else random_split(df)
 
 
 def train_forest(
-    rows: DataFrame, plan: ForestPlan = BEHAVIOUR_FOREST, label: str = "is_fraud"
+    rows: DataFrame, plan: ForestPlan = BEHAVIOUR_FOREST, label: str | None = None
 ) -> PipelineModel:
     """A fitted model from the training side of `training_rows`; the vocabularies are
     learnt from that side only."""
+    label = label or plan.label
     train = rows.filter("split = 'train'")
     if plan.balanced:
         train = with_class_weights(train, label)
@@ -128,7 +145,8 @@ def score(df: DataFrame, model: Transformer) -> DataFrame:
         out = out.withColumn(
             "fraud_probability", vector_to_array("probability")[1].cast("double")
         )
-    return out.select(*df.columns, "fraud_probability").withColumn(
+    kept = [c for c in df.columns if c != "fraud_probability"]
+    return out.select(*kept, "fraud_probability").withColumn(
         "is_flagged", flagged("fraud_probability")
     )
 
@@ -173,13 +191,12 @@ def predict_and_evaluate(
     rows: DataFrame, model: Transformer, label: str = "is_fraud"
 ) -> DataFrame:
     """Metrics of the model on the test side of `training_rows`, with the row counts."""
+    # The label may be named like the decision, so it is set apart first.
+    test = rows.filter("split = 'test'").withColumn("_label", F.col(label))
     scored = written(
-        score(rows.filter("split = 'test'"), model).select(
-            label, "fraud_probability", "is_flagged"
-        ),
-        "predictions",
+        score(test, model).select("_label", "fraud_probability", "is_flagged"), "predictions"
     )
-    return side_by_side(evaluate(scored, label), split_counts(rows, label)).select(
+    return side_by_side(evaluate(scored, "_label"), split_counts(rows, label)).select(
         *METRIC_COLUMNS
     )
 
@@ -195,9 +212,10 @@ def stamp_metrics(metrics: DataFrame, version: str) -> DataFrame:
 
 
 def train_and_evaluate(
-    df: DataFrame, plan: ForestPlan = BEHAVIOUR_FOREST, label: str = "is_fraud"
+    df: DataFrame, plan: ForestPlan = BEHAVIOUR_FOREST, label: str | None = None
 ) -> tuple[PipelineModel | None, DataFrame]:
-    """(model, metrics row); no model and zero metrics if no complete row is left."""
+    """(model, metrics row); no model and zero metrics if no usable row is left."""
+    label = label or plan.label
     rows = training_rows(df, plan, label)
     if rows.isEmpty():
         return None, empty_metrics(df.sparkSession)
@@ -206,16 +224,22 @@ def train_and_evaluate(
 
 
 class ModelRegistry:
-    """Models by version; the promoted one is named by a pointer row written last."""
+    """Models by version; the promoted one is named by a pointer written last.
+
+    Every candidate has a folder of its own, so trying a version again never touches a
+    model that is in use.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
         self.table = VersionedTable(spark, root)
         self._loaded: tuple[str, PipelineModel] | None = None
+        self._saved: dict[str, str] = {}
 
     def save_candidate(self, model: PipelineModel, version: str) -> str:
-        path = f"{self.root}/versions/{version}"
-        model.write().overwrite().save(path)
+        path = f"{self.root}/versions/{version}-{uuid.uuid4().hex}"
+        model.write().save(path)
+        self._saved[version] = path
         return path
 
     def promote(
@@ -224,24 +248,25 @@ class ModelRegistry:
         metrics: DataFrame,
         min_recall: float = MIN_RECALL,
         min_precision: float = MIN_PRECISION,
+        path: str | None = None,
     ) -> bool:
         """Makes a saved candidate current if its metrics pass the gate; otherwise
-        the current model stays."""
+        the current model stays. `path` is where it was saved, if not by this object."""
         gate = quality_gate(metrics, min_recall, min_precision).first()
         if gate is not None and gate["passed"]:
-            self.table.point_to(f"{self.root}/versions/{version}", version)
+            self.table.point_to(path or self._saved[version], version)
             return True
         return False
 
     def current(self) -> tuple[str, PipelineModel]:
-        """(version, model) now promoted; loads again only when the version changed."""
+        """(version, model) now promoted; loads again only when another was promoted."""
         pointer = self.table.pointer()
         if pointer is None:
             raise LookupError(f"no model has been promoted in {self.root}")
         row = pointer.first()
-        if self._loaded is None or self._loaded[0] != row["version"]:
-            self._loaded = (row["version"], PipelineModel.load(row["path"]))
-        return self._loaded
+        if self._loaded is None or self._loaded[0] != row["path"]:
+            self._loaded = (row["path"], PipelineModel.load(row["path"]))
+        return row["version"], self._loaded[1]
 
 
 def save_and_load(model: PipelineModel, spark: SparkSession) -> PipelineModel:

@@ -7,16 +7,16 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from riskweave.operators.checks import verify_output
+from riskweave.operators.checks import require_rules, verify_output
 from riskweave.operators.cleaning import clean_orders
-from riskweave.schemas import MAX_MESSAGES, ORDER_FLOW_NAME
-from riskweave.sinks.stores import replace_batch
+from riskweave.schemas import ORDER_FLOW_NAME
 from riskweave.sinks.tables import VersionedTable, full_refresh, order_summary_rows
 from riskweave.sources.messages import bounded_drain, read_orders, split_orders
 
 
 @dataclass(frozen=True)
 class OrderLoad:
+    taken: int
     loaded: int
     status: str
 
@@ -26,33 +26,49 @@ def load_orders(
     target: VersionedTable,
     run_date: str,
     quarantine: str | None = None,
-    limit: int | None = MAX_MESSAGES,
-    flow: str = ORDER_FLOW_NAME,
-    skip_if_empty: bool = False,
-    batch_id: int | None = None,
-    keep_versions: int | None = None,
+    limit: int | None = None,
+    **options,
 ) -> OrderLoad:
     """Loads queue messages (`seq`, `value`) into the order summary, replacing it.
 
-    `limit` bounds one run to the oldest messages; None takes the whole backlog.
-    Rejected messages are added to `quarantine`, or, with a `batch_id`, take the place
-    of what an earlier try of that batch rejected.
+    The whole backlog is taken. A caller that can continue behind the messages taken may
+    bound one run to the oldest `limit`.
     """
     if limit is not None:
         messages = bounded_drain(messages, limit)
-    # The queue is read and parsed once; the good and the bad part come from the copy.
-    read = read_orders(messages).persist(StorageLevel.MEMORY_AND_DISK)
+    return load_read_orders(read_orders(messages), target, run_date, quarantine, **options)
+
+
+def load_read_orders(
+    read: DataFrame,
+    target: VersionedTable,
+    run_date: str,
+    quarantine: str | None = None,
+    flow: str = ORDER_FLOW_NAME,
+    skip_if_empty: bool = False,
+    keep_versions: int | None = None,
+) -> OrderLoad:
+    """The load from rows of `read_orders`. Rejected messages are added to `quarantine`.
+
+    Rows that break the rules of the order summary stop the load before it replaces
+    anything.
+    """
+    # The messages are read and parsed once; the good and the bad part come from the copy.
+    read = read.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good, bad = split_orders(read)
-        if quarantine and batch_id is not None:
-            replace_batch(bad, quarantine, batch_id)
-        elif quarantine:
+        if quarantine:
             bad.write.mode("append").parquet(quarantine)
         cleaned = clean_orders(good, run_date, flow)
-        rows = order_summary_rows(cleaned, run_date)
-        loaded = full_refresh(target, rows, skip_if_empty, keep_versions)
+        rows = order_summary_rows(cleaned, run_date).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            require_rules(rows, "order_summary")
+            loaded = full_refresh(target, rows, skip_if_empty, keep_versions)
+        finally:
+            rows.unpersist()
         # Cleaning leaves rows exactly when there were good messages.
         status = verify_output(good, "cleaned_orders", good.sparkSession).first()["status"]
+        taken = read.count()
     finally:
         read.unpersist()
-    return OrderLoad(loaded, status)
+    return OrderLoad(taken, loaded, status)

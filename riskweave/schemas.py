@@ -73,21 +73,21 @@ TABLES = {
     "transactions_scored": (
         "transaction_id STRING, account_id STRING, amount DECIMAL(12,2),"
         " merchant_category STRING, location STRING, event_time TIMESTAMP,"
-        " fraud_probability DOUBLE, is_flagged INT, scored_at TIMESTAMP",
-        [],
+        " fraud_probability DOUBLE, is_flagged INT, scored_at TIMESTAMP, batch_id BIGINT",
+        ["batch_id"],
     ),
     "transactions_scored_history": (
         "transaction_id STRING, account_id STRING, amount DOUBLE,"
         " merchant_category STRING, location STRING, event_time TIMESTAMP,"
         " fraud_probability DOUBLE, is_flagged INT, scored_at TIMESTAMP,"
-        " event_date DATE",
-        ["event_date"],
+        " event_date DATE, batch_id BIGINT",
+        ["event_date", "batch_id"],
     ),
     "transactions_scored_analytics": (
         "transaction_id STRING, account_id STRING, amount DECIMAL(12,2),"
         " merchant_category STRING, location STRING, fraud_probability DOUBLE,"
-        " is_flagged INT, scored_at TIMESTAMP, scored_month STRING",
-        ["scored_month"],
+        " is_flagged INT, scored_at TIMESTAMP, scored_month STRING, batch_id BIGINT",
+        ["scored_month", "batch_id"],
     ),
     "fraud_metrics_daily": (
         "total_transactions BIGINT, flagged_transactions BIGINT,"

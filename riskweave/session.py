@@ -72,6 +72,20 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def complete_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below `path` that a Spark job has finished writing."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    return [
+        f.getPath().getName()
+        for f in fs.listStatus(top)
+        if f.isDirectory() and fs.exists(done(f.getPath(), "_SUCCESS"))
+    ]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a Parquet table in the shared folder.
 

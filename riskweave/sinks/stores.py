@@ -7,11 +7,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators.rollup import batch_summary
 from riskweave.schemas import ANALYTICS_COLUMNS, LAKE_COLUMNS, MONEY, OPS_COLUMNS
+from riskweave.session import complete_folders, remove
 
 BATCH = "batch_id"
 log = logging.getLogger(__name__)
@@ -40,21 +41,19 @@ def write_partitioned(
     partitions: Sequence[str] = (),
     clustered: Sequence[str] = (),
     mode: str = "append",
-    batch: Sequence[str] = (),
 ) -> None:
     """Parquet below `path`, rows of a partition together and files of even size.
 
     The rebalance splits a partition that holds most of the rows over several
-    tasks and merges small ones; `clustered` orders the rows inside each file. `batch`
-    are further partition columns with one value in all of `df`.
+    tasks and merges small ones; `clustered` orders the rows inside each file.
     """
     if partitions:
         df = df.hint("rebalance", *partitions)
     if clustered:
-        df = df.sortWithinPartitions(*partitions, *batch, *clustered)
+        df = df.sortWithinPartitions(*partitions, *clustered)
     writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    if partitions or batch:
-        writer = writer.partitionBy(*partitions, *batch)
+    if partitions:
+        writer = writer.partitionBy(*partitions)
     writer.parquet(path)
 
 
@@ -65,27 +64,119 @@ def replace_batch(
     partitions: Sequence[str] = (),
     clustered: Sequence[str] = (),
 ) -> None:
-    """The rows of one batch, in place of what an earlier try of it left behind."""
-    stamped = df.withColumn(BATCH, F.lit(batch_id).cast("long"))
-    write_partitioned(stamped, path, partitions, clustered, "overwrite", [BATCH])
+    """The rows of one batch, in place of all that an earlier try of it left behind.
+
+    A batch has a folder of its own, named so that readers of `path` see `batch_id`.
+    """
+    folder = f"{path}/{BATCH}={batch_id}"
+    remove(df.sparkSession, folder)  # as a whole, with partitions the new rows have not
+    write_partitioned(df, folder, partitions, clustered)
 
 
 @dataclass(frozen=True)
 class TableStore:
-    """A Parquet table that a batch can be written to again without doubling rows."""
+    """A Parquet table that a batch can be written to again without doubling rows.
+
+    New batches are open: each has its own folder. `compact` moves all but the newest
+    into files by partition, which stay as few as the days are, and one pointer says up to
+    which batch that is done; readers see closed and open batches once each.
+    """
 
     path: str
     rows: Callable[[DataFrame], DataFrame]
     partitions: tuple[str, ...] = ()
     clustered: tuple[str, ...] = ()
 
+    @property
+    def _open(self) -> str:
+        return f"{self.path}/open"
+
+    def _closed(self, spark: SparkSession) -> list[str]:
+        """Folders of the compactions that count, the last one closed named last."""
+        done = complete_folders(spark, f"{self.path}/pointer")
+        whole = complete_folders(spark, f"{self.path}/closed")
+        return sorted(n for n in whole if done and n <= max(done))
+
+    def closed_up_to(self, spark: SparkSession) -> int:
+        closed = self._closed(spark)
+        return int(closed[-1].split("-")[1]) if closed else -1
+
     def write(self, scored: DataFrame, batch_id: int) -> None:
+        if batch_id <= self.closed_up_to(scored.sparkSession):
+            return  # it was whole before it was closed
         replace_batch(
-            self.rows(scored), self.path, batch_id, self.partitions, self.clustered
+            self.rows(scored), self._open, batch_id, self.partitions, self.clustered
+        )
+
+    def _open_batches(self, spark: SparkSession) -> list[int]:
+        names = complete_folders(spark, self._open)
+        return sorted(int(n.removeprefix(f"{BATCH}=")) for n in names)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        upto = self.closed_up_to(spark)
+        out = None
+        for name in self._closed(spark):
+            part = spark.read.parquet(f"{self.path}/closed/{name}")
+            out = part if out is None else out.unionByName(part)
+        if any(b > upto for b in self._open_batches(spark)):
+            part = spark.read.parquet(self._open).filter(F.col(BATCH) > upto)
+            part = part.withColumn(BATCH, F.col(BATCH).cast("long"))
+            out = part if out is None else out.unionByName(part)
+        if out is None:
+            raise FileNotFoundError(f"no batch has been written to {self.path}")
+        return out
+
+    def compact(self, spark: SparkSession) -> int:
+        """Closes all open batches but the newest, which the stream may still repeat;
+        returns how many. Only the pointer, written last, makes the step count: a run that
+        fails before leaves the open batches as they are."""
+        upto = self.closed_up_to(spark)
+        batches = self._open_batches(spark)[:-1]
+        for batch in batches:  # left behind by a run that failed behind the pointer
+            if batch <= upto:
+                remove(spark, f"{self._open}/{BATCH}={batch}")
+        closing = [b for b in batches if b > upto]
+        if not closing:
+            return 0
+        name = f"{closing[0]:019d}-{closing[-1]:019d}"
+        remove(spark, f"{self.path}/closed/{name}")
+        rows = spark.read.parquet(self._open).filter(F.col(BATCH).between(closing[0], closing[-1]))
+        write_partitioned(
+            rows.withColumn(BATCH, F.col(BATCH).cast("long")),
+            f"{self.path}/closed/{name}",
+            self.partitions,
+            self.clustered,
         )
+        spark.range(1).write.mode("overwrite").parquet(f"{self.path}/pointer/{name}")
+        for batch in closing:
+            remove(spark, f"{self._open}/{BATCH}={batch}")
+        return len(closing)
 
-    def read(self, spark) -> DataFrame:
-        return spark.read.parquet(self.path)
+
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a `TableStore`, or of plain Parquet."""
+    if complete_folders(spark, f"{path}/open") or complete_folders(spark, f"{path}/pointer"):
+        return TableStore(path, lambda df: df).read(spark)
+    return spark.read.parquet(path)
+
+
+@dataclass(frozen=True)
+class CatalogStore:
+    """A table of the catalog (`create_tables`), partitioned by batch; a batch written
+    again replaces its own partitions."""
+
+    table: str
+    rows: Callable[[DataFrame], DataFrame]
+
+    def write(self, scored: DataFrame, batch_id: int) -> None:
+        spark = scored.sparkSession
+        rows = self.rows(scored).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        columns = spark.table(self.table).columns
+        rows.select(*columns).write.mode("overwrite").insertInto(self.table)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.table(self.table)
 
 
 @dataclass(frozen=True)
@@ -107,8 +198,19 @@ class JdbcStore:
         spark = scored.sparkSession
         rows = self.rows(scored).dropDuplicates([self.key])
         first, last = rows.agg(F.min(self.time_column), F.max(self.time_column)).first()
+        # Read back by several connections, each with a part of the batch's time span.
+        reader = spark.read.format("jdbc").options(
+            **self.properties, url=self.url, dbtable=self.table
+        )
+        if first is not None and first < last:
+            reader = reader.options(
+                partitionColumn=self.time_column,
+                lowerBound=str(first),
+                upperBound=str(last),
+                numPartitions=str(self.connections),
+            )
         present = (
-            spark.read.jdbc(self.url, self.table, properties=self.properties)
+            reader.load()
             .filter(F.col(self.time_column).between(F.lit(first), F.lit(last)))
             .select(self.key)
         )

@@ -4,20 +4,19 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.schemas import TABLES
-from riskweave.session import remove
+from riskweave.session import complete_folders, remove
 from riskweave.sinks.stores import write_partitioned
 
 
 class VersionedTable:
     """A table whose readers see either the old or the new rows, never a mixture.
 
-    Every refresh writes its own folder and then one pointer row; the newest
-    pointer names the current version.
+    Every refresh writes its own folder and then one pointer; the newest pointer names
+    the current version. Pointers are numbered, so the newest one is found by listing.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -30,37 +29,36 @@ class VersionedTable:
         self.point_to(path, version)
         return path
 
+    def _pointers(self) -> list[int]:
+        """The numbers of the complete pointers, in order."""
+        return [int(n) for n in sorted(complete_folders(self.spark, f"{self.root}/pointer"))]
+
+    def _pointer(self, number: int) -> DataFrame:
+        return self.spark.read.schema(
+            "version string, path string, promoted_at timestamp"
+        ).parquet(f"{self.root}/pointer/{number:012d}")
+
     def point_to(self, path: str, version: str) -> None:
         pointer = self.spark.createDataFrame(
             [(version, path)], "version string, path string"
         ).withColumn("promoted_at", F.current_timestamp())
-        pointer.coalesce(1).write.mode("append").parquet(f"{self.root}/pointer")
-
-    def _history(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(
-                "version string, path string, promoted_at timestamp"
-            ).parquet(f"{self.root}/pointer")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        number = max(self._pointers(), default=0) + 1
+        pointer.coalesce(1).write.parquet(f"{self.root}/pointer/{number:012d}")
 
     def pointer(self) -> DataFrame | None:
         """The current pointer row, None before the first version."""
-        history = self._history()
-        if history is None:
-            return None
-        return history.orderBy(F.col("promoted_at").desc()).limit(1)
+        pointers = self._pointers()
+        return self._pointer(pointers[-1]) if pointers else None
 
     def forget(self, keep: int) -> None:
-        """Removes the folders of all but the `keep` newest versions."""
-        if (history := self._history()) is None:
-            return
-        newest = history.groupBy("path").agg(F.max("promoted_at").alias("at"))
-        old = newest.orderBy(F.col("at").desc()).offset(keep).select("path")
-        for row in old.collect():  # a path per load
-            remove(self.spark, row["path"])
+        """Removes all but the `keep` newest pointers, and the folders only they name."""
+        pointers = self._pointers()
+        named = {n: self._pointer(n).first()["path"] for n in pointers}
+        kept = {named[n] for n in pointers[-keep:]}
+        for n in pointers[:-keep]:
+            if named[n] not in kept:
+                remove(self.spark, named[n])
+            remove(self.spark, f"{self.root}/pointer/{n:012d}")
 
     def read(self) -> DataFrame | None:
         now = self.pointer()

@@ -9,13 +9,19 @@ from pyspark.sql import types as T
 
 
 def scan_training_input(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    format: str | None = None,
 ) -> DataFrame:
-    """Training rows: Parquet by suffix, otherwise CSV with a header line.
+    """Training rows in the `format` parquet or csv (with a header line); without one, by
+    suffix, Parquet if it is `.parquet` and CSV otherwise.
 
     A CSV file read without `schema` is scanned once more to infer one.
     """
-    if path.endswith(".parquet"):
+    if format not in (None, "parquet", "csv"):
+        raise ValueError(f"no such format: {format}")
+    if (format or ("parquet" if path.endswith(".parquet") else "csv")) == "parquet":
         return spark.read.parquet(path)
     reader = spark.read.option("header", True)
     if schema is None:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
 from riskweave.functions.columns import event_time_text, no_nan
 from riskweave.schemas import (
     MAX_MESSAGES,
+    MONEY,
     ORDER_MESSAGE_SCHEMA,
     TRANSACTION_REQUIRED,
     TRANSACTION_SCHEMA,
@@ -111,7 +113,8 @@ def read_transactions(df: DataFrame) -> DataFrame:
     """Typed transactions from `value`, with `event_time` as a timestamp.
 
     `reason` names what is missing in a message that does not parse or lacks a
-    field no store can do without; such a message keeps its `value`.
+    field no store can do without, or says that its amount is no sum of money; such a
+    message keeps its `value`.
     """
     rest = [c for c in df.columns if c not in ("key", "value")]
     typed = {c: F.col(f"_t.{c}") for c in TRANSACTION_SCHEMA.names} | {
@@ -127,6 +130,9 @@ def read_transactions(df: DataFrame) -> DataFrame:
     reason = F.when(
         F.concat_ws("", *missing) != "",
         F.concat(F.lit("missing "), F.concat_ws(",", *missing)),
+    ).when(
+        # Infinite, or more than the stores' money type holds.
+        F.col("amount").try_cast(MONEY).isNull(), F.lit("amount out of range")
     )
     return fields.withColumn("reason", reason).withColumn(
         "value", F.when(F.col("reason").isNotNull(), F.col("value"))
@@ -165,22 +171,15 @@ def split_orders(read: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def bounded_drain(df: DataFrame, limit: int = MAX_MESSAGES, by: str = "seq") -> DataFrame:
-    """The first `limit` messages in arrival order `by`, an integer column.
-
-    A top-k over the whole backlog would hand `limit` rows per task to a single
-    one. Instead the arrival range is narrowed by counting it in 1,000 steps until
-    little more than `limit` rows lie below the bound, which the scan can prune by.
-    """
-    low, high, total = df.agg(F.min(by), F.max(by), F.count(by)).first()
-    if total <= limit:
-        return df
-    before = 0  # messages below `low`, all of them wanted
+def _bound(rows: DataFrame, key: str, low: int, high: int, limit: int) -> tuple[int, int, int]:
+    """The value of `key` at the place `limit` in ascending order, how many rows lie below
+    it and how many have it; found by counting ranges in 1,000 steps."""
+    before = 0
     while True:
         step = max((high - low) // 1000, 1)
-        cell = F.expr(f"(`{by}` - {low}L) div {step}L")  # exact, unlike a double quotient
+        cell = F.expr(f"(`{key}` - {low}L) div {step}L")  # exact, unlike a double quotient
         counts = (
-            df.filter(F.col(by).between(low, high))
+            rows.filter(F.col(key).between(low, high))
             .groupBy(cell.alias("cell"))
             .count()
             .orderBy("cell")
@@ -191,17 +190,41 @@ def bounded_drain(df: DataFrame, limit: int = MAX_MESSAGES, by: str = "seq") ->
                 break
             before += r["count"]
         low, high = low + r["cell"] * step, min(high, low + (r["cell"] + 1) * step - 1)
-        if before + r["count"] <= 2 * limit or step == 1:
-            break
-    near = df.filter(F.col(by) <= high)
-    return near.orderBy(by).limit(limit)
+        if step == 1:
+            return low, before, r["count"]
+
+
+def bounded_drain(
+    df: DataFrame,
+    limit: int = MAX_MESSAGES,
+    by: str | Sequence[str] = ("seq", "partition", "offset"),
+) -> DataFrame:
+    """The first `limit` messages in arrival order: by `seq`, equal ones by partition and
+    offset where those columns exist. All are integers; NULLs come last.
+
+    A top-k over the whole backlog would hand `limit` rows per task to a single one.
+    Instead the value that ends the wanted rows is looked up column by column, and all
+    rows below it are taken as they are. Only messages alike in every column are left to a
+    limit, for it makes no difference which of them are taken.
+    """
+    keys = [by] if isinstance(by, str) else [c for c in by if c in df.columns]
+    taken, rest, left = F.lit(False), F.lit(True), limit
+    for key in keys:
+        rows = df.filter(rest)
+        low, high, n = rows.agg(F.min(key), F.max(key), F.count(key)).first()
+        if n <= left:
+            taken = taken | (rest & F.col(key).isNotNull())
+            rest, left = rest & F.col(key).isNull(), left - n
+            continue
+        value, below, same = _bound(rows, key, low, high, left)
+        taken = taken | (rest & F.coalesce(F.col(key) < value, F.lit(False)))
+        rest, left = rest & F.col(key).eqNullSafe(F.lit(value)), left - below
+        if same == left:
+            return df.filter(taken | rest)
+    first = df.filter(taken)
+    return first.unionAll(df.filter(rest).limit(left)) if left else first
 
 
 def source_backlog(df: DataFrame) -> DataFrame:
     """How many messages are pending."""
     return df.agg(F.count(F.lit(1)).alias("pending"))
-
-
-def rows_taken(query: StreamingQuery) -> int:
-    """How many rows the recent batches of a stream took from its sources."""
-    return sum(p["numInputRows"] for p in query.recentProgress)

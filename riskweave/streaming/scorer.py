@@ -18,6 +18,7 @@ from riskweave.sinks.stores import fan_out, replace_batch
 from riskweave.sources.messages import good_and_bad, read_transactions
 
 Model = Callable[[], tuple[str, object]]
+TAKEN_AT = "_taken_at"
 
 
 def score_batch(
@@ -28,10 +29,14 @@ def score_batch(
 ) -> DataFrame:
     """Scored rows of one micro-batch; features look at this batch only.
 
-    The scoring time is taken once, so every store gets the same value.
+    The scoring time is that of the batch (TAKEN_AT), which a stream keeps with its
+    offsets: a batch that is repeated gets the same one. Elsewhere it is taken once.
     """
+    rows = score(account_features(good, by), model)
+    if scored_at is None and TAKEN_AT in rows.columns:
+        return rows.withColumnRenamed(TAKEN_AT, "scored_at")
     now = scored_at or datetime.now(timezone.utc)
-    return score(account_features(good, by), model).withColumn("scored_at", F.lit(now))
+    return rows.drop(TAKEN_AT).withColumn("scored_at", F.lit(now))
 
 
 def batch_writer(
@@ -40,11 +45,13 @@ def batch_writer(
     quarantine: str | None = None,
     scored_at: Callable[[DataFrame], DataFrame] | None = None,
     by: Sequence[str] = ("account_id",),
+    taken: dict[int, int] | None = None,
 ):
     """The function a stream calls with each micro-batch of messages.
 
     `model` gives (version, model) and is asked anew for each batch, so a promoted
-    model takes over with the next one. Bad messages go to the `quarantine` table.
+    model takes over with the next one. Bad messages go to the `quarantine` table. `taken`
+    is given the number of messages of each batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -52,9 +59,11 @@ def batch_writer(
         read = read_transactions(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             with temporary(batch.sparkSession):
+                if taken is not None:
+                    taken[batch_id] = read.count()
                 good, bad = good_and_bad(read)
                 if quarantine:
-                    replace_batch(bad, quarantine, batch_id)
+                    replace_batch(bad.drop(TAKEN_AT), quarantine, batch_id)
                 if good.isEmpty():
                     return
                 _, fitted = model()
@@ -77,9 +86,10 @@ def start_scoring(
     """Starts the scorer on a stream with a `value` column.
 
     Offsets are kept in `checkpoint`: a restart resumes where the stream stopped and
-    repeats at most the last batch, which the stores replace.
+    repeats at most the last batch, which the stores replace: its time of scoring is fixed
+    with its offsets, so it goes to the same place again.
     """
-    writer = messages.writeStream.foreachBatch(
+    writer = messages.withColumn(TAKEN_AT, F.current_timestamp()).writeStream.foreachBatch(
         batch_writer(model, stores, **options)
     ).option("checkpointLocation", checkpoint)
     if available_now:

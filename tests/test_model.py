@@ -78,6 +78,38 @@ def test_stratified_split_keeps_copies_together(spark):
     assert sides.filter("n > 1").count() == 0
 
 
+def test_split_by_more_classes_than_a_plan_holds(spark):
+    rows = spark.range(3000).selectExpr(
+        "cast(id as string) as transaction_id", "nullif(id % 150, 7) as kind"
+    )
+    got = splits.stratified_split(rows, "kind")
+    sizes = {(r["kind"], r["n"]) for r in got.filter("split = 'train'").groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert sizes == {(k if k != 7 else None, 16) for k in range(150)}
+    assert got.columns == ["transaction_id", "kind", "split"] and got.count() == 3000
+
+
+def test_shares_of_none_and_all(rows):
+    assert splits.random_split(rows, share=1.0).filter("split = 'test'").isEmpty()
+    assert splits.random_split(rows, share=0.0).filter("split = 'train'").isEmpty()
+    assert splits.stratified_split(rows, share=1.0).filter("split = 'test'").isEmpty()
+    assert splits.stratified_split(rows, share=0.0).filter("split = 'train'").isEmpty()
+
+
+def test_weights_of_any_classes(spark):
+    one = spark.createDataFrame([("a",)] * 4, "kind string")
+    assert [r["class_weight"] for r in metrics.class_balance_weights(one, "kind").collect()] == [1.0]
+    gap = spark.createDataFrame([("a",), ("b",), ("c",), (None,), ("c",)], "kind string")
+    got = {r["kind"]: r["class_weight"] for r in metrics.with_class_weights(gap, "kind").collect()}
+    assert got == {"a": 4 / 3, "b": 4 / 3, "c": 2 / 3, None: None}
+
+
+def test_ranking_leaves_out_rows_without_score_or_label(spark, rows):
+    gap = rows.select("is_fraud", "fraud_probability").unionByName(
+        spark.createDataFrame([(1, None), (None, 0.5)], "is_fraud int, fraud_probability double")
+    )
+    assert metrics.ranking_metrics(gap).collect() == metrics.ranking_metrics(rows).collect()
+
+
 def test_class_weights(spark):
     df = spark.createDataFrame([(0,)] * 6 + [(1,)] * 2, "is_fraud int")
     got = {r["is_fraud"]: r["class_weight"] for r in metrics.with_class_weights(df).collect()}

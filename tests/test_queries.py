@@ -7,7 +7,7 @@ from conftest import SF_DIR
 from __spark_entry__ import entry, oracle_sql, queries
 from riskweave.catalog import ORACLE, QUERIES
 
-ROWS_ONLY = {"train_and_evaluate_simple_forest"}
+ROWS_ONLY: set[str] = set()
 
 
 @pytest.fixture(scope="module")

@@ -37,7 +37,9 @@ def test_running_totals_without_groups(spark):
 
 def test_hot_groups(spark):
     df = spark.createDataFrame([("a",)] * 9 + [(None,)] * 5 + [("b",)], "k string")
-    hot, rows = hot_groups(df, ["k"], 4)
+    hot, rows, small = hot_groups(df, ["k"], 4)
     assert {r["k"] for r in hot.collect()} == {"a", None}
     assert rows == 14
-    assert hot_groups(df, ["k"], 9) == (None, 0)
+    assert small
+    assert not hot_groups(df, ["k"], 4, max_keys=0)[2]
+    assert hot_groups(df, ["k"], 9) == (None, 0, True)

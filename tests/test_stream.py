@@ -1,15 +1,25 @@
 """The streaming scorer: quarantine, replay, restart, the forest in a stream."""
 
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 from riskweave.catalog.stream import _deliver, feature_model
 from riskweave.plans import model as models
 from riskweave.plans.views import scored, txn
 from riskweave.session import scratch
-from riskweave.sinks.stores import JdbcStore, batch_counts, fan_out, ops_rows, table_stores
+from riskweave.sinks.stores import (
+    JdbcStore,
+    analytics_rows,
+    batch_counts,
+    fan_out,
+    ops_rows,
+    table_stores,
+)
 from riskweave.sources.files import scan_training_input
-from riskweave.sources.messages import encode_transactions, message_files, rows_taken
-from riskweave.streaming.scorer import batch_writer, start_scoring
+from riskweave.sources.messages import encode_transactions, message_files
+from riskweave.streaming.scorer import TAKEN_AT, batch_writer, start_scoring
 
 
 def test_stream_with_forest_and_quarantine(spark, sf_dir):
@@ -58,18 +68,60 @@ def test_continuous_trigger(spark, sf_dir):
     assert stores[0].read(spark).count() == 1000
 
 
-def test_rows_taken(spark, sf_dir):
+def test_taken_messages_are_counted_once(spark, sf_dir):
     root = scratch(spark, "taken")
     _deliver(txn(spark, sf_dir), f"{root}/in")
-    query = start_scoring(
+    taken = {}
+    start_scoring(
         message_files(spark, f"{root}/in"),
         lambda: ("v", feature_model()),
         table_stores(f"{root}/stores"),
         f"{root}/checkpoint",
         available_now=True,
+        taken=taken,
+    ).awaitTermination()
+    assert taken == {0: 1000}
+
+
+def test_a_batch_repeated_after_a_month_end_stays_in_its_month(spark, sf_dir):
+    root = scratch(spark, "month")
+    stores = table_stores(f"{root}/stores")
+    write = batch_writer(lambda: ("v", feature_model()), stores)
+    # The stream gives a repeated batch the time it had at first, whatever the clock says.
+    messages = encode_transactions(txn(spark, sf_dir)).withColumn(
+        TAKEN_AT, F.lit("2024-01-31 23:59:59").cast("timestamp")
     )
-    query.awaitTermination()
-    assert rows_taken(query) >= 1000  # a batch is read once per look at its source
+    for _ in (1, 2):
+        write(messages, 0)
+    months = stores[2].read(spark).groupBy("scored_month").count().collect()
+    assert [(str(r[0]), r[1]) for r in months] == [("202401", 1000)]
+
+
+def test_compaction_leaves_few_files_and_all_rows(spark, sf_dir):
+    store = table_stores(scratch(spark, "compact"))[1]
+    rows = scored(spark, sf_dir)
+    with pytest.raises(FileNotFoundError):
+        store.read(spark)
+    for batch_id in range(4):
+        store.write(rows.filter(F.col("transaction_id") % 4 == batch_id), batch_id)
+    assert store.compact(spark) == 3 and store.compact(spark) == 0
+    closed = list(Path(store.path).glob("closed/*/*/*.parquet"))
+    assert len(closed) == 30  # one per day
+    store.write(rows, 1)  # closed already
+    got = store.read(spark)
+    assert got.count() == got.select("transaction_id").distinct().count() == 1000
+    assert len(list(Path(store.path).glob("open/batch_id=*"))) == 1
+
+
+def test_a_compaction_without_its_pointer_does_not_count(spark, sf_dir):
+    store = table_stores(scratch(spark, "compact"))[1]
+    rows = scored(spark, sf_dir)
+    for batch_id in range(2):
+        store.write(rows.filter(F.col("transaction_id") % 2 == batch_id), batch_id)
+    rows.limit(5).write.parquet(f"{store.path}/closed/{0:019d}-{0:019d}")
+    assert store.read(spark).count() == 1000
+    assert store.compact(spark) == 1
+    assert store.read(spark).count() == 1000
 
 
 def test_replayed_batch_replaces_itself(spark, sf_dir):
@@ -137,10 +189,11 @@ def test_jdbc_store_leaves_out_present_ids(spark, sf_dir, monkeypatch):
     """No database runs here; reader and writer are replaced to see what is sent."""
     rows = scored(spark, sf_dir)
     present = ops_rows(rows.filter("is_flagged = 1"))
-    sent = {}
+    sent, asked = {}, {}
     from pyspark.sql import DataFrameReader, DataFrameWriter
 
-    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, url, table, properties: present)
+    monkeypatch.setattr(DataFrameReader, "options", lambda self, **o: asked.update(o) or self)
+    monkeypatch.setattr(DataFrameReader, "load", lambda self: present)
 
     def jdbc(self, url, table, mode, properties):
         sent.update(url=url, table=table, mode=mode, properties=properties, rows=self._df.count())
@@ -152,3 +205,27 @@ def test_jdbc_store_leaves_out_present_ids(spark, sf_dir, monkeypatch):
     assert sent["mode"] == "append"
     assert sent["properties"] == {"user": "u", "batchsize": "10000", "numPartitions": "32"}
     assert sent["rows"] == rows.filter("is_flagged = 0").count()
+    first, last = rows.agg(F.min("event_time"), F.max("event_time")).first()
+    assert asked["partitionColumn"] == "event_time" and asked["numPartitions"] == "32"
+    assert (asked["lowerBound"], asked["upperBound"]) == (str(first), str(last))
+
+
+def test_jdbc_store_sends_nothing_for_a_replayed_analytics_batch(spark, sf_dir, monkeypatch):
+    root = scratch(spark, "jdbc")
+    store = table_stores(root)[2]
+    write = batch_writer(lambda: ("v", feature_model()), [store])
+    messages = encode_transactions(txn(spark, sf_dir)).withColumn(
+        TAKEN_AT, F.lit("2024-01-31 23:59:59").cast("timestamp")
+    )
+    write(messages, 0)
+    present = store.read(spark)
+    sent = []
+    from pyspark.sql import DataFrameReader, DataFrameWriter
+
+    monkeypatch.setattr(DataFrameReader, "load", lambda self: present)
+    monkeypatch.setattr(
+        DataFrameWriter, "jdbc", lambda self, *a, **b: sent.append(self._df.count())
+    )
+    jdbc = JdbcStore("jdbc:any", "t", analytics_rows, {}, time_column="scored_at")
+    batch_writer(lambda: ("v", feature_model()), [jdbc])(messages, 0)
+    assert sent == [0]
