@@ -24,9 +24,9 @@ from riskweave.session import written
 
 SIZES = (3, 4, 5)
 TABLE_BITS = 18
-TELLING = 4096  # buckets that get a weight
+TELLING = 2048  # buckets that get a weight
 LEAST_DOCUMENTS = 4  # in which a bucket stands, to get one
-LABELLED_ROWS = 40_000  # about how many labelled rows are fitted on, chosen by a hash of doc_id
+LABELLED_ROWS = 20_000  # about how many labelled rows are fitted on, chosen by a hash of doc_id
 SMOOTHING = 0.5
 PENALTY = 1e-5
 
@@ -108,6 +108,30 @@ def log_count_ratios(counts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray,
     return some[best], ratio[best]
 
 
+class Presence:
+    """Rows of ones at the given places: their products, taken in portions of rows."""
+
+    def __init__(self, places: np.ndarray, sizes: np.ndarray, width: int, portion: int = 512):
+        self.places, self.sizes, self.width = places, sizes, width
+        self.bounds = np.concatenate([[0], np.cumsum(sizes)])
+        self.portions = [(a, min(a + portion, len(sizes))) for a in range(0, len(sizes), portion)]
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        out = np.empty(len(self.sizes))
+        for a, b in self.portions:
+            bounds = self.bounds[a : b + 1]
+            sums = np.concatenate([[0.0], np.cumsum(w[self.places[bounds[0] : bounds[-1]]])])
+            out[a:b] = np.diff(sums[bounds - bounds[0]])
+        return out
+
+    def back(self, e: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.width)
+        for a, b in self.portions:
+            places = self.places[self.bounds[a] : self.bounds[b]]
+            out += np.bincount(places, np.repeat(e[a:b], self.sizes[a:b]), self.width)
+        return out
+
+
 class Model:
     """A weight for each bucket (the log ratio times the fitted one) and the score's curve."""
 
@@ -154,22 +178,19 @@ def fit(rows: DataFrame, seed: int = 10) -> Model:
     ).toArrow()  # at most TELLING 16-bit numbers for each sampled row
     y = sample.column("label").to_numpy().astype(float)
     aside = sample.column("_aside").to_numpy()
-    held = [np.frombuffer(h, np.uint16) for h in sample.column("held").to_pylist()]
-    column = np.concatenate([*held, np.empty(0, np.uint16)]).astype(np.int64)
-    row = np.repeat(np.arange(len(held)), [len(h) for h in held])
-    value = ratio[column]
-    fitted = ~aside[row]
-    r, c, v = row[fitted], column[fitted], value[fitted]
-    weight = (~aside).astype(float)
+    held = sample.column("held").to_pylist()
+    rows = Presence(
+        np.frombuffer(b"".join(held), np.uint16), np.array([len(h) // 2 for h in held]), len(chosen)
+    )
     w = fit_logistic(
-        lambda w: np.bincount(r, v * w[c], len(y)),
-        lambda e: np.bincount(c, v * e[r], len(chosen)),
+        lambda w: rows.times(ratio * w),
+        lambda e: ratio * rows.back(e),
         len(chosen),
         y,
-        weight,
+        (~aside).astype(float),
         PENALTY,
     )
-    z = np.bincount(row, value * w[column], len(y)) + w[-1]
+    z = rows.times(ratio * w[:-1]) + w[-1]
     use = aside if len(set(y[aside])) == 2 else ~aside
     slope, shift = calibrate(z[use], y[use])
     weights = np.zeros(1 << TABLE_BITS)
