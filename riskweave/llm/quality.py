@@ -176,7 +176,7 @@ def _fetch(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     """label, _aside and both views of a bounded sample."""
     found: pa.Table = rows.select("label", "_aside", "text_view", "page_view").toArrow()
     views = [
-        np.array([v for v in found.column(n).to_pylist()], np.float64).reshape(found.num_rows, -1)
+        found.column(n).combine_chunks().flatten().to_numpy().astype(float).reshape(found.num_rows, -1)
         for n in ("text_view", "page_view")
     ]
     return (
