@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +66,22 @@ def span_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix64((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
 
 
+def kept(name: str, make: Callable[[], Any]) -> Any:
+    """An object that stays as long as the Python worker, for the tasks it runs in turn."""
+    store = sys.modules.setdefault("_riskweave_kept", types.ModuleType("_riskweave_kept"))
+    if not hasattr(store, name):
+        setattr(store, name, make())
+    return getattr(store, name)
+
+
+def _column(values: list, kind: pa.DataType) -> pa.Array:
+    if pa.types.is_list(kind) and values and all(isinstance(v, np.ndarray) for v in values):
+        offsets = np.cumsum([0, *map(len, values)])
+        flat = pa.array(np.concatenate(values), kind.value_type)
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat, type=kind)
+    return pa.array(values, kind)
+
+
 def map_rows(
     df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str
 ) -> DataFrame:
@@ -88,7 +107,7 @@ def map_rows(
             for a, b in runs(columns["text"]):
                 out = work({n: v[a:b] for n, v in columns.items()})
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[f.name], f.type) for f in arrow], schema=arrow
+                    [_column(out[f.name], f.type) for f in arrow], schema=arrow
                 )
 
     return df.mapInArrow(run, types)

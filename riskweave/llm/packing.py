@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import map_rows
+from riskweave.llm.common import kept, map_rows
 from riskweave.session import written
 
 BIN = 16
 CRUMB = 64  # no cut leaves a part shorter than this
-KNOWN_WORDS = 1_000_000  # words a task remembers; then it starts anew
+KNOWN_WORDS = 700_000  # words a worker remembers; then it starts anew
 RANK_BUCKETS = 64
 
 
@@ -67,8 +67,6 @@ class WordTokenizer:
             [(self.full.id_to_token(i) or "").endswith("</w>") for i in range(size)]
         )
         self.words: dict[str, bytes] = {"": b""}
-        self.latin: dict[str, bytes] = {}
-        self.stops: dict[str, bytes] = {"": b""}
 
     def _ids(self, text: str) -> bytes:
         return array("I", self.full.encode(text, add_special_tokens=False).ids).tobytes()
@@ -83,31 +81,30 @@ class WordTokenizer:
             raise ValueError("the vocabulary has no word ends; words cannot be told apart")
         data, start = ids.tobytes(), 0
         for word, end in zip(words, (4 * ends).tolist()):
-            self.latin[word] = data[start:end]
+            self.words[word] = data[start:end]
             start = end
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.words) + len(words) > KNOWN_WORDS:
-            self.words, self.latin = {"": b""}, {}
-        parts = {w: self.LATIN.fullmatch(w) for w in words}
-        cores = {m[1].lower() for m in parts.values() if m}
-        self._learn_latin([c for c in cores if c not in self.latin])
-        for word, m in parts.items():
+    def _learn(self, words: set[str]) -> None:
+        parts = [(w, self.LATIN.fullmatch(w)) for w in words]
+        cores = {m[1].lower() for _, m in parts if m}
+        self._learn_latin(list(cores - self.words.keys()))
+        for word, m in parts:
             if m is None:
                 self.words[word] = self._ids(word)
-                continue
-            if m[2] not in self.stops:
-                self.stops[m[2]] = self._ids(m[2])
-            self.words[word] = self.latin[m[1].lower()] + self.stops[m[2]]
+            elif word not in self.words:
+                if m[2] not in self.words:
+                    self.words[m[2]] = self._ids(m[2])
+                self.words[word] = self.words[m[1].lower()] + self.words[m[2]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        needed = {w for words in split for w in words}
-        missing = [w for w in needed if w not in self.words]
+        needed = set().union(*split)
+        missing = needed - self.words.keys()
+        if len(self.words) + len(missing) > KNOWN_WORDS:
+            self.words, missing = {"": b""}, needed - {""}
         if missing:
-            full = len(self.words) + len(missing) > KNOWN_WORDS
-            self._learn(list(needed) if full else missing)
+            self._learn(missing)
         known = self.words
         return [b"".join([known[w] for w in words]) for words in split]
 
@@ -119,7 +116,7 @@ def tokenise(docs: DataFrame, tokenizer_file: str, end_id: int, window: int) ->
     """
 
     def make():
-        tokenizer = WordTokenizer(tokenizer_file)
+        tokenizer = kept(f"words of {tokenizer_file}", lambda: WordTokenizer(tokenizer_file))
         narrow = max(tokenizer.full.get_vocab_size(), end_id + 1) <= 1 << 16
         last = np.uint32(end_id)
 

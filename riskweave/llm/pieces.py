@@ -17,10 +17,10 @@ from array import array
 import numpy as np
 from pyspark.sql import DataFrame
 
-from riskweave.llm.common import map_rows
+from riskweave.llm.common import kept, map_rows
 
 MARK = "▁"
-KNOWN_WORDS = 300_000  # words a task remembers; then it starts anew
+KNOWN_WORDS = 400_000  # words a worker remembers; then it starts anew
 
 
 class CharacterMap:
@@ -138,7 +138,7 @@ class Encoder:
             if "" in words:  # runs of spaces stand together in front of the next word
                 words = [w[1:] for w in re.findall(" +[^ ]*", " " + text)] if text else []
             split.append(words)
-        needed = {w for words in split for w in words}
+        needed = set().union(*split)
         missing = needed - self.words.keys()
         if len(self.words) + len(missing) > KNOWN_WORDS:
             self.words.clear()
@@ -158,7 +158,7 @@ def encode(docs: DataFrame, model_file: str, end_id: bool = True) -> DataFrame:
     """doc_id, ids, begins, ends: the ids of each whole text and their byte spans in it."""
 
     def make():
-        encoder = Encoder(model_file)
+        encoder = kept(f"pieces of {model_file}", lambda: Encoder(model_file))
         last = encoder.model.eos_id()
 
         def work(c):
