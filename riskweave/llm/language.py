@@ -34,7 +34,7 @@ ORDER = 4
 TRAIN_CHARS = 16_000_000
 CALIBRATION_ROWS = 5_000
 UNDETERMINED = "und"
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0x9E3779B97F4A7C15
 
 
 def _letters(codes: np.ndarray) -> np.ndarray:
@@ -73,10 +73,9 @@ def reduced(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def gram_hashes(codes: np.ndarray, size: int) -> np.ndarray:
     """For each position the hash of the `size` characters that end there."""
     h = np.zeros(len(codes), np.uint64)
-    factor = np.uint64(1)
     for back in range(size):
+        factor = np.uint64(pow(_BASE, back, 1 << 64))
         h[back:] += (codes[: len(codes) - back].astype(np.uint64) + np.uint64(1)) * factor
-        factor = factor * _BASE
     return mix64(h + np.uint64(size))
 
 

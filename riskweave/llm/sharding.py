@@ -43,8 +43,10 @@ def communication_matrix(block_rows: list[int], shards: int, seed: int) -> np.nd
 def shuffle_into_shards(docs: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     """All columns of `docs`, shard (0 to shards - 1) and slot (gapless from 0 in its shard).
 
-    Partitions hold whole pieces of shards in slot order.
+    Partitions hold whole pieces of shards in slot order. Columns of `docs` named shard or
+    slot are replaced.
     """
+    docs = docs.drop("shard", "slot")
     spark = docs.sparkSession
     rows = docs.count()
     blocks = int(min(MAX_BLOCKS, max(16, rows // BLOCK_ROWS)))
