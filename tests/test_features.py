@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -95,6 +96,23 @@ def test_any_rows(spark, drawn):
     assert got(account_features(df, max_group_rows=3)) == expected(rows)
 
 
+def test_more_hot_accounts_than_a_broadcast_holds(spark):
+    rows = EDGES["tied_hours"]
+    df = frame(spark, rows)
+    few = account_features(df, max_group_rows=3)
+    many = account_features(df, max_group_rows=3, max_hot_keys=1)
+    assert got(many) == got(few) == expected(rows)
+
+
+def test_an_infinite_amount_spoils_no_other_row(spark):
+    rows = spark.createDataFrame(
+        [("a", "x", 1.0), ("b", "x", float("inf")), ("c", "y", 1.0), ("d", "y", 3.0)],
+        "transaction_id string, account_id string, amount double",
+    ).withColumn("event_time", F.lit("2024-01-01").cast("timestamp"))
+    z = {r["transaction_id"]: r["amount_zscore_for_account"] for r in account_features(rows).collect()}
+    assert (z["a"], z["b"]) == (0.0, 0.0) and z["c"] == -z["d"] != 0
+
+
 def test_missing_account_is_a_group_of_its_own(spark):
     rows = [("a", None, 1.0, 0), ("b", None, 2.0, 10), ("c", "x", 3.0, 20)]
     for limit in (100, 1):
