@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import sys
-import types
-from collections.abc import Callable, Iterator
-from typing import Any
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,16 +28,29 @@ def mod_crc(column: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % F.lit(n)
 
 
-def runs(texts: list[str], limit: int = RUN_CHARS) -> Iterator[tuple[int, int]]:
-    """Slices [start, end) of at most `limit` characters, or one longer text each."""
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        if i > start and size + len(text) > limit:
+def runs(sizes: Sequence[int], limit: int = RUN_CHARS) -> Iterator[tuple[int, int]]:
+    """Slices [start, end) of texts of at most `limit` in all, or of one larger text."""
+    start, total = 0, 0
+    for i, size in enumerate(sizes):
+        if i > start and total + size > limit:
             yield start, i
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+            start, total = i, 0
+        total += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch cut by the size of `text`, so that few texts are Python objects at a time."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+    for a, b in runs(sizes):
+        yield batch.slice(a, b - a)
+
+
+def _values(batch: pa.RecordBatch, names: Iterable[str]) -> dict[str, list]:
+    out = {n: batch.column(n).to_pylist() for n in names}
+    out["text"] = [t or "" for t in batch.column("text").to_pylist()]
+    return out
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -66,14 +77,6 @@ def span_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix64((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
 
 
-def kept(name: str, make: Callable[[], Any]) -> Any:
-    """An object that stays as long as the Python worker, for the tasks it runs in turn."""
-    store = sys.modules.setdefault("_riskweave_kept", types.ModuleType("_riskweave_kept"))
-    if not hasattr(store, name):
-        setattr(store, name, make())
-    return getattr(store, name)
-
-
 def _column(values: list, kind: pa.DataType) -> pa.Array:
     if pa.types.is_list(kind) and values and all(isinstance(v, np.ndarray) for v in values):
         offsets = np.cumsum([0, *map(len, values)])
@@ -102,10 +105,8 @@ def map_rows(
             if not batch.num_rows:
                 continue
             work = work or make()
-            columns = {n: batch.column(i).to_pylist() for i, n in enumerate(names)}
-            columns["text"] = [t or "" for t in columns["text"]]
-            for a, b in runs(columns["text"]):
-                out = work({n: v[a:b] for n, v in columns.items()})
+            for part in portions(batch):
+                out = work(_values(part, names))
                 yield pa.RecordBatch.from_arrays(
                     [_column(out[f.name], f.type) for f in arrow], schema=arrow
                 )
@@ -125,11 +126,7 @@ def filter_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], li
             if not batch.num_rows:
                 continue
             work = work or make()
-            columns = {n: batch.column(n).to_pylist() for n in {*names, "text"}}
-            columns["text"] = [t or "" for t in columns["text"]]
-            mask = []
-            for a, b in runs(columns["text"]):
-                mask += [bool(k) for k in work({n: v[a:b] for n, v in columns.items()})]
+            mask = [bool(k) for part in portions(batch) for k in work(_values(part, names))]
             yield batch.filter(pa.array(mask, pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

@@ -94,7 +94,7 @@ def gram_counts(rows: DataFrame) -> DataFrame:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for lang in sorted(set(langs)):
                 mine = [t for t, g in zip(texts, langs) if g == lang]
-                for a, b in runs(mine):
+                for a, b in runs([len(t) for t in mine]):
                     codes, owner = reduced(mine[a:b])
                     at = _grams(codes, owner)
                     _, first, n = np.unique(

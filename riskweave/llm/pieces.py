@@ -17,10 +17,10 @@ from array import array
 import numpy as np
 from pyspark.sql import DataFrame
 
-from riskweave.llm.common import kept, map_rows
+from riskweave.llm.common import map_rows
 
 MARK = "▁"
-KNOWN_WORDS = 400_000  # words a worker remembers; then it starts anew
+KNOWN_WORDS = 400_000  # words a task remembers; then it starts anew
 
 
 class CharacterMap:
@@ -158,7 +158,7 @@ def encode(docs: DataFrame, model_file: str, end_id: bool = True) -> DataFrame:
     """doc_id, ids, begins, ends: the ids of each whole text and their byte spans in it."""
 
     def make():
-        encoder = kept(f"pieces of {model_file}", lambda: Encoder(model_file))
+        encoder = Encoder(model_file)
         last = encoder.model.eos_id()
 
         def work(c):

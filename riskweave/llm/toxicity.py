@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import filter_rows, map_rows
+from riskweave.llm.common import filter_rows, map_rows, runs
 from riskweave.llm.linear import calibrate, fit_logistic, sigmoid
 from riskweave.session import written
 
@@ -28,6 +28,7 @@ TELLING = 2048  # buckets that get a weight
 LEAST_DOCUMENTS = 4  # in which a bucket stands, to get one
 LABELLED_ROWS = 20_000  # about how many labelled rows are fitted on, chosen by a hash of doc_id
 SMOOTHING = 0.5
+PORTION = 250_000  # characters whose n-grams are held at a time
 PENALTY = 1e-5
 
 
@@ -71,9 +72,9 @@ def bucket_counts(rows: DataFrame) -> np.ndarray:
         for batch in batches:
             labels = batch.column("label").to_pylist()
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for a in range(0, len(texts), 128):
-                owner, bucket = _present(texts[a : a + 128])
-                mark = np.array(labels[a : a + 128])[owner]
+            for a, b in runs([len(t) for t in texts], PORTION):
+                owner, bucket = _present(texts[a:b])
+                mark = np.array(labels[a:b])[owner]
                 for label in (0, 1):
                     counts[label] += np.bincount(bucket[mark == label], minlength=1 << TABLE_BITS)
         some = np.flatnonzero(counts.sum(axis=0))
@@ -140,8 +141,10 @@ class Model:
         self.constant, self.slope, self.shift = constant, slope, shift
 
     def score(self, texts: list[str]) -> np.ndarray:
-        owner, bucket = _present(texts, self.weights != 0)
-        z = np.bincount(owner, self.weights[bucket].astype(np.float64), len(texts))
+        z, marked = np.zeros(len(texts)), self.weights != 0
+        for a, b in runs([len(t) for t in texts], PORTION):
+            owner, bucket = _present(texts[a:b], marked)
+            z[a:b] = np.bincount(owner, self.weights[bucket].astype(np.float64), b - a)
         return sigmoid(self.slope * (z + self.constant) + self.shift)
 
 
