@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 # Texts are handled in runs of about this many characters, so that the arrays
 # built from them stay small whatever the batch size.
 RUN_CHARS = 1_000_000
+BATCH_ROWS = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,13 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Fewer rows in a batch between Spark and Python, as each may hold a long text."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(setting)) > BATCH_ROWS:
+        spark.conf.set(setting, BATCH_ROWS)
+
+
 def mod_crc(column: str, n: int) -> Column:
     """crc32 of the id as text, mod n: the fold that labels are held out by."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % F.lit(n)
@@ -93,6 +101,7 @@ def map_rows(
     `make` runs once in each task and returns the function that turns a dict of
     columns into another one; a `text` column that is NULL is handed over as ''.
     """
+    small_batches(df.sparkSession)
     names = df.columns
     types = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -129,4 +138,5 @@ def filter_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], li
             mask = [bool(k) for part in portions(batch) for k in work(_values(part, names))]
             yield batch.filter(pa.array(mask, pa.bool_()))
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, df.schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import RUN_CHARS, map_rows, parallelism, span_hashes
+from riskweave.llm.common import RUN_CHARS, map_rows, parallelism, small_batches, span_hashes
 
 MIN_BYTES, USUAL_BYTES, MAX_BYTES = 12, 32, 128
 STRICT_BITS, LOOSE_BITS = 6, 4
@@ -220,4 +220,5 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
         + [(n, pa.string()) for n in ("edited", "fingerprint", "edited_fingerprint")]
         + [(n, pa.float64()) for n in ("near_edited", "near_next")]
     )
+    small_batches(docs.sparkSession)
     return with_successor(docs).mapInArrow(run, schema)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import map_rows, mix64, runs
+from riskweave.llm.common import map_rows, mix64, runs, small_batches
 from riskweave.llm.linear import calibrate, sigmoid
 from riskweave.session import written
 
@@ -106,6 +106,7 @@ def gram_counts(rows: DataFrame) -> DataFrame:
                         {"lang": [lang] * len(grams), "gram": grams, "n": n}
                     )
 
+    small_batches(rows.sparkSession)
     return (
         rows.select("lang", "text")
         .mapInArrow(run, "lang string, gram string, n bigint")

@@ -54,9 +54,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.full = Tokenizer.from_file(path)
-        self.light = Tokenizer.from_file(path)
-        self.light.normalizer = None
-        self.light.pre_tokenizer = pre_tokenizers.Sequence(
+        self.whole = self.full.normalizer, self.full.pre_tokenizer
+        self.plain = pre_tokenizers.Sequence(
             [
                 pre_tokenizers.WhitespaceSplit(),
                 pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
@@ -74,7 +73,9 @@ class WordTokenizer:
     def _learn_latin(self, words: list[str]) -> None:
         if not words:
             return
-        [got] = self.light.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        self.full.normalizer, self.full.pre_tokenizer = None, self.plain
+        [got] = self.full.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        self.full.normalizer, self.full.pre_tokenizer = self.whole
         ids = np.array(got.ids, np.uint32)
         ends = np.flatnonzero(self.ends_word[ids]) + 1
         if len(ends) != len(words):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import filter_rows, map_rows, runs
+from riskweave.llm.common import filter_rows, map_rows, runs, small_batches
 from riskweave.llm.linear import calibrate, fit_logistic, sigmoid
 from riskweave.session import written
 
@@ -84,6 +84,7 @@ def bucket_counts(rows: DataFrame) -> np.ndarray:
                 {"bucket": part, "n0": counts[0, part], "n1": counts[1, part]}
             )
 
+    small_batches(rows.sparkSession)
     found = (
         rows.select("text", F.col("label").cast("int").alias("label"))
         .mapInArrow(run, "bucket bigint, n0 bigint, n1 bigint")

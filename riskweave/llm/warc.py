@@ -25,7 +25,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import parallelism
+from riskweave.llm.common import parallelism, small_batches
 from riskweave.session import scratch, written
 
 REVISIT_BYTES = 1000
@@ -156,6 +156,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         if out is not None:
             out.close()
 
+    small_batches(pages.sparkSession)
     text, number = pa.string(), pa.int64()
     TYPES = [number, text, text, text, number, text, number, number]
     return written(with_revisits(pages).mapInArrow(run, INDEX), "warc-index")
