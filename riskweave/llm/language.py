@@ -9,8 +9,11 @@ by hash. A text belongs to the language with the lowest cross-entropy a characte
 ahead it is gives a score, calibrated on training texts kept aside, below which a
 prediction can be rejected.
 
-The models are fitted on texts of about TRAIN_CHARS characters in all, shared out among the
-languages and chosen by a hash of doc_id, which bounds the arrays that are broadcast.
+All training texts are counted, whole. What is broadcast is bounded: of each order at most
+KEPT_GRAMS n-grams of all languages keep an estimate of their own, the most frequent of each
+language; the others get that of the order below by the back-off weight, so that probabilities
+still sum to one. The curve of the score is fitted with models that leave out a tenth of the
+texts, on about CALIBRATION_ROWS of that tenth; the models that score count it as well.
 Whole texts are scored.
 
 Defined results: `und` with score 0 if the text is NULL or has no letter, or if nothing
@@ -20,18 +23,20 @@ was learned. Ties go to the language that comes first by name.
 from __future__ import annotations
 
 import unicodedata
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import map_rows, mix64, runs, small_batches
+from riskweave.llm.common import map_rows, mix64, portions, runs, small_batches
 from riskweave.llm.linear import calibrate, sigmoid
 from riskweave.session import written
 
 ORDER = 4
-TRAIN_CHARS = 16_000_000
+KEPT_GRAMS = 1_000_000  # of an order, over all languages
+TALLIED = 250_000  # n-grams that a task counts before it hands them on
 CALIBRATION_ROWS = 5_000
 UNDETERMINED = "und"
 _BASE = 0x9E3779B97F4A7C15
@@ -85,38 +90,105 @@ def _grams(codes: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return at[owner[at] == owner[at - ORDER + 1]]
 
 
+class _Tally:
+    """Counts of n-grams, sorted by hash, with their code points."""
+
+    def __init__(self):
+        self.keys, self.n = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.codes = np.empty((0, ORDER), np.uint32)
+
+    def add(self, texts: list[str]) -> None:
+        codes, owner = reduced(texts)
+        at = _grams(codes, owner)
+        keys, first, n = np.unique(gram_hashes(codes, ORDER)[at], return_index=True, return_counts=True)
+        grams = codes[at[first][:, None] + np.arange(1 - ORDER, 1)]
+        n = np.concatenate([self.n, n])
+        self.keys, first, place = np.unique(
+            np.concatenate([self.keys, keys]), return_index=True, return_inverse=True
+        )
+        self.codes = np.concatenate([self.codes, grams])[first]
+        self.n = np.bincount(place, n, len(first)).astype(np.int64)
+
+    def grams(self) -> list[str]:
+        text = self.codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        return [text[i : i + ORDER] for i in range(0, len(text), ORDER)]
+
+
 def gram_counts(rows: DataFrame) -> DataFrame:
-    """lang, gram and n: how often each n-gram of ORDER characters stands in the texts."""
+    """lang, gram and n: how often each n-gram of ORDER characters stands in the texts.
+
+    Rows with a column `aside` are counted apart by it.
+    """
+    keys = ["lang", *(c for c in ("aside",) if c in rows.columns)]
+    types = {"lang": pa.string(), "aside": pa.bool_()}
+
+    def handed_on(tallies):
+        for key, tally in tallies.items():
+            same = {c: pa.array([v] * len(tally.n), types[c]) for c, v in zip(keys, key)}
+            yield pa.RecordBatch.from_pydict({**same, "gram": tally.grams(), "n": tally.n})
 
     def run(batches):
+        tallies: dict[tuple, _Tally] = {}
         for batch in batches:
-            langs = np.array(batch.column("lang").to_pylist(), object)
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for lang in sorted(set(langs)):
-                mine = [t for t, g in zip(texts, langs) if g == lang]
-                for a, b in runs([len(t) for t in mine]):
-                    codes, owner = reduced(mine[a:b])
-                    at = _grams(codes, owner)
-                    _, first, n = np.unique(
-                        gram_hashes(codes, ORDER)[at], return_index=True, return_counts=True
-                    )
-                    text = codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-                    grams = [text[i - ORDER + 1 : i + 1] for i in at[first].tolist()]
-                    yield pa.RecordBatch.from_pydict(
-                        {"lang": [lang] * len(grams), "gram": grams, "n": n}
-                    )
+            for part in portions(batch):
+                texts: dict[tuple, list[str]] = {}
+                columns = [part.column(c).to_pylist() for c in (*keys, "text")]
+                for *key, text in zip(*columns):
+                    texts.setdefault(tuple(key), []).append(text or "")
+                for key, mine in texts.items():
+                    for a, b in runs([len(t) for t in mine]):
+                        tallies.setdefault(key, _Tally()).add(mine[a:b])
+                if sum(len(t.n) for t in tallies.values()) > TALLIED:
+                    yield from handed_on(tallies)
+                    tallies = {}
+        yield from handed_on(tallies)
 
     small_batches(rows.sparkSession)
     return (
-        rows.select("lang", "text")
-        .mapInArrow(run, "lang string, gram string, n bigint")
-        .groupBy("lang", "gram")
+        rows.select(*keys, "text")
+        .mapInArrow(run, f"{'lang string, aside boolean' if keys[1:] else 'lang string'}, gram string, n bigint")
+        .groupBy(*keys, "gram")
         .agg(F.sum("n").alias("n"))
     )
 
 
+def _rank(n: Column) -> Column:
+    """Grows with a count, in steps of an eighth of a doubling."""
+    return F.floor(8 * F.log2(n)).cast("int")
+
+
+def _least_ranks(levels: list[DataFrame]) -> list[dict[str, int]]:
+    """By order and language the lowest rank whose n-grams are kept, KEPT_GRAMS of an order at most.
+
+    Languages have equal shares; what one leaves of its own is shared out among the others.
+    """
+    found: list[dict[str, list[tuple[int, int]]]] = [{} for _ in levels]
+    ranks = [
+        level.groupBy("lang", _rank(F.col("n")).alias("rank")).count().withColumn("order", F.lit(k))
+        for k, level in enumerate(levels)
+    ]
+    for r in reduce(DataFrame.unionAll, ranks).collect():  # at most 512 rows an order and language
+        found[r["order"]].setdefault(r["lang"], []).append((r["rank"], r["count"]))
+    out = []
+    for langs in found:
+        room, least = KEPT_GRAMS, {}
+        by_size = sorted(langs, key=lambda g: (sum(n for _, n in langs[g]), g))
+        for done, lang in enumerate(by_size):
+            share, held = room // (len(langs) - done), 0
+            least[lang] = max(r for r, _ in langs[lang]) + 1
+            for rank, n in sorted(langs[lang], reverse=True):
+                if held + n > share:
+                    break
+                held, least[lang] = held + n, rank
+            room -= held
+        out.append(least)
+    return out
+
+
 def kneser_ney(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Probabilities (lang, gram, p) and back-off weights (lang, context, weight), all orders."""
+    """Probabilities (lang, gram, p) and back-off weights (lang, context, weight), all orders,
+    of the n-grams that are kept; the discount of any other is its whole count."""
+    spark = counts.sparkSession
     levels = [counts]
     for _ in range(ORDER - 1):
         levels.append(
@@ -128,7 +200,8 @@ def kneser_ney(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     symbols = levels[0].groupBy("lang").agg((F.count(F.lit(1)) + 1).alias("_symbols"))
     below = None
     found, weights = [], []
-    for level in levels:
+    for level, least in zip(levels, _least_ranks(levels)):
+        least = spark.createDataFrame(list(least.items()), "lang string, _least int")
         seldom = level.groupBy("lang").agg(
             F.sum((F.col("n") == 1).cast("int")).alias("_once"),
             F.sum((F.col("n") == 2).cast("int")).alias("_twice"),
@@ -137,11 +210,17 @@ def kneser_ney(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
         seldom = seldom.select(
             "lang", F.least(F.greatest(F.coalesce(rate, F.lit(0.5)), F.lit(0.1)), F.lit(0.95)).alias("_d")
         )
-        rows = level.join(F.broadcast(seldom), "lang").withColumn(
-            "context", F.expr("substring(gram, 1, length(gram) - 1)")
+        rows = level.join(F.broadcast(seldom), "lang").join(F.broadcast(least), "lang").withColumns(
+            {
+                "context": F.expr("substring(gram, 1, length(gram) - 1)"),
+                "kept": _rank(F.col("n")) >= F.col("_least"),
+            }
         )
+        mass = F.max("_d") * F.count_if("kept") + F.sum(F.when(F.col("kept"), 0).otherwise(F.col("n")))
         whole = rows.groupBy("lang", "context").agg(
-            F.sum("n").alias("_total"), (F.max("_d") * F.count(F.lit(1)) / F.sum("n")).alias("weight")
+            F.sum("n").alias("_total"),
+            (mass / F.sum("n")).alias("weight"),
+            F.bool_or("kept").alias("_some"),
         )
         rows = rows.join(whole, ["lang", "context"])
         if below is None:
@@ -149,12 +228,14 @@ def kneser_ney(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
         else:
             low = below.select("lang", F.col("gram").alias("_tail"), F.col("p").alias("_low"))
             rows = rows.withColumn("_tail", F.expr("substring(gram, 2)")).join(low, ["lang", "_tail"])
-        own = (F.col("n") - F.col("_d")) / F.col("_total")
+        own = F.when(F.col("kept"), F.col("n") - F.col("_d")).otherwise(0.0) / F.col("_total")
         below = written(
-            rows.select("lang", "gram", (own + F.col("weight") * F.col("_low")).alias("p")), "grams"
+            rows.select("lang", "gram", (own + F.col("weight") * F.col("_low")).alias("p"), "kept"),
+            "grams",
         )
-        found.append(below)
-        weights.append(whole.select("lang", "context", "weight"))
+        found.append(below.filter("kept").drop("kept"))
+        # A context without kept n-grams leaves all to the order below: its weight is 1.
+        weights.append((whole.filter("_some") if weights else whole).select("lang", "context", "weight"))
     first = weights[0].join(F.broadcast(symbols), "lang").select(
         "lang", "context", (F.col("weight") / F.col("_symbols")).alias("weight")
     )  # what an unknown character gets
@@ -207,11 +288,12 @@ class Model:
         # below, anything else costs the context's back-off weight.
         logs = np.broadcast_to(self.weights[0][1], (len(end), len(self.langs))).copy()
         for size in range(1, ORDER + 1):
-            if size > 1:
+            if size - 1 in self.weights and size > 1:
                 context = gram_hashes(codes, size - 1)[end - 1]
                 logs += self._rows(self.weights[size - 1], context, 0.0)
-            seen = self._rows(self.grams[size], gram_hashes(codes, size)[end], np.nan)
-            logs = np.where(np.isnan(seen), logs, seen)
+            if size in self.grams:
+                seen = self._rows(self.grams[size], gram_hashes(codes, size)[end], np.nan)
+                logs = np.where(np.isnan(seen), logs, seen)
         size = np.bincount(owner[at], minlength=len(texts))
         total = np.stack(
             [np.bincount(owner[at], logs[place, k], len(texts)) for k in range(len(self.langs))], axis=1
@@ -235,35 +317,46 @@ class Model:
         return found, np.where(size > 0, score, 0.0)
 
 
-def fit(rows: DataFrame, seed: int = 9) -> Model:
-    """A model of the rows (doc_id, text, lang); rows without a language do not count."""
-    rows = rows.filter("lang is not null and text is not null").select("doc_id", "text", "lang")
-    sizes = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"), F.count(F.lit(1)).alias("n")).collect()
-    sizes = sorted((r["lang"], r["chars"], r["n"]) for r in sizes if r["chars"])
-    if not sizes:
-        return Model([], {}, {}, 1.0, 0.0)
-    share = TRAIN_CHARS / len(sizes)
-    total = sum(n for _, _, n in sizes)
-    spark = rows.sparkSession
-    limits = spark.createDataFrame(
-        [(g, min(1.0, share / c)) for g, c, _ in sizes], "lang string, _share double"
-    )
-    chance = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000)) / F.lit(1e6)
-    fold = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(10))
-    train = rows.filter(fold > 0).join(F.broadcast(limits), "lang").filter(chance < F.col("_share"))
-    counts = written(gram_counts(train), "gram-counts")
+def _estimated(counts: DataFrame) -> Model:
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     if not langs:
         return Model([], {}, {}, 1.0, 0.0)
     p, weight = kneser_ney(counts)
-    model = Model(
+    return Model(
         langs,
         _sorted_arrays(p.toArrow(), "gram", "p", langs, np.nan),
         _sorted_arrays(weight.toArrow(), "context", "weight", langs, 0.0),
         1.0,
         0.0,
     )
-    aside = rows.filter((fold == 0) & (chance < CALIBRATION_ROWS / max(total / 10, 1)))
+
+
+def fit(rows: DataFrame, seed: int = 9) -> Model:
+    """A model of the rows (text, lang); rows without a language do not count."""
+    # Folds go by the text, so that rows that share a doc_id or have none are drawn apart.
+    fold = F.pmod(F.xxhash64(F.lit(seed + 1), "text"), F.lit(10))
+    rows = (
+        rows.filter("lang is not null and text is not null")
+        .select("text", "lang")
+        .withColumn("aside", fold == 0)
+    )
+    counts = written(gram_counts(rows), "gram-counts")
+    model = _estimated(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    if model.langs:
+        trial = _estimated(counts.filter("not aside").drop("aside"))
+        model.slope, model.shift = _curve(rows.filter("aside").drop("aside"), trial, seed)
+    return model
+
+
+def _curve(aside: DataFrame, model: Model, seed: int) -> tuple[float, float]:
+    """Slope and shift of the score, by texts that the model has not counted."""
+    if not model.langs:
+        return 1.0, 0.0
+    spark = aside.sparkSession
+    aside = aside.filter(F.col("lang").isin(model.langs))
+    chance = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1_000_000)) / F.lit(1e6)
+    # Equal texts are drawn together, so they count once.
+    aside = aside.filter(chance < CALIBRATION_ROWS / max(aside.count(), 1)).distinct()
     shared = _share(spark, model)
 
     def make():
@@ -285,11 +378,12 @@ def fit(rows: DataFrame, seed: int = 9) -> Model:
         .filter("size > 0")
         .toArrow()
     )
+    shared.unpersist()
     if tried.num_rows:
         slope, shift = calibrate(tried.column("ahead").to_numpy(), tried.column("right").to_numpy())
         if slope > 0:
-            model.slope, model.shift = slope, shift
-    return model
+            return slope, shift
+    return 1.0, 0.0
 
 
 def _share(spark, model: Model):

@@ -523,6 +523,51 @@ def test_held_out_languages(docs):
     assert got.filter("score < 0 or score > 1").isEmpty()
 
 
+def test_all_training_texts_are_counted(spark):
+    # 20 million characters, a word of its own in each text
+    word = F.translate(F.lpad(F.col("id").cast("string"), 4, "0"), "0123456789", "bcdfghjklm")
+    rows = spark.range(200).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.repeat(F.lit("some more words "), 6250), word).alias("text"),
+        F.lit("en").alias("lang"),
+    )
+    keys, _ = language.fit(rows).grams[4]
+    words = ["".join("bcdfghjklm"[int(d)] for d in f"{i:04}") for i in range(200)]
+    codes = np.array([[ord(c) for c in w] for w in words], np.uint32)
+    hashes = [language.gram_hashes(c, 4)[3] for c in codes]
+    assert np.isin(hashes, keys).all()
+
+
+def test_no_language_is_lost(spark):
+    rows = [(None if i % 2 else i, f"text number {chr(97 + i % 26)} of its language", f"l{i:02}") for i in range(40)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == [f"l{i:02}" for i in range(40)]
+
+
+def test_probabilities_of_kept_grams_sum_to_one(spark, monkeypatch):
+    texts = ["abra cadabra", "banana bandana abba", "abra banana"]
+    rows = spark.createDataFrame([(t, g) for t in texts for g in ("x", "y")] + [("ab", "z")], "text string, lang string")
+    full = language.kneser_ney(language.gram_counts(rows))[0].filter("length(gram) = 4").count()
+    monkeypatch.setattr(language, "KEPT_GRAMS", 36)
+    p, weight = language.kneser_ney(language.gram_counts(rows))
+    sizes = Counter((len(r["gram"]), r["lang"]) for r in p.collect())
+    assert full > 36 and all(sum(sizes[k, g] for g in "xyz") <= 36 for k in (1, 2, 3, 4))
+    assert sizes[4, "z"] == 3 and sizes[4, "x"] > 0
+    chance = {r["gram"]: r["p"] for r in p.filter("lang = 'x'").collect()}
+    back = {r["context"]: r["weight"] for r in weight.filter("lang = 'x'").collect()}
+    symbols = [g for g in chance if len(g) == 1]
+
+    def of(context, symbol):
+        if context + symbol in chance:
+            return chance[context + symbol]
+        return back.get(context, 1.0) * of(context[1:], symbol)
+
+    rest = back[""]
+    for context in {g[:3] for g in chance if len(g) == 4} | {"bra", "ana", " ba"}:
+        unknown = rest * math.prod(back.get(context[i:], 1.0) for i in range(3))
+        assert sum(of(context, s) for s in symbols) + unknown == pytest.approx(1)
+
+
 def test_languages_of_odd_rows(odd, empty, docs):
     model = language.fit(docs)
     got = language.identify(odd, model, 0.0).collect()
