@@ -72,7 +72,7 @@ def fit_dense(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, pe
     return fit_logistic(lambda w: x @ w, lambda e: x.T @ e, x.shape[1], y, weight, penalty)
 
 
-def calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def calibrate(z: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[float, float]:
     """Slope and constant of a logistic curve through raw scores, by Platt's targets.
 
     Without both classes there is nothing to fit, and the curve is that of the raw score.
@@ -82,5 +82,5 @@ def calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
         return 1.0, 0.0
     target = np.where(y > 0.5, (good + 1) / (good + 2), 1 / (bad + 2))
     scale = max(float(np.std(z)), 1e-9)
-    w = fit_dense((z / scale)[:, None], target, penalty=1e-6)
+    w = fit_dense((z / scale)[:, None], target, weight, penalty=1e-6)
     return float(w[0] / scale), float(w[1])

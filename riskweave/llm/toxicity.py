@@ -5,6 +5,8 @@ characters are hashed into a table. In the labelled rows each bucket counts the
 the other documents that hold it. The log ratio of the two smoothed rates (naive Bayes)
 scales the bucket's presence, and a logistic regression on the scaled features of the most
 telling buckets weighs them. A Platt curve on rows kept aside makes the score a probability.
+Rows are drawn for each label apart, so that a rare one keeps its rows, and weighted back to
+the labels' true shares.
 
 Whole texts are scored. Defined results: NULL and empty texts get the score of a text
 without any telling n-gram. Without labels of both classes every score is the toxic share.
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import filter_rows, map_rows, runs, small_batches
@@ -26,7 +28,7 @@ SIZES = (3, 4, 5)
 TABLE_BITS = 18
 TELLING = 2048  # buckets that get a weight
 LEAST_DOCUMENTS = 4  # in which a bucket stands, to get one
-LABELLED_ROWS = 20_000  # about how many labelled rows are fitted on, chosen by a hash of doc_id
+LABELLED_ROWS = 20_000  # about how many labelled rows are fitted on, half of each label if it has them
 SMOOTHING = 0.5
 PORTION = 250_000  # characters whose n-grams are held at a time
 PENALTY = 1e-5
@@ -149,21 +151,44 @@ class Model:
         return sigmoid(self.slope * (z + self.constant) + self.shift)
 
 
+def _draw() -> Column:
+    """What rows are drawn by: the text counts too, so that those of one doc_id are drawn apart."""
+    return F.xxhash64("doc_id", "text")
+
+
+def _sizes(rows: DataFrame, *keys: str) -> dict:
+    """How many rows stand for each label, or for each label and further keys."""
+    return {tuple(r)[:-1]: r["count"] for r in rows.groupBy("label", *keys).count().collect()}
+
+
 def fit(rows: DataFrame, seed: int = 10) -> Model:
     """A model of the labelled rows (doc_id, text, label)."""
-    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    total = sum(sizes.values())
-    if not sizes.get(0) or not sizes.get(1):
-        share = (sizes.get(1, 0) + SMOOTHING) / (total + 2 * SMOOTHING)
+    sizes = {label: n for (label,), n in _sizes(rows).items()}
+    least = min(sizes.get(0, 0), sizes.get(1, 0), LABELLED_ROWS // 2)
+    wanted = {k: LABELLED_ROWS - least if n > least else least for k, n in sizes.items()}
+    if least:
+        if "_draw" not in rows.columns:
+            rows = rows.withColumn("_draw", _draw())
+        chance = F.pmod(F.xxhash64(F.lit(seed), "_draw"), F.lit(1_000_000)) / F.lit(1e6)
+        share = F.when(F.col("label") == 1, wanted[1] / sizes[1]).otherwise(wanted[0] / sizes[0])
+        fold = F.pmod(F.xxhash64(F.lit(seed + 1), "_draw"), F.lit(5))
+        rows = rows.filter(chance < share)
+        # Drawn on narrow rows; the semi join goes below the one with the labels, so that only
+        # the texts of drawn rows move.
+        keys = F.broadcast(rows.select("_draw").distinct())
+        rows = written(rows.join(keys, "_draw", "left_semi"), "labelled").withColumn("_aside", fold == 0)
+        drawn = _sizes(rows, "_aside")
+    if not least or not all(any(drawn.get((k, a)) for a in (False, True)) for k in (0, 1)):
+        share = (sizes.get(1, 0) + SMOOTHING) / (sum(sizes.values()) + 2 * SMOOTHING)
         return Model(np.zeros(1 << TABLE_BITS), 0.0, 1.0, float(np.log(share / (1 - share))))
-    chance = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000)) / F.lit(1e6)
-    rows = written(rows.filter(chance < LABELLED_ROWS / total), "labelled")
-    fold = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(5))
-    rows = rows.withColumn("_aside", fold == 0)
+    if not drawn.get((0, False)) or not drawn.get((1, False)):
+        rows = rows.withColumn("_aside", F.lit(False))  # too few to keep some aside
+        drawn = _sizes(rows, "_aside")
+    n = {k: drawn[k, False] for k in (0, 1)}
+    back = np.array([sizes[k] / (n[k] + drawn.get((k, True), 0)) for k in (0, 1)])
     train = rows.filter(~F.col("_aside"))
-    n = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
     chosen, ratio = log_count_ratios(
-        bucket_counts(train), np.array([n.get(0, 0), n.get(1, 0)], float)
+        bucket_counts(train), np.array([n[0], n[1]], float)
     )
     marked = np.zeros(1 << TABLE_BITS, bool)
     marked[chosen] = True
@@ -191,12 +216,12 @@ def fit(rows: DataFrame, seed: int = 10) -> Model:
         lambda e: ratio * rows.back(e),
         len(chosen),
         y,
-        (~aside).astype(float),
+        (~aside) * back[y.astype(int)],
         PENALTY,
     )
     z = rows.times(ratio * w[:-1]) + w[-1]
     use = aside if len(set(y[aside])) == 2 else ~aside
-    slope, shift = calibrate(z[use], y[use])
+    slope, shift = calibrate(z[use], y[use], back[y[use].astype(int)])
     weights = np.zeros(1 << TABLE_BITS)
     weights[chosen] = ratio * w[:-1]
     return Model(weights, float(w[-1]), slope, shift)
@@ -237,10 +262,11 @@ def without_toxic(docs: DataFrame, model: Model, reject_from: float = 0.5) -> Da
 
 
 def labelled(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
-    """doc_id, text and label of the rows of `docs` that have a 0 or 1 in that column."""
+    """doc_id, text, label and `_draw` of the rows of `docs` that have a 0 or 1 in that column."""
     marks = (
         labels.select(F.col("doc_id").alias("_id"), F.col(column).cast("int").alias("label"))
         .filter("label in (0, 1)")
         .distinct()
     )
-    return docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("_id")).drop("_id")
+    rows = docs.select("doc_id", "text", _draw().alias("_draw"))
+    return rows.join(marks, F.col("doc_id") == F.col("_id")).drop("_id")

@@ -597,6 +597,26 @@ def test_held_out_toxicity(spark):
     assert sum(s >= 0.7 for s in clean) <= 0.02 * len(clean)
 
 
+def test_a_rare_label_keeps_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "LABELLED_ROWS", 200)
+    words = ["table", "river", "garden", "paper", "window", "summer", "market"]
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choices(words, k=12)), 0) for i in range(2000)]
+    rows += [(2000 + i, " ".join(rng.choices(words, k=11)) + " zqxjk", 1) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    scored = toxicity.with_scores(df, toxicity.fit(df)).join(df.drop("text"), "doc_id").collect()
+    toxic = [r["score"] for r in scored if r["label"] == 1]
+    clean = [r["score"] for r in scored if r["label"] == 0]
+    assert min(toxic) > 0.5 > max(clean)
+
+
+def test_calibration_by_weights():
+    z, y = np.random.default_rng(1).normal(size=4000), np.arange(4000) % 2
+    for weight, share in ((None, 0.5), (np.where(y == 1, 0.02, 1.98), 0.01)):
+        slope, shift = linear.calibrate(z, y, weight)
+        assert linear.sigmoid(slope * z + shift).mean() == pytest.approx(share, rel=0.1)
+
+
 def test_grams_stay_within_texts():
     owner, bucket = toxicity.gram_buckets(["abc", "", "a b  C"])
     alone = [toxicity.gram_buckets([t])[1].tolist() for t in ("abc", "", "a b  C")]
