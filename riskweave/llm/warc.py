@@ -6,6 +6,9 @@ the output of the write; a repeated task attempt writes files of its own, and on
 that the index names count. Reading starts from index rows: they are sorted by place,
 neighbouring ranges are joined into one read, and records are cut out of it.
 
+A response's digest and size are those of the payload read back; a record whose header
+says otherwise raises. A revisit, which has no payload, has those of its header.
+
 Files are reached through the file system that the URI of the shared folder names.
 
 Defined results: a NULL payload is empty, a NULL URL an empty target; control characters in
@@ -101,6 +104,19 @@ def parse(data: bytes) -> dict:
     }
 
 
+def verified(fields: dict) -> dict:
+    """The fields of a parsed record, a response's digest and size taken from its payload."""
+    if fields["record_type"] != "response":
+        return fields
+    digest, size = hashlib.sha1(fields["payload"]).hexdigest(), len(fields["payload"])
+    if (digest, size) != (fields["digest"], fields["payload_bytes"]):
+        raise ValueError(
+            f"payload of page {fields['page_id']}: {size} bytes, sha1 {digest}; "
+            f"its header says {fields['payload_bytes']} bytes, sha1 {fields['digest']}"
+        )
+    return {**fields, "digest": digest, "payload_bytes": size}
+
+
 def with_revisits(pages: DataFrame) -> DataFrame:
     """page_id, url, payload, digest, refers_to; refers_to is NULL for responses.
 
@@ -173,7 +189,7 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
         start, stop = ranges[0][0], ranges[-1][0] + ranges[-1][1]
         f.seek(start)
         data = f.read(stop - start)
-        return [parse(gzip.decompress(data[a - start : a - start + n])) for a, n in ranges]
+        return [verified(parse(gzip.decompress(data[a - start : a - start + n]))) for a, n in ranges]
 
     def run(batches):
         fs, base = _filesystem(folder)

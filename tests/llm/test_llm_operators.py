@@ -359,6 +359,25 @@ def test_archives(spark):
     assert warc.archive_round_trip(df.limit(0)).collect() == []
 
 
+def test_wrong_payloads_are_not_read_as_right(spark):
+    from riskweave.session import scratch
+
+    right = b"<p>what was fetched</p>"
+    data = warc.record(1, "u", right, hashlib.sha1(right).hexdigest(), None)
+    assert warc.verified(warc.parse(data))["payload_bytes"] == len(right)
+    folder = scratch(spark, "warc")
+    fs, base = warc._filesystem(folder)
+    fs.create_dir(base, recursive=True)
+    wrong = data.replace(b"fetched", b"changed"), data.replace(b" fetched</p>", b"")
+    for k, record in enumerate(wrong):
+        member = gzip.compress(record)
+        with fs.open_output_stream(f"{base}/{k}.gz", compression=None) as out:
+            out.write(member)
+        index = spark.createDataFrame([(f"{k}.gz", 0, len(member))], "file string, offset long, length long")
+        with pytest.raises(Exception, match="its header says"):
+            warc.read_records(index, folder).collect()
+
+
 def test_selected_records_by_small_reads(spark, monkeypatch):
     from riskweave.session import scratch
 
