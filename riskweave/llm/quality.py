@@ -9,7 +9,7 @@ read off rows kept aside, so a view that tells nothing hands nothing over. In th
 views are calibrated on those rows and combined, and every document is scored.
 
 Fits use at most SAMPLE_ROWS labelled rows, and as many of the rows that the other view
-labelled, chosen by a hash; thresholds and scores cover all documents.
+labelled, chosen by a hash of doc_id and text; thresholds and scores cover all documents.
 
 Defined results: NULL and empty texts have the features of a text without words. Without
 labels of both classes every document gets the share of good labels and is kept.
@@ -109,12 +109,13 @@ def page_features(source: str | None, lang: str | None, text: str, n_chars: int
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """doc_id, text_view and page_view (arrays) of every row of `docs`."""
+    """doc_id, text_view and page_view (arrays) of every row of `docs`, and a hash of its text."""
 
     def make():
         def work(c):
             return {
                 "doc_id": c["doc_id"],
+                "_digest": c["_digest"],
                 "text_view": [np.array(text_features(t), np.float32) for t in c["text"]],
                 "page_view": [
                     np.array(page_features(s, g, t, n), np.float32)
@@ -125,10 +126,15 @@ def features(docs: DataFrame) -> DataFrame:
         return work
 
     rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "text", "source", "lang", F.col("n_chars").cast("bigint")
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        "text",
+        "source",
+        "lang",
+        F.col("n_chars").cast("bigint"),
+        F.xxhash64("text").alias("_digest"),
     )
     return map_rows(
-        rows, make, "doc_id bigint, text_view array<float>, page_view array<float>"
+        rows, make, "doc_id bigint, _digest bigint, text_view array<float>, page_view array<float>"
     )
 
 
@@ -187,8 +193,8 @@ def _fetch(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 
 def _bounded(rows: DataFrame, n: int, seed: int) -> DataFrame:
-    """About SAMPLE_ROWS of n rows, by a hash of doc_id."""
-    chance = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000)) / F.lit(1e6)
+    """About SAMPLE_ROWS of n rows, by a hash of doc_id and text: those of one id are drawn apart."""
+    chance = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_digest"), F.lit(1_000_000)) / F.lit(1e6)
     return rows.filter(chance < min(1.0, SAMPLE_ROWS / max(n, 1)))
 
 
@@ -226,7 +232,7 @@ def with_labels(docs: DataFrame, labels: DataFrame, seed: int) -> DataFrame:
         .agg(F.min("label").alias("label"))
     )
     table = features(docs).join(marks, F.col("doc_id") == F.col("_id"), "left").drop("_id")
-    fold = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(4))
+    fold = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_digest"), F.lit(4))
     return written(table.withColumn("_aside", fold == 0), "views")
 
 
@@ -264,7 +270,7 @@ def fit(table: DataFrame, seed: int) -> Model:
             says_bad = logit <= -bad if bad is not None else F.lit(False)
             vote.append(F.when(says_good & ~says_bad, 1).when(says_bad & ~says_good, 0))
         voted = unknown.select(
-            "doc_id", "_aside", "text_view", "page_view", vote[0].alias("_0"), vote[1].alias("_1")
+            "doc_id", "_digest", "_aside", "text_view", "page_view", vote[0].alias("_0"), vote[1].alias("_1")
         ).filter("coalesce(_0, _1) is not null and coalesce(_0 = _1, true)")
         groups = voted.groupBy("_0", "_1").count().collect()
         for k in (0, 1):

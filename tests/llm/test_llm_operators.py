@@ -636,6 +636,27 @@ def test_calibration_by_weights():
         assert linear.sigmoid(slope * z + shift).mean() == pytest.approx(share, rel=0.1)
 
 
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_rows_of_one_id_are_drawn_apart(spark, monkeypatch, doc_id):
+    monkeypatch.setattr(toxicity, "LABELLED_ROWS", 200)
+    monkeypatch.setattr(quality, "SAMPLE_ROWS", 200)
+    rows = [(doc_id, f"text number {i}", i % 2) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    sizes = []
+
+    def noted(rows, name):
+        sizes.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(toxicity, "written", noted)
+    toxicity.fit(df)
+    docs = df.select("doc_id", "text", F.lit("s").alias("source"), F.lit("en").alias("lang"), F.lit(9).alias("n_chars"))
+    sizes += [quality._bounded(quality.features(docs), 2000, seed).count() for seed in (1, 2)]
+    table = quality.with_labels(docs, df.limit(0).select("doc_id", F.col("label").alias("quality")), 1)
+    assert 300 < table.filter("_aside").count() < 700
+    assert len(sizes) == 3 and all(100 < n < 300 for n in sizes)
+
+
 def test_grams_stay_within_texts():
     owner, bucket = toxicity.gram_buckets(["abc", "", "a b  C"])
     alone = [toxicity.gram_buckets([t])[1].tolist() for t in ("abc", "", "a b  C")]
