@@ -3,7 +3,9 @@
 1. Each text becomes the set of hashes of its windows of five words (lower case, between
    blanks; a shorter text is one window). Equal sets are one class.
 2. MinHash values of a class, four at a time, name 32 buckets. Classes in one bucket are
-   candidates; two sets with similarity 0.8 miss every bucket with probability 5e-8.
+   candidates; two sets with similarity 0.8 miss every bucket with probability 5e-8. For
+   lower thresholds two values or one name 64 or 128 buckets, so that this bound holds for
+   sets at the threshold (from 0.49 and 0.13 on); still lower ones raise.
 3. Within a bucket MinHash values are compared 16 at a time. Given m of n equal ones, the
    posterior of the similarity is Beta(m + 1, n - m + 1); a pair for which the chance of
    reaching the threshold falls below the tolerance is dropped. A pair that meets in
@@ -32,6 +34,7 @@ from riskweave.session import written
 
 WORDS = 5
 BANDS, VALUES = 32, 4  # 128 MinHash values
+MISSED = 5e-8  # chance that a pair at the threshold meets in no bucket, at most
 STEP = 16  # values compared at a time
 TOLERANCE = 1e-6
 BLOCK_ROWS = 512
@@ -69,11 +72,22 @@ def minhash(shingles: np.ndarray) -> np.ndarray:
     return out.astype(np.uint32)
 
 
-def bucket_names(values: np.ndarray) -> np.ndarray:
-    """For rows of MinHash values the names of their 32 buckets."""
-    pairs = np.ascontiguousarray(values).view(np.uint64).reshape(len(values), BANDS, VALUES // 2)
-    name = np.broadcast_to(mix64(np.arange(1, BANDS + 1, dtype=np.uint64)), pairs.shape[:2])
-    for k in range(VALUES // 2):
+def band_values(threshold: float) -> int:
+    """How many values name a bucket, so that pairs at the threshold are missed by MISSED at most."""
+    for width in (VALUES, 2, 1):
+        if (1 - min(threshold, 1.0) ** width) ** (BANDS * VALUES // width) <= MISSED:
+            return width
+    raise ValueError(f"{BANDS * VALUES} MinHash values do not find pairs with similarity {threshold}")
+
+
+def bucket_names(values: np.ndarray, width: int = VALUES) -> np.ndarray:
+    """For rows of MinHash values the names of their buckets, of `width` values each."""
+    bands = BANDS * VALUES // width
+    whole = np.ascontiguousarray(values)
+    whole = whole.astype(np.uint64) if width == 1 else whole.view(np.uint64)
+    pairs = whole.reshape(len(values), bands, max(width // 2, 1))
+    name = np.broadcast_to(mix64(np.arange(1, bands + 1, dtype=np.uint64)), pairs.shape[:2])
+    for k in range(pairs.shape[2]):
         name = mix64(name + pairs[:, :, k])
     return name.view(np.int64)
 
@@ -94,7 +108,7 @@ def least_matches(threshold: float, tolerance: float = TOLERANCE) -> dict[int, i
     return out
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, width: int = VALUES) -> DataFrame:
     """_id, _text (a digest of the text), set (a digest of the shingle set; NULL without
     words), minhash and buckets of every row of `docs`."""
 
@@ -104,7 +118,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         def work(c):
             sets = shingle_sets(c["text"])
             values = np.stack([minhash(s) for s in sets])
-            names = bucket_names(values)
+            names = bucket_names(values, width)
             some = [len(s) > 0 for s in sets]
             return {
                 "_id": c["_id"],
@@ -171,7 +185,9 @@ def _pairs(starts: np.ndarray, sizes: np.ndarray):
                 yield (base + rows).ravel(), (base + columns).ravel()
 
 
-def _candidates(frame: pd.DataFrame, starts: np.ndarray, sizes: np.ndarray, least: dict[int, int]):
+def _candidates(
+    frame: pd.DataFrame, starts: np.ndarray, sizes: np.ndarray, least: dict[int, int], width: int = VALUES
+):
     """Pairs of row numbers of one group that first meet in its bucket and survive.
 
     `frame` holds groups (bucket, _i, _j) of consecutive rows. Of a group that stands for
@@ -180,7 +196,7 @@ def _candidates(frame: pd.DataFrame, starts: np.ndarray, sizes: np.ndarray, leas
     own, i, j = (frame[n].to_numpy() for n in ("_own", "_i", "_j"))
     band = frame["band"].to_numpy()
     values = np.frombuffer(b"".join(frame["minhash"]), np.uint32).reshape(len(frame), -1)
-    names = bucket_names(values)
+    names = bucket_names(values, width)
     kept = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for x, y in _pairs(starts, sizes):
         meet = (i[x] == j[x]) | (own[x] != own[y])
@@ -228,8 +244,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     documents with a similarity of at least `threshold`, component_id the smallest doc_id
     reachable by links; one document of each component is kept.
     """
-    least = least_matches(threshold)
-    rows = written(sketches(docs), "sketches")
+    least, width = least_matches(threshold), band_values(threshold)
+    rows = written(sketches(docs, width), "sketches")
     classes = written(
         rows.filter("set is not null")
         .groupBy("set")
@@ -257,7 +273,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     def surviving(frame: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
         if not len(frame):
             return frame[["set", "band", *group, "_own"]]
-        x, y = _candidates(frame, bounds[:-1], np.diff(bounds), least)
+        x, y = _candidates(frame, bounds[:-1], np.diff(bounds), least, width)
         return frame.iloc[np.union1d(x, y)][["set", "band", *group, "_own"]]
 
     facts = classes.select("set", "minhash")
@@ -274,7 +290,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
     def verify(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("set", ignore_index=True)
-        x, y = _candidates(frame, np.array([0]), np.array([len(frame)]), least)
+        x, y = _candidates(frame, np.array([0]), np.array([len(frame)]), least, width)
         sets = [np.frombuffer(s, np.uint64) for s in frame["shingles"]]
         sizes = np.array([len(s) for s in sets])
         common = _common(sets, x, y)

@@ -188,6 +188,21 @@ def test_jaccard_on_odd_rows(odd, empty):
     assert texts[frozenset()] == sum(not shingles(r["text"]) for r in rows)
 
 
+def test_low_thresholds_lose_no_link(spark):
+    # pairs of texts with 40 common shingles of 78: a similarity of 0.51
+    rows = [
+        (2 * k + side, " ".join([f"c{k}x{i}" for i in range(44)] + [f"s{k}x{side}x{i}" for i in range(19)]))
+        for k in range(150)
+        for side in (0, 1)
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.near_duplicates(df, 0.5).collect()
+    assert len(got) == 300 and all(r["n_links"] == 1 for r in got)
+    assert jaccard.band_values(0.8) == jaccard.VALUES
+    with pytest.raises(ValueError):
+        jaccard.near_duplicates(df, 0.05)
+
+
 def test_pruning_keeps_what_may_reach_the_threshold():
     least = jaccard.least_matches(0.8)
     assert list(least) == list(range(16, 129, 16))
