@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm import (
+    conversations,
     fingerprints,
     jaccard,
     language,
@@ -149,6 +150,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
 ORACLE["op6_warc"] = """
 with p as (select page_id, encode(coalesce(html, '')) payload, sha1(coalesce(html, '')) digest from pages),
 f as (select digest, max(page_id) first from p where octet_length(payload) >= 1000 group by digest)
@@ -157,3 +163,74 @@ select p.page_id, octet_length(payload) payload_bytes, p.digest payload_digest,
        case when f.first <> p.page_id then f.first end refers_to
 from p left join f on p.digest = f.digest and octet_length(payload) >= 1000
 """
+
+# The cheapest edits by dynamic programming: per conversation and state the least (cost, audit),
+# with the lines that remain. {'c','a','t'} compare in that order.
+ORACLE["op11_conversations"] = r"""
+with recursive keyed as (
+  select conv_id, turn, coalesce(role, ' ') role, coalesce(text, ' ') text,
+         coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') k from conversations),
+crcs as (
+  select k, xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(k, ''), lambda c: ord(c)::bigint)),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+      lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 20 kind
+  from (select distinct k from keyed)),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end role,
+         case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end text
+  from keyed join crcs using (k), generate_series(1, case when kind = 3 then 2 else 1 end)
+  where kind <> 0),
+ordered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) i from damaged),
+seen as (
+  select *, left(role, 1) r, not regexp_matches(text, '[^\x20\x09-\x0D]') blank,
+         row_number() over (partition by conv_id, role, text order by i) > 1 again,
+         lag(left(role, 1)) over (partition by conv_id order by i) || left(role, 1) pair
+  from ordered),
+faulty as (
+  select *, not blank and again repeated,
+         not blank and not again and regexp_matches(text, '[^.!?\x20\x09-\x0D][\x20\x09-\x0D]*$') cut
+  from seen),
+counts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint gaps,
+         count_if(blank)::bigint blank, count_if(repeated)::bigint duplicate, count_if(cut)::bigint truncated,
+         count_if(pair not in ('su', 'ua', 'au'))::bigint illegal, count(*) n
+  from faulty group by conv_id),
+steps as (
+  select conv_id, i, r, role, text, blank or repeated gone, case when cut then 5 else 0 end more from faulty),
+walk as (
+  select conv_id, 0::bigint i, {'c': 0, 'a': '', 't': []::varchar[]} e, {'c': 999999, 'a': '', 't': []::varchar[]} s,
+         {'c': 999999, 'a': '', 't': []::varchar[]} u, {'c': 999999, 'a': '', 't': []::varchar[]} a
+  from counts
+  union all
+  select conv_id, i,
+    {'c': e.c + 2, 'a': e.a || 'D', 't': e.t},
+    list_min([{'c': s.c + 2, 'a': s.a || 'D', 't': s.t},
+      {'c': case when gone or r <> 's' then 999999 else e.c + more end, 'a': e.a || 'K', 't': e.t || [role || ':' || text]}]),
+    list_min([{'c': u.c + 2, 'a': u.a || 'D', 't': u.t},
+      {'c': case when gone then 999999 else x.c + more + 1 end, 'a': x.a || 'R', 't': x.t || ['user:' || text]},
+      {'c': case when gone or r <> 'u' then 999999 else x.c + more end, 'a': x.a || 'K', 't': x.t || [role || ':' || text]}]),
+    list_min([{'c': a.c + 2, 'a': a.a || 'D', 't': a.t},
+      {'c': case when gone then 999999 else u.c + more + 1 end, 'a': u.a || 'R', 't': u.t || ['assistant:' || text]},
+      {'c': case when gone or r <> 'a' then 999999 else u.c + more end, 'a': u.a || 'K', 't': u.t || [role || ':' || text]}])
+  from (
+    select conv_id, i, r, role, text, gone, more, e, s, u, a, list_min([e, s, a]) x
+    from (
+      select w.conv_id, p.i, p.r, p.role, p.text, p.gone, p.more, e, s,
+        list_min([u, {'c': e.c + 5, 'a': e.a || 'I', 't': e.t || ['user:']}, {'c': s.c + 5, 'a': s.a || 'I', 't': s.t || ['user:']},
+          {'c': a.c + 5, 'a': a.a || 'I', 't': a.t || ['user:']}]) u,
+        list_min([a, {'c': u.c + 5, 'a': u.a || 'I', 't': u.t || ['assistant:']},
+          {'c': e.c + 10, 'a': e.a || 'II', 't': e.t || ['user:', 'assistant:']},
+          {'c': s.c + 10, 'a': s.a || 'II', 't': s.t || ['user:', 'assistant:']}]) a
+      from walk w join steps p on w.conv_id is not distinct from p.conv_id and p.i = w.i + 1))),
+ends as (
+  select w.conv_id, list_min([e, a, {'c': u.c + 5, 'a': u.a || 'I', 't': u.t || ['assistant:']},
+      {'c': s.c + 10, 'a': s.a || 'II', 't': s.t || ['user:', 'assistant:']}]) best
+  from walk w join counts k on w.conv_id is not distinct from k.conv_id and w.i = k.n)
+select d.conv_id, coalesce(gaps, 0) gaps, coalesce(blank, 0) blank, coalesce(duplicate, 0) duplicate,
+       coalesce(truncated, 0) truncated, coalesce(illegal, 0) illegal, coalesce(best.c, 0)::bigint "cost",
+       coalesce(best.a, '') audit, sha256(coalesce(array_to_string(best.t, chr(10)), '')) repaired_sha256
+from (select distinct conv_id from conversations) d
+left join counts k on d.conv_id is not distinct from k.conv_id
+left join ends f on d.conv_id is not distinct from f.conv_id
+"""
