@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm import (
+    collocations,
     conversations,
     fingerprints,
     jaccard,
@@ -155,6 +156,11 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(conversations.damaged(table(spark, sf_dir, "conversations")))
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op6_warc"] = """
 with p as (select page_id, encode(coalesce(html, '')) payload, sha1(coalesce(html, '')) digest from pages),
 f as (select digest, max(page_id) first from p where octet_length(payload) >= 1000 group by digest)
@@ -234,3 +240,38 @@ from (select distinct conv_id from conversations) d
 left join counts k on d.conv_id is not distinct from k.conv_id
 left join ends f on d.conv_id is not distinct from f.conv_id
 """
+
+ORACLE["op12_collocations"] = r"""
+with pieces as (
+  select coalesce(lang, 'und') lang, regexp_extract_all(piece, '[^\x20\x09]+') w
+  from (select lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece from documents)),
+places as (select lang, w, unnest(range(1, len(w) + 1)) i from pieces),
+windows as (select lang, w[i] w1, w[i + 1] w2, w[i + 2] w3 from places),
+ones as materialized (select lang, w1, count(*)::hugeint n from windows group by all),
+twos as materialized (select lang, w1, w2, count(*)::hugeint n from windows where w2 is not null group by all having count(*) >= 10),
+threes as materialized (select lang, w1, w2, w3, count(*)::hugeint n from windows where w3 is not null group by all having count(*) >= 10),
+longer as (
+  select lang, w1, w2, max(n) n from (select lang, w1, w2, n from threes union all select lang, w2, w3, n from threes) group by all),
+cuts as (
+  select c.lang, c.w1 || ' ' || c.w2 phrase, c.n a, 1 k, x.n l, y.n r
+  from twos c join ones x on x.lang = c.lang and x.w1 = c.w1 join ones y on y.lang = c.lang and y.w1 = c.w2
+  left join longer i on i.lang = c.lang and i.w1 = c.w1 and i.w2 = c.w2
+  where i.n is null or 100 * i.n < 50 * c.n
+  union all
+  select c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.n, 1, x.n, y.n
+  from threes c join ones x on x.lang = c.lang and x.w1 = c.w1
+  join twos y on y.lang = c.lang and y.w1 = c.w2 and y.w2 = c.w3
+  union all
+  select c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.n, 2, x.n, y.n
+  from threes c join twos x on x.lang = c.lang and x.w1 = c.w1 and x.w2 = c.w2
+  join ones y on y.lang = c.lang and y.w1 = c.w3),
+weakest as (
+  select *, 1000000 * a * a // (l * r) score from cuts
+  qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+totals as (select lang, sum(n) n from ones group by lang)
+select * from (
+  select lang, row_number() over (partition by lang order by score desc, a desc, phrase) "rank", phrase,
+         a::bigint a, l::bigint l, r::bigint r, n::bigint n, score::bigint score
+  from weakest join totals using (lang)) where "rank" <= 2000
+"""
