@@ -140,3 +140,17 @@ def filter_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], li
 
     small_batches(df.sparkSession)
     return df.mapInArrow(run, df.schema)
+
+
+def frequent(counts: DataFrame, n: str, limit: int) -> DataFrame:
+    """The rows with the highest counts `n`, at most `limit`, without a sort: counts are told apart
+    in steps of a sixteenth of a doubling, and all rows of a step are in or out."""
+    step = F.floor(16 * F.log2(n)).cast("int")
+    sizes = counts.groupBy(step.alias("step")).count().collect()  # at most 1,024 rows
+    least, held = None, 0
+    for row in sorted(sizes, key=lambda r: -r["step"]):
+        held += row["count"]
+        if held > limit:
+            break
+        least = row["step"]
+    return counts.filter(step >= least) if least is not None else counts.limit(0)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import partial, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm import (
+    attention,
     collocations,
     conversations,
     fingerprints,
@@ -161,6 +162,27 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.phrases(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = mod_crc("doc_id", 5) == 1
+    subwords = partial(
+        attention.Subwords, tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    scored = attention.score(docs, attention.fit(docs, ~held_out, subwords))
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 ORACLE["op6_warc"] = """
 with p as (select page_id, encode(coalesce(html, '')) payload, sha1(coalesce(html, '')) digest from pages),
 f as (select digest, max(page_id) first from p where octet_length(payload) >= 1000 group by digest)
