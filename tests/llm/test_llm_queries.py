@@ -19,6 +19,7 @@ COLUMNS = {
     "op8_embeddings": {"vec_id", "n_links", "component_id", "kept"},
     "op9_language": {"doc_id", "held_out", "lang_pred", "score"},
     "op10_toxicity": {"doc_id", "held_out", "score", "predicted"},
+    "op13_attention": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"},
 }
 
 
