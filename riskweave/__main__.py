@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from riskweave.plans.daily import daily_run
 from riskweave.plans.model import (
     BEHAVIOUR_FOREST,
+    HISTORY_FOREST,
     SIMPLE_FOREST,
     ModelRegistry,
     stamp_metrics,
@@ -30,7 +31,7 @@ from riskweave.sources.messages import order_topic, transaction_topic
 from riskweave.streaming.orders import load_pending_orders
 from riskweave.streaming.scorer import start_scoring
 
-FORESTS = {"behaviour": BEHAVIOUR_FOREST, "simple": SIMPLE_FOREST}
+FORESTS = {"behaviour": BEHAVIOUR_FOREST, "history": HISTORY_FOREST, "simple": SIMPLE_FOREST}
 
 
 def train(spark: SparkSession, a: argparse.Namespace) -> None:

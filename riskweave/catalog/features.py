@@ -75,19 +75,23 @@ SKEWED_SQL = """(
   from txn)"""
 
 
-@query(
-    f"select transaction_id, account_id, event_time, {Z}, {HOURS}, {LAST_HOUR}"
-    f" from {features_sql(SKEWED_SQL)}"
-)
-def account_features_hot_account(spark, sf_dir):
-    rows = txn(spark, sf_dir)
+def skewed_rows(rows):
     number = F.col("transaction_id").cast("long")
-    skewed = rows.select(
+    return rows.select(
         "transaction_id",
         F.when(number % 3 == 0, "hot").otherwise(F.col("account_id")).alias("account_id"),
         F.when(number % 7 != 0, F.col("amount")).alias("amount"),
         F.date_trunc("hour", "event_time").alias("event_time"),
     )
+
+
+@query(
+    f"select transaction_id, account_id, event_time, {Z}, {HOURS}, {LAST_HOUR}"
+    f" from {features_sql(SKEWED_SQL)}"
+)
+def account_features_hot_account(spark, sf_dir):
+    rows = txn(spark, sf_dir)
+    skewed = skewed_rows(rows)
     # About twenty slices for the hot account, whatever the scale.
     limit = max(rows.count() // 30, 1)
     return rounded(
@@ -99,6 +103,52 @@ def account_features_hot_account(spark, sf_dir):
     )
 
 
+def history_sql(source: str, digits: int = 6) -> str:
+    """The score against strictly earlier events, next to the other two features."""
+    earlier = (
+        "over (partition by account_id order by us, transaction_id"
+        " rows between unbounded preceding and 1 preceding)"
+    )
+    return f"""
+select transaction_id, account_id, event_time,
+       coalesce(round((amount - avg(amount) {earlier})
+         / case when stddev_samp(amount) {earlier} = 0 then 1 else stddev_samp(amount) {earlier} end,
+         {digits}), 0.0) {Z}, {HOURS}, {LAST_HOUR}
+from {features_sql(source)}"""
+
+
+@query(history_sql("txn"))
+def point_in_time_features(spark, sf_dir):
+    return rounded(
+        features.point_in_time_features(txn(spark, sf_dir)).select(
+            "transaction_id", "account_id", "event_time", *features.FEATURES
+        ),
+        Z,
+        HOURS,
+    )
+
+
+LARGE_SQL = SKEWED_SQL.replace("then amount end amount", "then round(amount) + 1e9 end amount")
+
+
+@query(history_sql(LARGE_SQL, digits=4))
+def point_in_time_features_hot_account(spark, sf_dir):
+    """A third of the rows in one account, equal times, and whole amounts near 1e9."""
+    rows = txn(spark, sf_dir)
+    skewed = skewed_rows(rows).withColumn("amount", F.round("amount") + F.lit(1e9))
+    limit = max(rows.count() // 30, 1)
+    return rounded(
+        rounded(
+            features.point_in_time_features(skewed, max_group_rows=limit).select(
+                "transaction_id", "account_id", "event_time", *features.FEATURES
+            ),
+            HOURS,
+        ),
+        Z,
+        digits=4,
+    )
+
+
 @query(
     """
 select account_id, round(avg(amount), 6) amount_mean, round(stddev_samp(amount), 6) amount_std

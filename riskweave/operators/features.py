@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import micros, no_nan
+from riskweave.operators.moments import moments, sample_deviation
 from riskweave.operators.skew import (
     COPY_BLOCK,
     GROUP_ROWS,
@@ -18,6 +19,7 @@ from riskweave.operators.skew import (
     same_keys,
 )
 from riskweave.schemas import FIRST_EVENT_HOURS, ROLLING_WINDOW_MICROS
+from riskweave.session import written
 
 FEATURES = [
     "amount_zscore_for_account",
@@ -194,3 +196,98 @@ def _by_slices(
         timed[FEATURES[1]],
         timed[FEATURES[2]],
     )
+
+
+def point_in_time_features(
+    df: DataFrame,
+    by: Sequence[str] = ("account_id",),
+    max_group_rows: int = GROUP_ROWS,
+    max_hot_keys: int = MAX_HOT_KEYS,
+) -> DataFrame:
+    """`df` with the three account features as they were known when each event came.
+
+    As `account_features`, but mean and deviation run over the account's strictly earlier
+    events, ties in order of transaction_id, so no row sees what came after it. With fewer
+    than two earlier amounts the score is 0. A row without a time has no history and is in
+    none. Deviations are kept as such and merged, never taken from sums of squares, so
+    large amounts that lie close together keep their digits.
+
+    Accounts above `max_group_rows` are cut into slices of time; each slice starts from
+    the moments of the earlier ones.
+    """
+    by = list(by)
+    hot, hot_rows, _ = hot_groups(df, by, max_group_rows, max_hot_keys)
+    if hot is None:
+        return _history_by_window(df, by)
+    cond = same_keys(df, hot, by)
+    rest = _history_by_window(df.join(hot, cond, "left_anti"), by)
+    large = _history_by_slices(df.join(hot, cond, "left_semi"), by, hot_rows, max_group_rows)
+    return rest.unionByName(large)
+
+
+def _history_score(amount: Column, history: Column, us: Column) -> Column:
+    score = zscore(amount, history["mean"], sample_deviation(history))
+    return F.when(us.isNull(), F.lit(0.0)).otherwise(score)
+
+
+def _timed_amount() -> Column:
+    return F.when(F.col("event_time").isNotNull(), no_nan("amount"))
+
+
+def _history_by_window(df: DataFrame, by: list[str]) -> DataFrame:
+    rows = df.withColumn("_timed", _timed_amount())
+    order = Window.partitionBy(*by).orderBy(micros("event_time"), "transaction_id")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_history", moments("_timed", earlier))
+    return _by_window(rows, by).select(
+        *df.columns,
+        _history_score(no_nan("amount"), F.col("_history"), F.col("event_time")).alias(FEATURES[0]),
+        *FEATURES[1:],
+    )
+
+
+def _history_by_slices(
+    df: DataFrame, by: list[str], rows: int, slice_rows: int
+) -> DataFrame:
+    """The sweep of `_by_slices`, with moments. Rows are numbered, so that equal ones can be
+    told apart and none needs a weight."""
+    numbered = written(
+        df.withColumns({"_row": F.monotonically_increasing_id(), "_us": micros("event_time")}),
+        "hot-rows",
+    )
+    counted = _timed_amount().isNotNull().cast("long")
+    late = F.col("_us") + F.lit(ROLLING_WINDOW_MICROS)
+
+    def event(at: Column, enters: int, step: Column, **own: Column) -> Column:
+        absent = {"_seen": "long", "_amount": "double", "_held": numbered.select(*df.columns).schema}
+        return F.struct(
+            at.alias("_at"),
+            F.lit(enters).alias("_enters"),
+            F.col("transaction_id").alias("_id"),
+            F.col("_row").alias("_number"),
+            step.alias("_step"),
+            *[own.get(n, F.lit(None)).cast(t).alias(n) for n, t in absent.items()],
+        )
+
+    entry = event(
+        F.col("_us"), 1, counted, _seen=F.col("_us"), _amount=_timed_amount(), _held=F.struct(*df.columns)
+    )
+    leaving = event(late, 0, -counted)
+    sweep = numbered.select(*by, F.explode(F.array(entry, leaving)).alias("_e")).select(*by, "_e.*")
+    swept = running_totals(
+        sweep,
+        by,
+        ["_at", "_enters", "_id", "_number"],
+        rows=2 * rows,
+        sums={"_total": "_step"},
+        earlier_max={"_previous": "_seen"},
+        earlier_moments={"_history": "_amount"},
+        slice_rows=slice_rows,
+    ).filter("_enters = 1")
+    rows_with = swept.select("_held.*", F.col("_at").alias("_us"), "_previous", "_total", "_history")
+    return rows_with.select(
+        *df.columns,
+        _history_score(no_nan("amount"), F.col("_history"), F.col("_us")).alias(FEATURES[0]),
+        hours_between(F.col("_us"), F.col("_previous")).alias(FEATURES[1]),
+        _if_timed(F.col("_total")).alias(FEATURES[2]),
+    )

@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskweave.operators.moments import merged, moments as moments_of, none, of_earlier_parts
 from riskweave.session import written
 
 # One task sorts at most about this many rows of one group.
@@ -59,12 +60,14 @@ def running_totals(
     sums: Mapping[str, str] | None = None,
     earlier_max: Mapping[str, str] | None = None,
     slice_rows: int = GROUP_ROWS,
+    earlier_moments: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Running aggregates of every row within its group, in ascending `order`.
 
     `sums` maps a new column to the column whose running sum (own row included)
     it holds, `earlier_max` to the column whose maximum over strictly earlier
-    rows it holds. `rows` is the row count of `df`, which the caller knows.
+    rows it holds, `earlier_moments` to that whose moments over strictly earlier rows it
+    holds (`moments.TYPE`). `rows` is the row count of `df`, which the caller knows.
 
     Beyond `slice_rows` the sorted sequence is cut by range partitioning into
     slices, whatever group they belong to, and each slice starts from the totals
@@ -74,6 +77,7 @@ def running_totals(
     cannot be separated by sorting.
     """
     sums, earlier_max = dict(sums or {}), dict(earlier_max or {})
+    earlier_moments = dict(earlier_moments or {})
     slices = min(math.ceil(rows / slice_rows), MAX_SLICES)
     if slices <= 1:
         upto, before = _frames(groups, order)
@@ -81,6 +85,7 @@ def running_totals(
             "*",
             *[F.sum(c).over(upto).alias(n) for n, c in sums.items()],
             *[F.max(c).over(before).alias(n) for n, c in earlier_max.items()],
+            *[moments_of(c, before).alias(n) for n, c in earlier_moments.items()],
         )
 
     # The slice number must never change once taken, hence the written table.
@@ -93,7 +98,10 @@ def running_totals(
     own = sliced.groupBy(*groups, "_slice").agg(
         *[F.sum(c).alias(n) for n, c in sums.items()],
         *[F.max(c).alias(n) for n, c in earlier_max.items()],
+        *[moments_of(c).alias(n) for n, c in earlier_moments.items()],
     )
+    if earlier_moments:
+        own = written(own, "slice-totals")
     _, previous = _frames(groups, ["_slice"])
     carried = (
         own.select(
@@ -107,11 +115,18 @@ def running_totals(
         .drop("_behind")
     )
     keys = ["_slice", *groups]
+    if earlier_moments:
+        folded = of_earlier_parts(own, groups, "_slice", list(earlier_moments))
+        folded = folded.withColumnsRenamed({n: f"_{n}" for n in earlier_moments})
+        carried = carried.join(folded, same_keys(carried, folded, keys)).select(
+            *[carried[c] for c in carried.columns], *[folded[f"_{n}"] for n in earlier_moments]
+        )
     upto, before = _frames(keys, order)
     inside = sliced.select(
         "*",
         *[F.sum(c).over(upto).alias(n) for n, c in sums.items()],
         *[F.max(c).over(before).alias(n) for n, c in earlier_max.items()],
+        *[moments_of(c, before).alias(n) for n, c in earlier_moments.items()],
     )
     joined = inside.join(F.broadcast(carried), same_keys(inside, carried, keys), "left")
     return joined.select(
@@ -121,6 +136,10 @@ def running_totals(
             for n in sums
         ],
         *[F.greatest(inside[n], carried[f"_{n}"]).alias(n) for n in earlier_max],
+        *[
+            merged(F.coalesce(carried[f"_{n}"], none()), inside[n]).alias(n)
+            for n in earlier_moments
+        ],
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import flagged
-from riskweave.operators.features import account_features
+from riskweave.operators.features import account_features, point_in_time_features
 from riskweave.operators.metrics import (
     precision_recall,
     quality_gate,
@@ -51,12 +51,15 @@ class ForestPlan:
     stratified: bool
     label: str = "is_fraud"
     keeps_gaps: bool = True  # rows without a category stay, as an unknown one
+    point_in_time: bool = False  # features see an account's earlier events only
 
 
 # The two forests.
 BEHAVIOUR_FOREST = ForestPlan(
     tuple(NUMERIC_FEATURES), one_hot=True, trees=200, depth=8, balanced=True, stratified=True
 )
+# The first of them without a look ahead.
+HISTORY_FOREST = replace(BEHAVIOUR_FOREST, point_in_time=True)
 SIMPLE_FOREST = ForestPlan(
     ("amount",),
     one_hot=False,
@@ -117,7 +120,7 @@ def training_rows(df: DataFrame, plan: ForestPlan, label: str | None = None) ->
     """
     label = label or plan.label
     if set(plan.numeric) - {"amount"}:
-        df = account_features(df)
+        df = point_in_time_features(df) if plan.point_in_time else account_features(df)
     wanted = ["transaction_id", *plan.numeric, *CATEGORY_FEATURES, label]
     needed = [*plan.numeric, label, *([] if plan.keeps_gaps else CATEGORY_FEATURES)]
     df = df.select(*wanted).dropna(how="any", subset=needed)
