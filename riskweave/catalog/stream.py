@@ -10,15 +10,22 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
-from riskweave.catalog.features import features_sql
-from riskweave.catalog.registry import query
+from riskweave.catalog.features import HOURS, LAST_HOUR, Z, features_sql
+from riskweave.catalog.registry import query, rounded
 from riskweave.catalog.training import stand_in_model
+from riskweave.operators.features import FEATURES
 from riskweave.operators.metrics import precision_recall
 from riskweave.plans.model import ModelRegistry
 from riskweave.plans.views import scored, txn
 from riskweave.session import scratch
 from riskweave.sinks.stores import table_stores
-from riskweave.sources.messages import encode_transactions, message_files, parse_transactions
+from riskweave.sources.messages import (
+    encode_transactions,
+    message_files,
+    parse_transactions,
+    read_transactions,
+)
+from riskweave.streaming.features import live_features
 from riskweave.streaming.scorer import start_scoring
 
 PARTS = 3
@@ -49,13 +56,14 @@ def _part(rows, i: int):
     return rows.filter(F.col("transaction_id").cast("long") % PARTS == i)
 
 
-def _run(spark, root: str, model, stores) -> None:
+def _run(spark, root: str, model, stores, live: bool = False) -> None:
     start_scoring(
         message_files(spark, f"{root}/in"),
         model,
         stores,
         f"{root}/checkpoint",
         available_now=True,
+        live=live,
         quarantine=f"{root}/rejected",
         scored_at=lambda df: df.withColumn("scored_at", F.col("event_time")),
     ).awaitTermination()
@@ -107,6 +115,87 @@ def stream_score(spark, sf_dir):
     )
 
 
+# What each event sees of its account: all that arrived before it, by batch, time and id. The
+# account's clock is the latest time it has seen.
+LIVE_SQL = f"""(
+  select e.transaction_id, any_value(e.account_id) account_id, any_value(e.batch) batch,
+         any_value(e.amount) amount, any_value(e.event_time) event_time, any_value(e.z) {Z},
+         any_value(e.h) {HOURS},
+         count(o.amount) filter (where (o.batch, o.us, o.transaction_id) <= (e.batch, e.us, e.transaction_id)
+                                 and o.us > e.clock - 3600000000) {LAST_HOUR}
+  from (select *,
+          coalesce(round((amount - avg(amount) over earlier)
+            / case when stddev_samp(amount) over earlier = 0 then 1 else stddev_samp(amount) over earlier end, 6),
+            0.0) z,
+          case when max(us) over earlier is null then 24.0
+               else round(greatest(us - max(us) over earlier, 0) / 3.6e9, 6) end h,
+          greatest(us, coalesce(max(us) over earlier, us)) clock
+        from (select *, epoch_us(event_time) us, cast(transaction_id as bigint) % {PARTS} batch from txn)
+        window earlier as (partition by account_id order by batch, us, transaction_id
+                           rows between unbounded preceding and 1 preceding)) e
+  join (select *, epoch_us(event_time) us, cast(transaction_id as bigint) % {PARTS} batch from txn) o
+    on o.account_id = e.account_id
+  group by e.transaction_id)"""
+
+
+@query(f"select transaction_id, account_id, {Z}, {HOURS}, {LAST_HOUR} from {LIVE_SQL}")
+def stream_live_features(spark, sf_dir):
+    """Features kept in state over three runs on one checkpoint."""
+    root = scratch(spark, "live")
+    rows = txn(spark, sf_dir)
+    for i in range(PARTS):
+        _deliver(_part(rows, i), f"{root}/in")
+        (
+            live_features(read_transactions(message_files(spark, f"{root}/in")))
+            .writeStream.format("parquet")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .option("path", f"{root}/out")
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+    return rounded(
+        spark.read.parquet(f"{root}/out").select(
+            "transaction_id", "account_id", *FEATURES
+        ),
+        Z,
+        HOURS,
+    )
+
+
+@query(
+    f"""
+select transaction_id, batch as batch_id, round(p, 6) fraud_probability,
+       cast(case when p >= 0.5 then 1 else 0 end as bigint) is_flagged
+from (select transaction_id, batch,
+             least(cast(amount / 200.0 as double)
+               + cast(0.05 as double) * ({LAST_HOUR} - 1)
+               + case when {HOURS} < 2 then cast(0.02 as double) else 0 end
+               + case when {Z} > 1.5 then cast(0.03 as double) else 0 end, 1.0) p
+      from {LIVE_SQL})
+"""
+)
+def stream_score_live(spark, sf_dir):
+    """The scorer with features that live across its micro-batches."""
+    root = scratch(spark, "live-scorer")
+    stores = table_stores(f"{root}/stores")
+    model = feature_model()
+    rows = txn(spark, sf_dir)
+    for i in range(PARTS):
+        _deliver(_part(rows, i), f"{root}/in")
+        _run(spark, root, lambda: ("stand-in", model), stores, live=True)
+    return (
+        stores[0]
+        .read(spark)
+        .select(
+            "transaction_id",
+            "batch_id",
+            F.round("fraud_probability", 6).alias("fraud_probability"),
+            "is_flagged",
+        )
+    )
+
+
 @query("select transaction_id, account_id, amount from txn")
 def stream_trigger_checkpoint(spark, sf_dir):
     root = scratch(spark, "restart")

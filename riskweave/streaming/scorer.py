@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from riskweave.operators.features import account_features
+from riskweave.operators.features import FEATURES, account_features
 from riskweave.plans.model import score
 from riskweave.schemas import TRIGGER_INTERVAL
 from riskweave.session import temporary
 from riskweave.sinks.stores import fan_out, replace_batch
 from riskweave.sources.messages import good_and_bad, read_transactions
+from riskweave.streaming.features import live_features
 
 Model = Callable[[], tuple[str, object]]
 TAKEN_AT = "_taken_at"
@@ -27,12 +28,15 @@ def score_batch(
     scored_at: datetime | None = None,
     by: Sequence[str] = ("account_id",),
 ) -> DataFrame:
-    """Scored rows of one micro-batch; features look at this batch only.
+    """Scored rows of one micro-batch. Features look at this batch only, unless the rows
+    bring them along.
 
     The scoring time is that of the batch (TAKEN_AT), which a stream keeps with its
     offsets: a batch that is repeated gets the same one. Elsewhere it is taken once.
     """
-    rows = score(account_features(good, by), model)
+    if not set(FEATURES) <= set(good.columns):
+        good = account_features(good, by)
+    rows = score(good, model)
     if scored_at is None and TAKEN_AT in rows.columns:
         return rows.withColumnRenamed(TAKEN_AT, "scored_at")
     now = scored_at or datetime.now(timezone.utc)
@@ -51,19 +55,21 @@ def batch_writer(
 
     `model` gives (version, model) and is asked anew for each batch, so a promoted
     model takes over with the next one. Bad messages go to the `quarantine` table. `taken`
-    is given the number of messages of each batch.
+    is given the number of messages of each batch. Batches of rows that were read already
+    (`live_features`) are taken as they are.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # The source is read and parsed once; a lost executor reads its part again.
-        read = read_transactions(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        read = batch if "reason" in batch.columns else read_transactions(batch)
+        read = read.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             with temporary(batch.sparkSession):
                 if taken is not None:
                     taken[batch_id] = read.count()
                 good, bad = good_and_bad(read)
                 if quarantine:
-                    replace_batch(bad.drop(TAKEN_AT), quarantine, batch_id)
+                    replace_batch(bad.drop(TAKEN_AT, *FEATURES), quarantine, batch_id)
                 if good.isEmpty():
                     return
                 _, fitted = model()
@@ -81,6 +87,7 @@ def start_scoring(
     stores: Sequence,
     checkpoint: str,
     available_now: bool = False,
+    live: bool = False,
     **options,
 ) -> StreamingQuery:
     """Starts the scorer on a stream with a `value` column.
@@ -88,8 +95,14 @@ def start_scoring(
     Offsets are kept in `checkpoint`: a restart resumes where the stream stopped and
     repeats at most the last batch, which the stores replace: its time of scoring is fixed
     with its offsets, so it goes to the same place again.
+
+    With `live`, features come from state that the checkpoint keeps across micro-batches;
+    otherwise they look at each micro-batch alone. One checkpoint serves one of the two.
     """
-    writer = messages.withColumn(TAKEN_AT, F.current_timestamp()).writeStream.foreachBatch(
+    messages = messages.withColumn(TAKEN_AT, F.current_timestamp())
+    if live:
+        messages = live_features(read_transactions(messages), expires=not available_now)
+    writer = messages.writeStream.foreachBatch(
         batch_writer(model, stores, **options)
     ).option("checkpointLocation", checkpoint)
     if available_now:
