@@ -125,6 +125,47 @@ def compact_lake(spark, sf_dir):
     return store.read(spark).select("transaction_id", "amount", "event_date", "batch_id")
 
 
+class FailsToCommit(stores.TableStore):
+    """Stops after its data is written, before the manifest."""
+
+    def log(self, spark):
+        log = super().log(spark)
+
+        def commit(change):
+            raise OSError("the driver is gone")
+
+        log.commit = commit
+        return log
+
+
+@query(
+    """
+select transaction_id, amount, cast(cast(event_time as date) as varchar) event_date,
+       cast(transaction_id as bigint) % 6 as batch_id
+from scored
+"""
+)
+def commit_crash(spark, sf_dir):
+    """Batches and compactions that fail before their manifest, with more batches behind them."""
+    store = stores.table_stores(scratch(spark, "crash"))[1]
+    failing = FailsToCommit(store.path, store.rows, store.partitions, store.clustered)
+    rows = scored(spark, sf_dir)
+    for batch_id in range(6):
+        some = rows.filter(F.col("transaction_id").cast("long") % 6 == batch_id)
+        for step in (
+            lambda: failing.write(some, batch_id),
+            lambda: store.write(some, batch_id),
+            lambda: failing.compact(spark),
+        ):
+            try:
+                step()
+            except OSError:
+                pass
+        if batch_id in (2, 4):
+            store.compact(spark)
+    return store.read(spark).select("transaction_id", "amount", "event_date", "batch_id")
+
+
 @query(LAKE_SQL)
 def snapshot_history(spark, sf_dir):
     root = scratch(spark, "snapshot")

@@ -285,3 +285,21 @@ def replay_scoring_time(spark, sf_dir):
         ).select(F.lit(store.path.rsplit("/", 1)[1]).alias("name"), "*")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+@query(
+    f"select transaction_id, cast(transaction_id as bigint) % {PARTS} % 2 as batch_id from txn",
+)
+def stream_new_checkpoint(spark, sf_dir):
+    """A scorer that starts anew on another checkpoint counts its batches from 0 again; none
+    takes the place of an earlier stream's, closed or open."""
+    root = scratch(spark, "anew")
+    store = table_stores(f"{root}/stores")[0]
+    model = feature_model()
+    rows = txn(spark, sf_dir)
+    for i in range(PARTS):  # two runs on the first checkpoint, one on the second
+        run = f"{root}/{i // 2}"
+        _deliver(_part(rows, i), f"{run}/in")
+        _run(spark, run, lambda: ("stand-in", model), [store])
+        store.compact(spark)
+    return store.read(spark).select("transaction_id", "batch_id")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from riskweave.operators.checks import require_rules, verify_output
 from riskweave.operators.cleaning import clean_orders
 from riskweave.schemas import ORDER_FLOW_NAME
+from riskweave.sinks.stores import replace_batch
 from riskweave.sinks.tables import VersionedTable, full_refresh, order_summary_rows
 from riskweave.sources.messages import bounded_drain, read_orders, split_orders
 
@@ -47,8 +48,10 @@ def load_read_orders(
     flow: str = ORDER_FLOW_NAME,
     skip_if_empty: bool = False,
     keep_versions: int | None = None,
+    run_id: int | None = None,
 ) -> OrderLoad:
-    """The load from rows of `read_orders`. Rejected messages are added to `quarantine`.
+    """The load from rows of `read_orders`. Rejected messages go to `quarantine` once the load
+    has replaced the table; with `run_id`, in place of those an earlier try of that run left.
 
     Rows that break the rules of the order summary stop the load before it replaces
     anything.
@@ -57,8 +60,6 @@ def load_read_orders(
     read = read.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good, bad = split_orders(read)
-        if quarantine:
-            bad.write.mode("append").parquet(quarantine)
         cleaned = clean_orders(good, run_date, flow)
         rows = order_summary_rows(cleaned, run_date).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -66,6 +67,10 @@ def load_read_orders(
             loaded = full_refresh(target, rows, skip_if_empty, keep_versions)
         finally:
             rows.unpersist()
+        if quarantine and run_id is not None:
+            replace_batch(bad, quarantine, run_id)
+        elif quarantine:
+            bad.write.mode("append").parquet(quarantine)
         # Cleaning leaves rows exactly when there were good messages.
         status = verify_output(good, "cleaned_orders", good.sparkSession).first()["status"]
         taken = read.count()

@@ -86,6 +86,26 @@ def complete_folders(spark: SparkSession, path: str) -> list[str]:
     ]
 
 
+def folders_below(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Names of the folders below `path` and when they were last changed, in seconds."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    found = [f for f in fs.listStatus(top) if f.isDirectory()]
+    return [(f.getPath().getName(), f.getModificationTime() / 1000) for f in found]
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a written table has any data file."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(top, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a Parquet table in the shared folder.
 

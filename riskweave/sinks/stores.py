@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import logging
+import time
+import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -12,7 +14,8 @@ from pyspark.sql import functions as F
 
 from riskweave.operators.rollup import batch_summary
 from riskweave.schemas import ANALYTICS_COLUMNS, LAKE_COLUMNS, MONEY, OPS_COLUMNS
-from riskweave.session import complete_folders, remove
+from riskweave.session import folders_below, has_files, remove
+from riskweave.sinks.manifest import CommitLog, Entry, Manifest
 
 BATCH = "batch_id"
 log = logging.getLogger(__name__)
@@ -73,13 +76,24 @@ def replace_batch(
     write_partitioned(df, folder, partitions, clustered)
 
 
+def stream_identity(spark: SparkSession) -> str:
+    """The id that a stream's checkpoint gives it, inside its `foreachBatch`; else empty."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
+MERGED_AT = 8  # folders of a level are merged when there are this many
+GRACE_SECONDS = 3600.0  # what does not count any more stays so long, for readers under way
+
+
 @dataclass(frozen=True)
 class TableStore:
     """A Parquet table that a batch can be written to again without doubling rows.
 
-    New batches are open: each has its own folder. `compact` moves all but the newest
-    into files by partition, which stay as few as the days are, and one pointer says up to
-    which batch that is done; readers see closed and open batches once each.
+    The folders that count stand in a commit log. A batch is known by its stream (the id in the
+    checkpoint) and its number; written again, it takes the place of its first try. A new
+    checkpoint is a new stream, whose batches are counted from 0 beside those of the old one.
+    `compact` merges all but each stream's newest batch into files by partition, and
+    merged folders with others of their size, so there are few however long the table lives.
     """
 
     path: str
@@ -87,76 +101,107 @@ class TableStore:
     partitions: tuple[str, ...] = ()
     clustered: tuple[str, ...] = ()
 
-    @property
-    def _open(self) -> str:
-        return f"{self.path}/open"
-
-    def _closed(self, spark: SparkSession) -> list[str]:
-        """Folders of the compactions that count, the last one closed named last."""
-        done = complete_folders(spark, f"{self.path}/pointer")
-        whole = complete_folders(spark, f"{self.path}/closed")
-        return sorted(n for n in whole if done and n <= max(done))
+    def log(self, spark: SparkSession) -> CommitLog:
+        return CommitLog(spark, f"{self.path}/log")
 
-    def closed_up_to(self, spark: SparkSession) -> int:
-        closed = self._closed(spark)
-        return int(closed[-1].split("-")[1]) if closed else -1
+    def _folder(self, name: str) -> str:
+        return f"{self.path}/data/folder={name}"
 
-    def write(self, scored: DataFrame, batch_id: int) -> None:
-        if batch_id <= self.closed_up_to(scored.sparkSession):
+    def write(self, scored: DataFrame, batch_id: int, stream: str | None = None) -> None:
+        spark = scored.sparkSession
+        stream = stream_identity(spark) if stream is None else stream
+        log = self.log(spark)
+        if batch_id <= log.latest().closed.get(stream, -1):
             return  # it was whole before it was closed
-        replace_batch(
-            self.rows(scored), self._open, batch_id, self.partitions, self.clustered
-        )
+        rows = self.rows(scored).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        entry = Entry(f"b{uuid.uuid4().hex}", 0, stream, batch_id)
+        write_partitioned(rows, self._folder(entry.folder), self.partitions, self.clustered)
+        holds = has_files(spark, self._folder(entry.folder))
 
-    def _open_batches(self, spark: SparkSession) -> list[int]:
-        names = complete_folders(spark, self._open)
-        return sorted(int(n.removeprefix(f"{BATCH}=")) for n in names)
+        def change(now: Manifest) -> Manifest | None:
+            if batch_id <= now.closed.get(stream, -1):
+                return None
+            old = {e.folder for e in now.entries if (e.level, e.stream, e.batch) == (0, stream, batch_id)}
+            return _swapped(now, old, [entry] if holds else [])
+
+        log.commit(change)
+
+    def _read(self, spark: SparkSession, entries: Sequence[Entry]) -> DataFrame:
+        folders = [self._folder(e.folder) for e in entries]
+        reader = spark.read.option("basePath", f"{self.path}/data")
+        return reader.parquet(*folders).drop("folder")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        upto = self.closed_up_to(spark)
-        out = None
-        for name in self._closed(spark):
-            part = spark.read.parquet(f"{self.path}/closed/{name}")
-            out = part if out is None else out.unionByName(part)
-        if any(b > upto for b in self._open_batches(spark)):
-            part = spark.read.parquet(self._open).filter(F.col(BATCH) > upto)
-            part = part.withColumn(BATCH, F.col(BATCH).cast("long"))
-            out = part if out is None else out.unionByName(part)
-        if out is None:
+        entries = self.log(spark).latest().entries
+        if not entries:
             raise FileNotFoundError(f"no batch has been written to {self.path}")
-        return out
-
-    def compact(self, spark: SparkSession) -> int:
-        """Closes all open batches but the newest, which the stream may still repeat;
-        returns how many. Only the pointer, written last, makes the step count: a run that
-        fails before leaves the open batches as they are."""
-        upto = self.closed_up_to(spark)
-        batches = self._open_batches(spark)[:-1]
-        for batch in batches:  # left behind by a run that failed behind the pointer
-            if batch <= upto:
-                remove(spark, f"{self._open}/{BATCH}={batch}")
-        closing = [b for b in batches if b > upto]
-        if not closing:
-            return 0
-        name = f"{closing[0]:019d}-{closing[-1]:019d}"
-        remove(spark, f"{self.path}/closed/{name}")
-        rows = spark.read.parquet(self._open).filter(F.col(BATCH).between(closing[0], closing[-1]))
-        write_partitioned(
-            rows.withColumn(BATCH, F.col(BATCH).cast("long")),
-            f"{self.path}/closed/{name}",
-            self.partitions,
-            self.clustered,
-        )
-        spark.range(1).write.mode("overwrite").parquet(f"{self.path}/pointer/{name}")
-        for batch in closing:
-            remove(spark, f"{self._open}/{BATCH}={batch}")
+        return self._read(spark, entries)
+
+    def compact(self, spark: SparkSession, grace_seconds: float = GRACE_SECONDS) -> int:
+        """Merges all open batches but each stream's newest, which it may still repeat, and
+        returns how many. Only the manifest makes the step count: a run that fails before
+        leaves a folder that nothing names, and of two runs at once the second one gives up."""
+        log = self.log(spark)
+        now = log.latest()
+        batches: dict[str, list[Entry]] = {}
+        for e in now.entries:
+            if e.level == 0:
+                batches.setdefault(e.stream, []).append(e)
+        closing = [e for own in batches.values() for e in sorted(own, key=lambda e: e.batch)[:-1]]
+        if closing:
+            merging, level = list(closing), 1
+            while len(same := [e for e in now.entries if e.level == level]) >= MERGED_AT - 1:
+                merging, level = merging + same, level + 1
+            merged = Entry(f"m{uuid.uuid4().hex}", level)
+            write_partitioned(
+                self._read(spark, merging), self._folder(merged.folder), self.partitions, self.clustered
+            )
+
+            def change(latest: Manifest) -> Manifest | None:
+                if not set(merging) <= set(latest.entries):
+                    return None
+                new = _swapped(latest, {e.folder for e in merging}, [merged])
+                for e in closing:
+                    new.closed[e.stream] = max(new.closed.get(e.stream, -1), e.batch)
+                return new
+
+            if log.commit(change) is None:
+                remove(spark, self._folder(merged.folder))
+                return 0
+        self.clean(spark, grace_seconds)
         return len(closing)
 
+    def clean(self, spark: SparkSession, grace_seconds: float = GRACE_SECONDS) -> int:
+        """Removes folders that have not counted for `grace_seconds`, those of failed tries
+        included; returns how many."""
+        log = self.log(spark)
+        now, before = log.latest(), time.time() - grace_seconds
+        counting = {e.folder for e in now.entries}
+        gone = []
+        for name, written_at in folders_below(spark, f"{self.path}/data"):
+            folder = name.removeprefix("folder=")
+            if folder not in counting and now.dropped.get(folder, written_at) <= before:
+                remove(spark, self._folder(folder))
+                gone.append(folder)
+        if set(gone) & now.dropped.keys():
+            log.commit(
+                lambda m: replace(m, dropped={f: t for f, t in m.dropped.items() if f not in gone})
+            )
+        return len(gone)
+
+
+def _swapped(now: Manifest, old: set[str], new: list[Entry]) -> Manifest:
+    """The manifest with `new` in place of the `old` folders."""
+    kept = tuple(e for e in now.entries if e.folder not in old)
+    dropped = now.dropped | dict.fromkeys(old, time.time())
+    return Manifest(now.version, (*kept, *new), dict(now.closed), dropped)
+
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a `TableStore`, or of plain Parquet."""
-    if complete_folders(spark, f"{path}/open") or complete_folders(spark, f"{path}/pointer"):
-        return TableStore(path, lambda df: df).read(spark)
+    store = TableStore(path, lambda df: df)
+    if store.log(spark).versions():
+        return store.read(spark)
     return spark.read.parquet(path)
 
 

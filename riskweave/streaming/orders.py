@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskweave.plans.orders import OrderLoad, load_read_orders
 from riskweave.session import remove
@@ -36,11 +37,11 @@ def _staged(spark: SparkSession, path: str, messages: DataFrame) -> DataFrame:
     """All staged rows; none if no batch has ever run."""
     schema = read_orders(spark.createDataFrame([], messages.schema)).schema.add(BATCH, "long")
     try:
-        return spark.read.schema(schema).parquet(path).drop(BATCH)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema).drop(BATCH)
+        return spark.createDataFrame([], schema)
 
 
 def load_pending_orders(
@@ -61,8 +62,11 @@ def load_pending_orders(
     spark = target.spark
     staged = f"{target.root}/staged"
     stage_pending(messages, staged, checkpoint)
+    rows = _staged(spark, staged, messages)
+    # The same for each try of a run, and another one after the stage is released.
+    run_id = rows.agg(F.min(BATCH)).first()[0]
     done = load_read_orders(
-        _staged(spark, staged, messages), target, run_date, quarantine, **options
+        rows.drop(BATCH), target, run_date, quarantine, run_id=run_id, **options
     )
     remove(spark, staged)
     return done

@@ -68,7 +68,7 @@ def batch_writer(
                 if taken is not None:
                     taken[batch_id] = read.count()
                 good, bad = good_and_bad(read)
-                if quarantine:
+                if quarantine and not bad.isEmpty():
                     replace_batch(bad.drop(TAKEN_AT, *FEATURES), quarantine, batch_id)
                 if good.isEmpty():
                     return

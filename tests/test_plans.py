@@ -74,13 +74,13 @@ def test_a_day_with_all_rows_is_written_by_many_tasks(spark, sf_dir):
 def test_small_days_share_few_files(spark, sf_dir):
     store = table_stores(scratch(spark, "files"))[1]
     store.write(scored(spark, sf_dir).repartition(8), 0)
-    assert len(list(Path(store.path).glob("open/*/*/*.parquet"))) == 30  # one per day
+    assert len(list(Path(store.path).glob("data/*/*/*.parquet"))) == 30  # one per day
 
 
 def test_analytics_rows_are_clustered(spark, sf_dir):
     store = table_stores(scratch(spark, "files"))[2]
     store.write(scored(spark, sf_dir).repartition(8), 0)
-    (name,) = Path(store.path).glob("open/*/*/*.parquet")
+    (name,) = Path(store.path).glob("data/*/*/*.parquet")
     rows = [(r["scored_at"], r["account_id"]) for r in spark.read.parquet(str(name)).collect()]
     assert rows == sorted(rows)
 

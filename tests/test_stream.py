@@ -106,23 +106,13 @@ def test_compaction_leaves_few_files_and_all_rows(spark, sf_dir):
     for batch_id in range(4):
         store.write(rows.filter(F.col("transaction_id") % 4 == batch_id), batch_id)
     assert store.compact(spark) == 3 and store.compact(spark) == 0
-    closed = list(Path(store.path).glob("closed/*/*/*.parquet"))
+    closed = list(Path(store.path).glob("data/folder=m*/*/*.parquet"))
     assert len(closed) == 30  # one per day
     store.write(rows, 1)  # closed already
     got = store.read(spark)
     assert got.count() == got.select("transaction_id").distinct().count() == 1000
-    assert len(list(Path(store.path).glob("open/batch_id=*"))) == 1
-
-
-def test_a_compaction_without_its_pointer_does_not_count(spark, sf_dir):
-    store = table_stores(scratch(spark, "compact"))[1]
-    rows = scored(spark, sf_dir)
-    for batch_id in range(2):
-        store.write(rows.filter(F.col("transaction_id") % 2 == batch_id), batch_id)
-    rows.limit(5).write.parquet(f"{store.path}/closed/{0:019d}-{0:019d}")
-    assert store.read(spark).count() == 1000
-    assert store.compact(spark) == 1
-    assert store.read(spark).count() == 1000
+    assert store.clean(spark, grace_seconds=0) == 3
+    assert len(list(Path(store.path).glob("data/folder=b*"))) == 1
 
 
 def test_replayed_batch_replaces_itself(spark, sf_dir):
