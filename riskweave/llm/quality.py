@@ -151,8 +151,8 @@ class View:
     def raw(self, x: np.ndarray) -> np.ndarray:
         return ((x - self.mean) / self.scale) @ self.w[:-1] + self.w[-1]
 
-    def settle(self, x: np.ndarray, y: np.ndarray) -> None:
-        self.slope, self.shift = calibrate(self.raw(x), y)
+    def settle(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
+        self.slope, self.shift = calibrate(self.raw(x), y, weight)
 
     def logit(self, x: np.ndarray) -> np.ndarray:
         return self.slope * self.raw(x) + self.shift
@@ -169,10 +169,10 @@ class View:
         return F.aggregate(products, F.lit(float(start)), lambda total, p: total + p)
 
 
-def sure_above(z: np.ndarray, y: np.ndarray) -> float | None:
+def sure_above(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float | None:
     """The lowest score from which on the share of y = 1 is at least SURE (None: there is none)."""
     order = np.argsort(-z, kind="stable")
-    right = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
+    right = np.cumsum((weight * y)[order]) / np.cumsum(weight[order])
     enough = np.flatnonzero(right >= SURE)
     enough = enough[enough + 1 >= LEAST_SURE]
     return float(z[order[enough[-1]]]) if len(enough) else None
@@ -192,10 +192,10 @@ def _fetch(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     )
 
 
-def _bounded(rows: DataFrame, n: int, seed: int) -> DataFrame:
-    """About SAMPLE_ROWS of n rows, by a hash of doc_id and text: those of one id are drawn apart."""
+def _bounded(rows: DataFrame, n: int, seed: int, wanted: int = SAMPLE_ROWS) -> DataFrame:
+    """About `wanted` of n rows, by a hash of doc_id and text: those of one id are drawn apart."""
     chance = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_digest"), F.lit(1_000_000)) / F.lit(1e6)
-    return rows.filter(chance < min(1.0, SAMPLE_ROWS / max(n, 1)))
+    return rows.filter(chance < min(1.0, wanted / max(n, 1)))
 
 
 class Model:
@@ -243,7 +243,18 @@ def fit(table: DataFrame, seed: int) -> Model:
     total = sum(sizes.values())
     if not sizes.get(0) or not sizes.get(1):
         return Model([], np.empty(0), sizes.get(1, 0) / total if total else 1.0)
-    y, aside, text, page = _fetch(_bounded(known, total, seed + 1))
+    # Each label has half of the sample, or all of its rows and what that leaves to the other;
+    # rows weigh as much as those they stand for.
+    least = min(sizes[0], sizes[1], SAMPLE_ROWS // 2)
+    wanted = {k: SAMPLE_ROWS - least if n > least else least for k, n in sizes.items()}
+    drawn = [
+        _bounded(known.filter(F.col("label") == k), sizes[k], seed + 1, wanted[k]) for k in (0, 1)
+    ]
+    y, aside, text, page = _fetch(drawn[0].unionAll(drawn[1]))
+    if len(set(y)) < 2:
+        return Model([], np.empty(0), sizes[1] / total)
+    back = np.array([sizes[k] / (y == k).sum() for k in (0, 1)])
+    weigh = back[y.astype(int)] * len(y) / total
     if len(set(y[aside])) < 2 or len(set(y[~aside])) < 2:
         aside = np.zeros(len(y), bool)
     test = aside if aside.any() else ~aside
@@ -253,10 +264,10 @@ def fit(table: DataFrame, seed: int) -> Model:
     def fitted(k: int) -> View:
         x = np.concatenate([own[k][~aside], *(m[0] for m in more[k])])
         t = np.concatenate([y[~aside], *(m[1] for m in more[k])])
-        weight = np.ones(len(t))
-        weight[(~aside).sum() :] = PSEUDO_WEIGHT
+        weight = np.full(len(t), PSEUDO_WEIGHT)
+        weight[: (~aside).sum()] = weigh[~aside]
         view = View(("text_view", "page_view")[k], x, t, weight)
-        view.settle(own[k][test], y[test])
+        view.settle(own[k][test], y[test], weigh[test])
         return view
 
     views = [fitted(0), fitted(1)]
@@ -264,7 +275,7 @@ def fit(table: DataFrame, seed: int) -> Model:
         vote = []
         for k, view in enumerate(views):
             z = view.logit(own[k][test])
-            good, bad = sure_above(z, y[test]), sure_above(-z, 1 - y[test])
+            good, bad = sure_above(z, y[test], weigh[test]), sure_above(-z, 1 - y[test], weigh[test])
             logit = view.expression()
             says_good = logit >= good if good is not None else F.lit(False)
             says_bad = logit <= -bad if bad is not None else F.lit(False)
@@ -286,7 +297,7 @@ def fit(table: DataFrame, seed: int) -> Model:
             more = [[], []]  # votes are taken anew by the better views
     # The views' calibrated logits are combined by a regression on the rows kept aside.
     z = np.stack([view.logit(own[k][test]) for k, view in enumerate(views)], axis=1)
-    return Model(views, fit_dense(np.clip(z, -LIMIT, LIMIT), y[test]), total and sizes[1] / total)
+    return Model(views, fit_dense(np.clip(z, -LIMIT, LIMIT), y[test], weigh[test]), total and sizes[1] / total)
 
 
 def score(docs: DataFrame, labels: DataFrame, seed: int = 1) -> DataFrame:

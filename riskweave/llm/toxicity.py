@@ -245,7 +245,10 @@ def with_scores(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: Model, reject_from: float = 0.5) -> DataFrame:
-    """The rows of `docs` whose score is below `reject_from`."""
+    """The rows of `docs` whose score is below `reject_from`; all of them where nothing was
+    learned, as then all have the same score."""
+    if not model.weights.any():
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(
         (model.weights, model.constant, model.slope, model.shift)
     )
