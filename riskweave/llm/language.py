@@ -27,6 +27,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -157,63 +158,66 @@ def _rank(n: Column) -> Column:
     return F.floor(8 * F.log2(n)).cast("int")
 
 
-def _least_ranks(levels: list[DataFrame]) -> list[dict[str, int]]:
-    """By order and language the lowest rank whose n-grams are kept, KEPT_GRAMS of an order at most.
-
-    Languages have equal shares; what one leaves of its own is shared out among the others.
-    """
-    found: list[dict[str, list[tuple[int, int]]]] = [{} for _ in levels]
+def _rank_counts(levels: list[DataFrame]) -> list[dict[str, dict[int, int]]]:
+    """By order and language, how many n-grams have each rank: at most 512 an order and language."""
+    found: list[dict[str, dict[int, int]]] = [{} for _ in levels]
     ranks = [
         level.groupBy("lang", _rank(F.col("n")).alias("rank")).count().withColumn("order", F.lit(k))
         for k, level in enumerate(levels)
     ]
-    for r in reduce(DataFrame.unionAll, ranks).collect():  # at most 512 rows an order and language
-        found[r["order"]].setdefault(r["lang"], []).append((r["rank"], r["count"]))
-    out = []
-    for langs in found:
-        room, least = KEPT_GRAMS, {}
-        by_size = sorted(langs, key=lambda g: (sum(n for _, n in langs[g]), g))
-        for done, lang in enumerate(by_size):
-            share, held = room // (len(langs) - done), 0
-            least[lang] = max(r for r, _ in langs[lang]) + 1
-            for rank, n in sorted(langs[lang], reverse=True):
-                if held + n > share:
-                    break
-                held, least[lang] = held + n, rank
-            room -= held
-        out.append(least)
-    return out
+    for r in reduce(DataFrame.unionAll, ranks).collect():
+        found[r["order"]].setdefault(r["lang"], {})[r["rank"]] = r["count"]
+    return found
+
+
+def _least_ranks(langs: dict[str, dict[int, int]]) -> dict[str, int]:
+    """By language the lowest rank whose n-grams are kept, KEPT_GRAMS of an order at most.
+
+    Languages have equal shares; what one leaves of its own is shared out among the others.
+    """
+    room, least = KEPT_GRAMS, {}
+    by_size = sorted(langs, key=lambda g: (sum(langs[g].values()), g))
+    for done, lang in enumerate(by_size):
+        share, held = room // (len(langs) - done), 0
+        least[lang] = max(langs[lang]) + 1
+        for rank, n in sorted(langs[lang].items(), reverse=True):
+            if held + n > share:
+                break
+            held, least[lang] = held + n, rank
+        room -= held
+    return least
+
+
+def _of_lang(values: dict[str, float]) -> Column:
+    """A number by language: a literal, not a join."""
+    return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])[F.col("lang")]
+
+
+def _discount(ranks: dict[int, int]) -> float:
+    """From how many n-grams stand once (rank 0) and twice (rank 8)."""
+    once, twice = ranks.get(0, 0), ranks.get(8, 0)
+    return min(max(once / (once + 2 * twice) if once else (0.0 if twice else 0.5), 0.1), 0.95)
 
 
 def kneser_ney(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Probabilities (lang, gram, p) and back-off weights (lang, context, weight), all orders,
     of the n-grams that are kept; the discount of any other is its whole count."""
-    spark = counts.sparkSession
     levels = [counts]
     for _ in range(ORDER - 1):
-        levels.append(
-            levels[-1].groupBy("lang", F.expr("substring(gram, 2)").alias("gram")).agg(
-                F.count(F.lit(1)).alias("n")
-            )
-        )
+        shorter = levels[-1].groupBy("lang", F.expr("substring(gram, 2)").alias("gram"))
+        levels.append(written(shorter.agg(F.count(F.lit(1)).alias("n")), "shorter-grams"))
     levels = levels[::-1]  # from single characters upwards
-    symbols = levels[0].groupBy("lang").agg((F.count(F.lit(1)) + 1).alias("_symbols"))
+    ranks = _rank_counts(levels)
+    symbols = _of_lang({g: float(sum(r.values()) + 1) for g, r in ranks[0].items()})
     below = None
     found, weights = [], []
-    for level, least in zip(levels, _least_ranks(levels)):
-        least = spark.createDataFrame(list(least.items()), "lang string, _least int")
-        seldom = level.groupBy("lang").agg(
-            F.sum((F.col("n") == 1).cast("int")).alias("_once"),
-            F.sum((F.col("n") == 2).cast("int")).alias("_twice"),
-        )
-        rate = F.try_divide("_once", F.col("_once") + 2 * F.col("_twice"))
-        seldom = seldom.select(
-            "lang", F.least(F.greatest(F.coalesce(rate, F.lit(0.5)), F.lit(0.1)), F.lit(0.95)).alias("_d")
-        )
-        rows = level.join(F.broadcast(seldom), "lang").join(F.broadcast(least), "lang").withColumns(
+    for level, langs in zip(levels, ranks):
+        discount = _of_lang({g: _discount(r) for g, r in langs.items()})
+        rows = level.withColumns(
             {
                 "context": F.expr("substring(gram, 1, length(gram) - 1)"),
-                "kept": _rank(F.col("n")) >= F.col("_least"),
+                "kept": _rank(F.col("n")) >= _of_lang(_least_ranks(langs)),
+                "_d": discount,
             }
         )
         mass = F.max("_d") * F.count_if("kept") + F.sum(F.when(F.col("kept"), 0).otherwise(F.col("n")))
@@ -222,9 +226,10 @@ def kneser_ney(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
             (mass / F.sum("n")).alias("weight"),
             F.bool_or("kept").alias("_some"),
         )
+        whole = written(whole, "contexts")
         rows = rows.join(whole, ["lang", "context"])
         if below is None:
-            rows = rows.join(F.broadcast(symbols), "lang").withColumn("_low", 1.0 / F.col("_symbols"))
+            rows = rows.withColumn("_low", 1.0 / symbols)
         else:
             low = below.select("lang", F.col("gram").alias("_tail"), F.col("p").alias("_low"))
             rows = rows.withColumn("_tail", F.expr("substring(gram, 2)")).join(low, ["lang", "_tail"])
@@ -236,8 +241,8 @@ def kneser_ney(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
         found.append(below.filter("kept").drop("kept"))
         # A context without kept n-grams leaves all to the order below: its weight is 1.
         weights.append((whole.filter("_some") if weights else whole).select("lang", "context", "weight"))
-    first = weights[0].join(F.broadcast(symbols), "lang").select(
-        "lang", "context", (F.col("weight") / F.col("_symbols")).alias("weight")
+    first = weights[0].select(
+        "lang", "context", (F.col("weight") / symbols).alias("weight")
     )  # what an unknown character gets
     p, w = found[0], first
     for a, b in zip(found[1:], weights[1:]):
@@ -248,13 +253,14 @@ def kneser_ney(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _sorted_arrays(rows: pa.Table, name: str, value: str, langs: list[str], missing: float):
     """By length of the gram: its hashes in order, and a row of logarithms by language."""
     out = {}
-    grams = np.array(rows.column(name).to_pylist(), object)
+    sizes = pc.utf8_length(rows.column(name)).to_numpy()
     logs = np.log(rows.column(value).to_numpy())
-    which = np.searchsorted(langs, np.array(rows.column("lang").to_pylist(), object).astype(str))
-    sizes = np.array([len(g) for g in grams], np.int64)
+    which = pc.index_in(rows.column("lang"), pa.array(langs)).to_numpy()
     for size in np.unique(sizes):
         mine = np.flatnonzero(sizes == size)
-        codes = np.frombuffer("".join(grams[mine]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        own = pa.concat_arrays(rows.column(name).take(pa.array(mine)).cast(pa.large_string()).chunks)
+        text = own.buffers()[2].to_pybytes()[: pc.sum(pc.binary_length(own)).as_py()].decode("utf-8") if size else ""
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         hashes = gram_hashes(codes, size)[size - 1 :: size] if size else np.zeros(len(mine), np.uint64)
         keys, place = np.unique(hashes, return_inverse=True)
         table = np.full((len(keys), len(langs)), missing, np.float32)
@@ -313,8 +319,10 @@ class Model:
         entropy, size = self.entropies(texts)
         score = sigmoid(self.slope * self.ahead(entropy, size) + self.shift)
         best = np.argmin(entropy, axis=1)
-        found = [self.langs[b] if n else UNDETERMINED for b, n in zip(best, size)]
-        return found, np.where(size > 0, score, 0.0)
+        # Marks belong to words, but alone they are no letters.
+        letters = np.array([any(map(str.isalpha, t)) for t in texts], bool)
+        found = [self.langs[b] if n else UNDETERMINED for b, n in zip(best, letters)]
+        return found, np.where(letters, score, 0.0)
 
 
 def _estimated(counts: DataFrame) -> Model:
