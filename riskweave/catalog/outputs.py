@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from riskweave.catalog.registry import query
+from riskweave.catalog.features import DAILY_SQL
+from riskweave.catalog.registry import query, rounded
 from riskweave.operators.rollup import daily_fraud_metrics
 from riskweave.plans.views import scored
 from riskweave.schemas import ANALYTICS_COLUMNS, LAKE_COLUMNS, OPS_COLUMNS, TABLES
@@ -125,6 +126,20 @@ def compact_lake(spark, sf_dir):
     return store.read(spark).select("transaction_id", "amount", "event_date", "batch_id")
 
 
+@query(DAILY_SQL.format(where=""))
+def daily_metrics_incremental(spark, sf_dir):
+    """The rollup kept batch by batch: batches that touch all days, replays of open and of
+    closed ones, compactions in between."""
+    root = scratch(spark, "rollup")
+    store = stores.rollup_store(root)
+    rows = scored(spark, sf_dir)
+    for batch_id in (0, 1, 1, 2, 0, 3, 2):
+        store.write(rows.filter(F.col("transaction_id").cast("long") % 4 == batch_id), batch_id)
+        if batch_id % 2 == 0:
+            store.compact(spark)
+    return rounded(stores.read_rollup(spark, root), "avg_fraud_probability")
+
+
 class FailsToCommit(stores.TableStore):
     """Stops after its data is written, before the manifest."""
 

@@ -12,7 +12,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.operators.rollup import batch_summary
+from riskweave.operators.rollup import (
+    added_partials,
+    batch_summary,
+    daily_partials,
+    metrics_of_partials,
+)
 from riskweave.schemas import ANALYTICS_COLUMNS, LAKE_COLUMNS, MONEY, OPS_COLUMNS
 from riskweave.session import folders_below, has_files, remove
 from riskweave.sinks.manifest import CommitLog, Entry, Manifest
@@ -100,6 +105,7 @@ class TableStore:
     rows: Callable[[DataFrame], DataFrame]
     partitions: tuple[str, ...] = ()
     clustered: tuple[str, ...] = ()
+    merged: Callable[[DataFrame], DataFrame] | None = None  # how rows of many batches shrink
 
     def log(self, spark: SparkSession) -> CommitLog:
         return CommitLog(spark, f"{self.path}/log")
@@ -153,9 +159,9 @@ class TableStore:
             while len(same := [e for e in now.entries if e.level == level]) >= MERGED_AT - 1:
                 merging, level = merging + same, level + 1
             merged = Entry(f"m{uuid.uuid4().hex}", level)
-            write_partitioned(
-                self._read(spark, merging), self._folder(merged.folder), self.partitions, self.clustered
-            )
+            rows = self._read(spark, merging)
+            rows = self.merged(rows) if self.merged else rows
+            write_partitioned(rows, self._folder(merged.folder), self.partitions, self.clustered)
 
             def change(latest: Manifest) -> Manifest | None:
                 if not set(merging) <= set(latest.entries):
@@ -283,6 +289,26 @@ def table_stores(root: str) -> list[TableStore]:
     ]
 
 
+def rollup_store(path: str) -> TableStore:
+    """Daily metrics that are kept up batch by batch: each batch adds its own sums by day, takes
+    their place when it is written again, and compaction adds them up. Goes among the
+    stores of `fan_out`."""
+    return TableStore(path, daily_partials, ("metric_date",), merged=added_partials)
+
+
+def read_rollup(
+    spark: SparkSession, path: str, first: str | None = None, last: str | None = None
+) -> DataFrame:
+    """Daily metrics of a `rollup_store`, of the days from `first` to `last` where given; the
+    files of other days are not read."""
+    partials = rollup_store(path).read(spark)
+    if first is not None:
+        partials = partials.filter(F.col("metric_date") >= F.lit(first).cast("date"))
+    if last is not None:
+        partials = partials.filter(F.col("metric_date") <= F.lit(last).cast("date"))
+    return metrics_of_partials(partials)
+
+
 def fan_out(scored: DataFrame, batch_id: int, stores: Sequence) -> Row:
     """One scored batch to every store; returns and logs how many rows were scored and
     how many flagged. The rows are kept meanwhile, so all stores get the same ones and
