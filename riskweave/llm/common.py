@@ -48,10 +48,10 @@ def runs(sizes: Sequence[int], limit: int = RUN_CHARS) -> Iterator[tuple[int, in
         yield start, len(sizes)
 
 
-def portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def portions(batch: pa.RecordBatch, limit: int = RUN_CHARS) -> Iterator[pa.RecordBatch]:
     """A batch cut by the size of `text`, so that few texts are Python objects at a time."""
     sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
-    for a, b in runs(sizes):
+    for a, b in runs(sizes, limit):
         yield batch.slice(a, b - a)
 
 
@@ -94,9 +94,12 @@ def _column(values: list, kind: pa.DataType) -> pa.Array:
 
 
 def map_rows(
-    df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str
+    df: DataFrame,
+    make: Callable[[], Callable[[dict[str, list]], dict[str, list]]],
+    schema: str,
+    limit: int = RUN_CHARS,
 ) -> DataFrame:
-    """Rows through Python in Arrow batches, cut by text length.
+    """Rows through Python in Arrow batches, cut where their texts reach `limit`.
 
     `make` runs once in each task and returns the function that turns a dict of
     columns into another one; a `text` column that is NULL is handed over as ''.
@@ -114,7 +117,7 @@ def map_rows(
             if not batch.num_rows:
                 continue
             work = work or make()
-            for part in portions(batch):
+            for part in portions(batch, limit):
                 out = work(_values(part, names))
                 yield pa.RecordBatch.from_arrays(
                     [_column(out[f.name], f.type) for f in arrow], schema=arrow

@@ -11,22 +11,25 @@ piece. Others are cut only to fill a window that nothing else fits in. The plan
    repeated as often as the histogram allows.
 
 A plan row says: pieces of this length with ranks in this range go to these sequences at
-this offset. Ranks come from counts by length and hash, so no length is sorted in one task.
+this offset. Ranks come from counts by length and hash, in as many buckets as the length has
+pieces for, so no length is sorted in one task.
 
-Defined results: NULL and empty texts consist of the end id alone. The plan has at most
+Defined results: NULL and empty texts consist of the end id alone. Repeated rows and ids are
+packed each for itself; equal lengths are told apart by a hash, in no order that means
+anything. Columns other than doc_id and text are not read, so their names cannot clash. The plan has at most
 about a hundred thousand rows whatever the input, as the window bounds the lengths.
 """
 
 from __future__ import annotations
 
 import os
-import re
-from array import array
+import string
 from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,20 +37,24 @@ from riskweave.llm.common import map_rows
 from riskweave.session import written
 
 BIN = 16
+RUN_CHARS = 4_000_000  # texts handled at a time; the more, the more of their words are the same
+KNOWN_WORDS = 500_000  # Latin words a task remembers; then it starts anew
 CRUMB = 64  # no cut leaves a part shorter than this
-KNOWN_WORDS = 1_000_000  # words a task remembers; then it starts anew
-RANK_BUCKETS = 64
+RANK_ROWS = 100_000  # pieces of one length that are ranked in one task, about
 
 
 class WordTokenizer:
     """Ids by a tokenizer whose pre-tokens never span blanks or line ends.
 
-    Such a tokenizer gives a text the ids of its words in a row, so each word is encoded
-    once. Latin words, with stops or commas behind them, are lower-cased here and sent
-    through the model alone, without the slow normaliser and patterns.
+    Such a tokenizer gives a text the ids of its words in a row, so each distinct word of a
+    batch is encoded once. Latin words, with marks behind them, are lower-cased here and sent
+    through the model alone, without the slow normaliser and patterns; a run of marks is a
+    pre-token of its own. Apostrophes may begin an ending and "<" a special token, so those
+    are no marks. Latin words are remembered, up to a bound, without their capitals and marks.
     """
 
-    LATIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]*)")
+    LATIN = r"\A[A-Za-zÀ-ÖØ-öø-ÿ]+"
+    MARKS = string.punctuation.replace("'", "").replace("<", "")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -65,49 +72,70 @@ class WordTokenizer:
         self.ends_word = np.array(
             [(self.full.id_to_token(i) or "").endswith("</w>") for i in range(size)]
         )
-        self.words: dict[str, bytes] = {"": b""}
-
-    def _ids(self, text: str) -> bytes:
-        return array("I", self.full.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _learn_latin(self, words: list[str]) -> None:
-        if not words:
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.ends = np.empty(0, np.uint32), np.empty(0, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        """Latin words in lower case: their numbers, their ids in a row and where each one's end."""
+        missing = [w for w in words if w not in self.known]
+        if len(self.known) + len(missing) > KNOWN_WORDS:
+            self._forget()
+            missing = words
+        if not missing:
             return
         self.full.normalizer, self.full.pre_tokenizer = None, self.plain
-        [got] = self.full.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        [got] = self.full.encode_batch_fast([" ".join(missing)], add_special_tokens=False)
         self.full.normalizer, self.full.pre_tokenizer = self.whole
         ids = np.array(got.ids, np.uint32)
         ends = np.flatnonzero(self.ends_word[ids]) + 1
-        if len(ends) != len(words):
+        if len(ends) != len(missing):
             raise ValueError("the vocabulary has no word ends; words cannot be told apart")
-        data, start = ids.tobytes(), 0
-        for word, end in zip(words, (4 * ends).tolist()):
-            self.words[word] = data[start:end]
-            start = end
-
-    def _learn(self, words: set[str]) -> None:
-        parts = [(w, self.LATIN.fullmatch(w)) for w in words]
-        cores = {m[1].lower() for _, m in parts if m}
-        self._learn_latin(list(cores - self.words.keys()))
-        for word, m in parts:
-            if m is None:
-                self.words[word] = self._ids(word)
-            elif word not in self.words:
-                if m[2] not in self.words:
-                    self.words[m[2]] = self._ids(m[2])
-                self.words[word] = self.words[m[1].lower()] + self.words[m[2]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """For each text its ids as little-endian unsigned 32-bit numbers."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        needed = set().union(*split)
-        missing = needed - self.words.keys()
-        if len(self.words) + len(missing) > KNOWN_WORDS:
-            self.words, missing = {"": b""}, needed - {""}
-        if missing:
-            self._learn(missing)
-        known = self.words
-        return [b"".join([known[w] for w in words]) for words in split]
+        self.known.update(zip(missing, range(len(self.known), len(self.known) + len(missing))))
+        self.ends = np.concatenate([self.ends, len(self.ids) + ends])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _units(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The two units of each word, the ids of all units in a row and where each unit's end.
+
+        Units are Latin words, then other words and runs of marks, the empty one among them.
+        """
+        cores = pc.utf8_rtrim(words, characters=self.MARKS)
+        plain = pc.match_substring_regex(cores, f"{self.LATIN}\\z")
+        latin = pc.utf8_lower(cores.filter(plain)).dictionary_encode()
+        lower = latin.dictionary.to_pylist()
+        self._learn(lower)
+        numbers = np.fromiter(map(self.known.__getitem__, lower), np.int64, len(lower))
+        marked = pc.and_(plain, pc.not_equal(words, cores))
+        marks = pc.replace_substring_regex(words.filter(marked), self.LATIN, "").dictionary_encode()
+        rest = ["", *marks.dictionary.to_pylist(), *words.filter(pc.invert(plain)).to_pylist()]
+
+        known = len(self.ends)
+        units = np.full((len(words), 2), known, np.int64)
+        plain, marked = (m.to_numpy(zero_copy_only=False) for m in (plain, marked))
+        units[plain, 0] = numbers[latin.indices.to_numpy()]
+        units[marked, 1] = known + 1 + marks.indices.to_numpy()
+        units[~plain, 0] = known + 1 + len(marks.dictionary) + np.arange((~plain).sum())
+        more = [self.full.encode(w, add_special_tokens=False).ids for w in rest]
+        behind = len(self.ids) + np.cumsum([len(m) for m in more])
+        flat = np.fromiter((i for m in more for i in m), np.uint32)
+        return units, np.concatenate([self.ids, flat]), np.concatenate([self.ends, behind])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """For each text its ids."""
+        blanks = pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " ")
+        split = pc.split_pattern(blanks, " ")
+        words = split.flatten().dictionary_encode()
+        of_word, ids, ends = self._units(words.dictionary)
+        begins = np.concatenate([[0], ends[:-1]])
+        units = of_word[words.indices.to_numpy()].ravel()
+        sizes = (ends - begins)[units]
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        # Each unit's ids, moved to where the unit stands in the texts.
+        row = ids[np.repeat(begins[units] - stops[:-1], sizes) + np.arange(stops[-1])]
+        return np.split(row, stops[2 * split.offsets.to_numpy()[1:-1]]) if texts else []
 
 
 def tokenise(docs: DataFrame, tokenizer_file: str, end_id: int, window: int) -> DataFrame:
@@ -123,8 +151,8 @@ def tokenise(docs: DataFrame, tokenizer_file: str, end_id: int, window: int) ->
 
         def work(c):
             out = {n: [] for n in ("row", "doc_id", "doc_tokens", "start", "length", "ids")}
-            for row, doc_id, data in zip(c["row"], c["doc_id"], tokenizer.encode(c["text"])):
-                ids = np.append(np.frombuffer(data, "<u4"), last)
+            for row, doc_id, ids in zip(c["row"], c["doc_id"], tokenizer.encode(c["text"])):
+                ids = np.append(ids, last)
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
                     out["row"].append(row)
@@ -144,6 +172,7 @@ def tokenise(docs: DataFrame, tokenizer_file: str, end_id: int, window: int) ->
         rows,
         make,
         "row bigint, doc_id bigint, doc_tokens bigint, start bigint, length int, ids binary",
+        RUN_CHARS,
     )
 
 
@@ -290,11 +319,14 @@ def plan(histogram: dict[int, int], window: int) -> tuple[list[tuple], int]:
     return p.rows, p.sequences
 
 
-def with_rank(pieces: DataFrame) -> DataFrame:
-    """Adds rank: a gapless number from 0 among the pieces of the same length."""
-    rows = pieces.withColumn(
-        "_bucket", F.pmod(F.xxhash64("row", "start"), F.lit(RANK_BUCKETS)).cast("int")
+def with_rank(pieces: DataFrame, histogram: dict[int, int]) -> DataFrame:
+    """Adds rank: a gapless number from 0 among the pieces of the same length, of which the
+    histogram tells how many there are."""
+    buckets = pieces.sparkSession.createDataFrame(  # a row for each length, a window at most
+        [(n, -(-c // RANK_ROWS)) for n, c in histogram.items()], "length int, _buckets bigint"
     )
+    bucket = F.pmod(F.xxhash64("row", "start"), F.col("_buckets"))
+    rows = pieces.join(F.broadcast(buckets), "length").withColumn("_bucket", bucket).drop("_buckets")
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy("length", "_bucket")
@@ -332,7 +364,7 @@ def pack(
         "_part", "_ids", (F.col("_sequence") + rank - F.col("_first")).alias("sequence_id"), "offset"
     )
     placed = (
-        with_rank(pieces.select("row", "start", "length"))
+        with_rank(pieces.select("row", "start", "length"), histogram)
         .join(F.broadcast(plan_rows), "length")
         .filter((rank >= F.col("_first")) & (rank < F.col("_behind")))
         .groupBy("row", "start")

@@ -276,7 +276,33 @@ def test_word_tokenizer_equals_the_library(words_file):
     texts += ["<|endoftext|>", "it's we'll ÀÉ, x.,. a.b", "Hend, hend hend."]
     for text, ids in zip(texts, own.encode(texts)):
         want = full.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(ids, "<u4").tolist() == want, text
+        assert ids.tolist() == want, text
+
+
+def test_word_tokenizer_with_marks_and_a_full_memory(words_file, monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 50)
+    full, own = Tokenizer.from_file(words_file), packing.WordTokenizer(words_file)
+    rng = random.Random(8)
+    alphabet = "abYZÉß'.,!<|>$#*-_\"12 \n\u0301ªħ가"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    texts += ["a<|endoftext|>", "foo|> x'|>", "A'S! it's...'s", "ÀB***'ll", "a\r b", "", "word***\n***"]
+    for k in range(0, len(texts), 100):
+        for text, ids in zip(texts[k : k + 100], own.encode(texts[k : k + 100])):
+            assert ids.tolist() == full.encode(text, add_special_tokens=False).ids, text
+    assert own.encode([]) == []
+
+
+def test_ranks_of_a_length_with_a_third_of_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANK_ROWS", 40)
+    length = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 90 + 2).cast("int")
+    pieces = spark.range(3000).select(F.col("id").alias("row"), F.lit(0).alias("start"), length.alias("length"))
+    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    ranks = defaultdict(list)
+    for r in packing.with_rank(pieces, histogram).collect():
+        ranks[r["length"]].append(r["rank"])
+    assert {n: sorted(got) for n, got in ranks.items()} == {n: list(range(c)) for n, c in histogram.items()}
 
 
 @pytest.mark.parametrize(
