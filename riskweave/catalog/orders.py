@@ -10,6 +10,7 @@ from riskweave.plans.orders import load_orders
 from riskweave.plans.views import order_msgs, scored
 from riskweave.schemas import NOT_NULL, ORDER_FLOW_NAME
 from riskweave.session import scratch
+from riskweave.sinks.inserts import insert_new
 from riskweave.sinks.tables import (
     VersionedTable,
     insert_if_absent as absent_rows,
@@ -112,6 +113,29 @@ def insert_if_absent(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query(
+    f"""
+, summary as (select {SUMMARY}, cast(substr(order_id, 5) as bigint) k from first_orders
+              where order_id is not null)
+select order_id, customer_id, amount, load_date,
+       (select count(*) from summary where k % 50 = 0) n_inserted, 0 n_repeated
+from summary
+"""
+)
+def insert_into_large_table(spark, sf_dir):
+    """One row in fifty is new to the table, as many come that it has; then all come again."""
+    path = scratch(spark, "large_summary")
+    cleaned = cleaning.clean_orders(order_msgs(spark, sf_dir), RUN_DATE)
+    rows = order_summary_rows(cleaned, RUN_DATE)
+    k = F.substring("order_id", 5, 20).cast("long")
+    insert_new(rows.filter(k % 50 != 0), path)
+    coming = rows.filter(k % 50 <= 1)
+    inserted, repeated = insert_new(coming, path), insert_new(coming, path)
+    return spark.read.parquet(path).withColumns(
+        {"n_inserted": F.lit(inserted), "n_repeated": F.lit(repeated)}
+    )
+
+
 @query(
     """
 , gaps as (select transaction_id, case when k % 11 <> 0 then account_id end account_id,

@@ -25,6 +25,7 @@ from riskweave.sources.messages import (
     parse_transactions,
     read_transactions,
 )
+from riskweave.streaming.backlog import file_backlog
 from riskweave.streaming.features import live_features
 from riskweave.streaming.scorer import start_scoring
 
@@ -303,3 +304,33 @@ def stream_new_checkpoint(spark, sf_dir):
         _run(spark, run, lambda: ("stand-in", model), [store])
         store.compact(spark)
     return store.read(spark).select("transaction_id", "batch_id")
+
+
+@query(
+    f"""
+select part as after_part, (select count(*) from txn where cast(transaction_id as bigint) % {PARTS} <= part)
+       - coalesce((select count(*) from txn where cast(transaction_id as bigint) % {PARTS} < part and part > 1), 0) pending,
+       0 left_behind
+from range({PARTS}) t(part)
+"""
+)
+def stream_backlog(spark, sf_dir):
+    """What a stopped stream has before it, from its checkpoint: two parts before its first
+    run, one part before each run after it; and after the runs."""
+    root = scratch(spark, "backlog")
+    rows = txn(spark, sf_dir)
+    store = table_stores(f"{root}/stores")[:1]
+    model = feature_model()
+    out = None
+    for i in range(PARTS):
+        _deliver(_part(rows, i), f"{root}/in")
+        before = file_backlog(spark, f"{root}/in", f"{root}/checkpoint").first()["pending"]
+        if i:
+            _run(spark, root, lambda: ("stand-in", model), store)
+        after = file_backlog(spark, f"{root}/in", f"{root}/checkpoint").first()["pending"]
+        left = after if i else 0
+        one = spark.range(1).select(
+            F.lit(i).alias("after_part"), F.lit(before).alias("pending"), F.lit(left).alias("left_behind")
+        )
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from riskweave.operators.checks import require_rules, verify_output
 from riskweave.operators.cleaning import clean_orders
 from riskweave.schemas import ORDER_FLOW_NAME
+from riskweave.sinks.inserts import insert_new
 from riskweave.sinks.stores import replace_batch
 from riskweave.sinks.tables import VersionedTable, full_refresh, order_summary_rows
 from riskweave.sources.messages import bounded_drain, read_orders, split_orders
@@ -77,3 +78,23 @@ def load_read_orders(
     finally:
         read.unpersist()
     return OrderLoad(taken, loaded, status)
+
+
+def insert_orders(messages: DataFrame, path: str, run_date: str) -> OrderLoad:
+    """Adds the orders of the messages that the summary below `path` does not have yet, and
+    leaves those it has as they are; `loaded` is how many were inserted."""
+    read = read_orders(messages).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        good, _ = split_orders(read)
+        rows = order_summary_rows(clean_orders(good, run_date, ORDER_FLOW_NAME), run_date)
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            require_rules(rows, "order_summary")
+            inserted = insert_new(rows, path)
+        finally:
+            rows.unpersist()
+        status = verify_output(good, "cleaned_orders", good.sparkSession).first()["status"]
+        taken = read.count()
+    finally:
+        read.unpersist()
+    return OrderLoad(taken, inserted, status)

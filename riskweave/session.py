@@ -96,10 +96,22 @@ def folders_below(spark: SparkSession, path: str) -> list[tuple[str, float]]:
     return [(f.getPath().getName(), f.getModificationTime() / 1000) for f in found]
 
 
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the files in a folder; none where it does not exist."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    return [f.getPath().toString() for f in fs.listStatus(top) if f.isFile()]
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
     """Whether a written table has any data file."""
     top = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = top.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(top, True)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return False
+    files = fs.listFiles(top, True)
     while files.hasNext():
         if files.next().getPath().getName().endswith(".parquet"):
             return True

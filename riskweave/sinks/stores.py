@@ -9,7 +9,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators.rollup import (
@@ -43,22 +43,35 @@ def analytics_rows(scored: DataFrame) -> DataFrame:
     ).withColumn("amount", F.col("amount").cast(MONEY))
 
 
+def _counts() -> list[Column]:
+    flagged_rows = F.sum(F.col("is_flagged").cast("long"))
+    return [
+        F.count(F.lit(1)).alias("n_scored"),
+        F.coalesce(flagged_rows, F.lit(0)).alias("n_flagged"),
+    ]
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
     partitions: Sequence[str] = (),
     clustered: Sequence[str] = (),
     mode: str = "append",
+    observed: Observation | None = None,
 ) -> None:
     """Parquet below `path`, rows of a partition together and files of even size.
 
     The rebalance splits a partition that holds most of the rows over several
     tasks and merges small ones; `clustered` orders the rows inside each file.
+    `observed` takes the counts of the batch from the very tasks that write, whose repeats
+    after a loss count once.
     """
     if partitions:
         df = df.hint("rebalance", *partitions)
     if clustered:
         df = df.sortWithinPartitions(*partitions, *clustered)
+    if observed is not None:
+        df = df.observe(observed, *_counts())
     writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partitions:
         writer = writer.partitionBy(*partitions)
@@ -113,16 +126,19 @@ class TableStore:
     def _folder(self, name: str) -> str:
         return f"{self.path}/data/folder={name}"
 
-    def write(self, scored: DataFrame, batch_id: int, stream: str | None = None) -> None:
+    def write(self, scored: DataFrame, batch_id: int, stream: str | None = None) -> Row | None:
+        """Writes the batch and returns its counts, where its rows are written as they are."""
         spark = scored.sparkSession
         stream = stream_identity(spark) if stream is None else stream
         log = self.log(spark)
         if batch_id <= log.latest().closed.get(stream, -1):
-            return  # it was whole before it was closed
+            return None  # it was whole before it was closed
         rows = self.rows(scored).withColumn(BATCH, F.lit(batch_id).cast("long"))
         entry = Entry(f"b{uuid.uuid4().hex}", 0, stream, batch_id)
-        write_partitioned(rows, self._folder(entry.folder), self.partitions, self.clustered)
-        holds = has_files(spark, self._folder(entry.folder))
+        observed = Observation() if "is_flagged" in rows.columns else None
+        folder = self._folder(entry.folder)
+        write_partitioned(rows, folder, self.partitions, self.clustered, observed=observed)
+        holds = has_files(spark, folder)
 
         def change(now: Manifest) -> Manifest | None:
             if batch_id <= now.closed.get(stream, -1):
@@ -131,6 +147,8 @@ class TableStore:
             return _swapped(now, old, [entry] if holds else [])
 
         log.commit(change)
+        # A plan that Spark found empty has no tasks that could be observed.
+        return Row(batch_id=batch_id, **observed.get) if observed and holds else None
 
     def _read(self, spark: SparkSession, entries: Sequence[Entry]) -> DataFrame:
         folders = [self._folder(e.folder) for e in entries]
@@ -312,12 +330,16 @@ def read_rollup(
 def fan_out(scored: DataFrame, batch_id: int, stores: Sequence) -> Row:
     """One scored batch to every store; returns and logs how many rows were scored and
     how many flagged. The rows are kept meanwhile, so all stores get the same ones and
-    the scoring runs once."""
+    the scoring runs once. The counts come from the first write that can tell them; only
+    where none can, they are taken by a job of their own."""
     scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+    counts = None
     try:
-        counts = batch_counts(scored.withColumn(BATCH, F.lit(batch_id))).first()
         for store in stores:
-            store.write(scored, batch_id)
+            told = store.write(scored, batch_id)
+            counts = counts or told
+        if counts is None:
+            counts = scored.agg(F.lit(batch_id).alias(BATCH), *_counts()).first()
     finally:
         scored.unpersist()
     log.info("batch %d: %d scored, %d flagged", *counts)
