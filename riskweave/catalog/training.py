@@ -252,6 +252,34 @@ def train_forest(spark, sf_dir):
     )
 
 
+@query(
+    f"""
+select count(*) filter (where split = 'train') n_train, count(*) filter (where split = 'test') n_test,
+       200 n_trees, true as within_depth, true as probabilities_valid, true as better_than_chance,
+       1024 + 4 as n_features
+from {SPLIT_SQL}
+"""
+)
+def train_hashed_forest(spark, sf_dir):
+    """A forest whose locations are as many as the events, hashed to a fixed width."""
+    rows = scored(spark, sf_dir).withColumn("location", F.concat_ws("-", "location", "transaction_id"))
+    plan = models.HASHED_FOREST
+    rows = models.training_rows(rows, plan, "is_fraud")
+    forest = models.train_forest(rows, plan)
+    trees = forest.stages[-1].trees
+    test = models.score(rows.filter("split = 'test'"), forest)
+    return models.side_by_side(
+        metrics.split_counts(rows).select("n_train", "n_test"),
+        test.agg(
+            F.lit(len(trees)).alias("n_trees"),
+            F.lit(all(t.depth <= plan.depth for t in trees)).alias("within_depth"),
+            F.every(F.col("fraud_probability").between(0, 1)).alias("probabilities_valid"),
+            F.lit(forest.stages[-1].numFeatures).alias("n_features"),
+        ),
+        metrics.ranking_metrics(test).select((F.col("roc_auc") > 0.5).alias("better_than_chance")),
+    )
+
+
 @query(
     f"""
 , split as (select * from {SPLIT_SQL}),

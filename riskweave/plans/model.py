@@ -9,7 +9,9 @@ from datetime import datetime, timezone
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import (
+    HashingTF,
     OneHotEncoder,
+    SQLTransformer,
     StringIndexer,
     StringIndexerModel,
     VectorAssembler,
@@ -52,6 +54,7 @@ class ForestPlan:
     label: str = "is_fraud"
     keeps_gaps: bool = True  # rows without a category stay, as an unknown one
     point_in_time: bool = False  # features see an account's earlier events only
+    hashed: int | None = None  # categories as this many columns by hash, without a vocabulary
 
 
 # The two forests.
@@ -60,6 +63,8 @@ BEHAVIOUR_FOREST = ForestPlan(
 )
 # The first of them without a look ahead.
 HISTORY_FOREST = replace(BEHAVIOUR_FOREST, point_in_time=True)
+# The first of them with no vocabulary: any number of categories, every one kept.
+HASHED_FOREST = replace(BEHAVIOUR_FOREST, hashed=1024)
 SIMPLE_FOREST = ForestPlan(
     ("amount",),
     one_hot=False,
@@ -82,17 +87,31 @@ def category_indexer() -> StringIndexer:
 
 
 def forest_stages(
-    plan: ForestPlan, indexer: StringIndexerModel, label: str, seed: int = SPLIT_SEED
+    plan: ForestPlan, indexer: StringIndexerModel | None, label: str, seed: int = SPLIT_SEED
 ) -> Pipeline:
     """Indexing, encoding and the forest as one estimator.
 
     One-hot, the index of unseen categories is the one left out, so they encode as
-    zeros. Indexed, a tree needs as many bins as there are categories.
+    zeros. Indexed, a tree needs as many bins as there are categories. Hashed, a category
+    sets the column its hash names, whether training saw it or not; a missing one sets
+    none, and categories that share a column are told apart by nothing. Neither the driver
+    nor the bins grow with the categories then.
     """
-    columns = indexer.getOutputCols()
-    stages = [indexer]
+    columns = indexer.getOutputCols() if indexer else []
+    stages = [indexer] if indexer else []
     bins = RandomForestClassifier().getMaxBins()
-    if plan.one_hot:
+    if plan.hashed:
+        encoded = ["categories_hashed"]
+        named = ", ".join(f"concat('{c}=', `{c}`)" for c in CATEGORY_FEATURES)
+        stages += [
+            SQLTransformer(
+                statement=f"SELECT *, array_compact(array({named})) AS categories FROM __THIS__"
+            ),
+            HashingTF(
+                inputCol="categories", outputCol=encoded[0], numFeatures=plan.hashed, binary=True
+            ),
+        ]
+    elif plan.one_hot:
         encoded = [f"{c}_onehot" for c in CATEGORY_FEATURES]
         stages.append(OneHotEncoder(inputCols=columns, outputCols=encoded))
     else:
@@ -138,7 +157,10 @@ def train_forest(
     train = rows.filter("split = 'train'")
     if plan.balanced:
         train = with_class_weights(train, label)
-    return forest_stages(plan, category_indexer().fit(train), label).fit(train)
+    indexer = None if plan.hashed else category_indexer().fit(train)
+    # A copy has no training summary. That one holds the session, which no task can be sent once
+    # it has observed a write.
+    return forest_stages(plan, indexer, label).fit(train).copy()
 
 
 def score(df: DataFrame, model: Transformer) -> DataFrame:

@@ -184,3 +184,42 @@ def test_daily_run_twice(spark, rows, sf_dir):
     assert not daily_run(spark, rows, rows, root, "2024-01-17", plan=SMALL, min_recall=2.0).promoted
     assert models.ModelRegistry(spark, f"{root}/model").current()[0] == "2024-01-16"
     assert txn(spark, sf_dir).count() == spark.read.parquet(f"{root}/snapshots/2024-01-17").count()
+
+
+def test_hashed_forest_with_a_million_locations(spark, tmp_path):
+    from dataclasses import replace
+
+    plan = replace(models.HASHED_FOREST, numeric=("amount",), trees=3, hashed=64)
+    rows = spark.range(1_000_000).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        (F.col("id") % 100).cast("double").alias("amount"),
+        F.when(F.col("id") % 5 > 0, F.lit("m")).alias("merchant_category"),
+        F.concat(F.lit("L"), F.col("id").cast("string")).alias("location"),
+        (F.col("id") % 100 >= 90).cast("int").alias("is_fraud"),
+        F.when(F.col("id") % 10 > 0, "train").otherwise("test").alias("split"),
+    )
+    forest = models.train_forest(rows, plan)
+    assert forest.stages[-1].numFeatures == 64 + 1
+    test = models.score(rows.filter("split = 'test'"), forest)
+    assert test.filter("(amount >= 90) = (fraud_probability > 0.5)").count() == 100_000
+    forest.save(str(tmp_path / "m"))
+    again = models.score(rows.filter("split = 'test'").limit(50), type(forest).load(str(tmp_path / "m")))
+    assert again.count() == 50
+
+
+def test_forest_scores_in_a_session_that_observed_a_write(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 5
+    rows = spark.range(100).select(
+        (F.col("id") % 10).cast("double").alias("amount"),
+        F.lit("m").alias("merchant_category"),
+        F.lit("L").alias("location"),
+        (F.col("id") % 10 > 5).cast("int").alias("is_flagged"),
+        F.lit("train").alias("split"),
+    )
+    forest = models.train_forest(rows, models.SIMPLE_FOREST)
+    assert models.score(rows, forest).filter("fraud_probability > 0.5").count() == 40
+    assert forest.transform(rows).count() == 100
