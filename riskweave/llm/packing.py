@@ -37,8 +37,8 @@ from riskweave.llm.common import map_rows
 from riskweave.session import written
 
 BIN = 16
-RUN_CHARS = 4_000_000  # texts handled at a time; the more, the more of their words are the same
-KNOWN_WORDS = 500_000  # Latin words a task remembers; then it starts anew
+RUN_CHARS = 2_000_000  # texts handled at a time; the more, the more of their words are the same
+KNOWN_WORDS = 250_000  # Latin words a task remembers; then it starts anew
 CRUMB = 64  # no cut leaves a part shorter than this
 RANK_ROWS = 100_000  # pieces of one length that are ranked in one task, about
 
@@ -135,6 +135,7 @@ class WordTokenizer:
         stops = np.concatenate([[0], np.cumsum(sizes)])
         # Each unit's ids, moved to where the unit stands in the texts.
         row = ids[np.repeat(begins[units] - stops[:-1], sizes) + np.arange(stops[-1])]
+        pa.default_memory_pool().release_unused()  # workers of other stages stay beside this one
         return np.split(row, stops[2 * split.offsets.to_numpy()[1:-1]]) if texts else []
 
 
