@@ -126,7 +126,12 @@ class TableStore:
     def _folder(self, name: str) -> str:
         return f"{self.path}/data/folder={name}"
 
-    def write(self, scored: DataFrame, batch_id: int, stream: str | None = None) -> Row | None:
+    def write(self, scored: DataFrame, batch_id: int, stream: str | None = None) -> None:
+        self.write_counted(scored, batch_id, stream)
+
+    def write_counted(
+        self, scored: DataFrame, batch_id: int, stream: str | None = None
+    ) -> Row | None:
         """Writes the batch and returns its counts, where its rows are written as they are."""
         spark = scored.sparkSession
         stream = stream_identity(spark) if stream is None else stream
@@ -336,7 +341,7 @@ def fan_out(scored: DataFrame, batch_id: int, stores: Sequence) -> Row:
     counts = None
     try:
         for store in stores:
-            told = store.write(scored, batch_id)
+            told = getattr(store, "write_counted", store.write)(scored, batch_id)
             counts = counts or told
         if counts is None:
             counts = scored.agg(F.lit(batch_id).alias(BATCH), *_counts()).first()

@@ -72,7 +72,7 @@ def test_counts_come_from_the_write(spark, tmp_path):
     targets = stores.table_stores(str(tmp_path / "s"))
     rows = _scored(spark, 500)
     for store in targets:
-        told = store.write(rows, 3)
+        told = store.write_counted(rows, 3)
         assert told.asDict() == {"batch_id": 3, "n_scored": 500, "n_flagged": 125}
     assert tuple(stores.fan_out(rows, 4, targets)) == (4, 500, 125)
     tracker, group = spark.sparkContext.statusTracker(), "one-store"
