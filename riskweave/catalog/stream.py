@@ -33,14 +33,15 @@ PARTS = 3
 
 
 def feature_model() -> PipelineModel:
-    """A stand-in model whose score depends on the amount and all three features."""
+    """A stand-in model whose score depends on the amount and all three features. Its limits are
+    compared with features of six digits: the digits after those depend on the order of sums."""
     return PipelineModel(
         stages=[
             SQLTransformer(
                 statement="""
 SELECT *, least(amount / 200.0D + 0.05D * (txns_last_1h_for_account - 1)
-    + CASE WHEN hours_since_last_txn < 2.0D THEN 0.02D ELSE 0.0D END
-    + CASE WHEN amount_zscore_for_account > 1.5D THEN 0.03D ELSE 0.0D END, 1.0D) AS fraud_probability
+    + CASE WHEN round(hours_since_last_txn, 6) < 2.0D THEN 0.02D ELSE 0.0D END
+    + CASE WHEN round(amount_zscore_for_account, 6) > 1.5D THEN 0.03D ELSE 0.0D END, 1.0D) AS fraud_probability
 FROM __THIS__"""
             )
         ]

@@ -220,3 +220,14 @@ def test_jdbc_store_sends_nothing_for_a_replayed_analytics_batch(spark, sf_dir,
     jdbc = JdbcStore("jdbc:any", "t", analytics_rows, {}, time_column="scored_at")
     batch_writer(lambda: ("v", feature_model()), [jdbc])(messages, 0)
     assert sent == [0]
+
+
+def test_limits_of_the_stand_in_model_take_six_digits(spark):
+    at = [(1.5000003, 2.0), (1.4999996, 1.9999997), (1.5000006, 1.9999994)]
+    rows = spark.createDataFrame(
+        [(i, 20.0, z, h, 1) for i, (z, h) in enumerate(at)],
+        "i int, amount double, amount_zscore_for_account double, hours_since_last_txn double,"
+        " txns_last_1h_for_account long",
+    )
+    found = models.score(rows, feature_model()).orderBy("i").collect()
+    assert [round(r["fraud_probability"], 9) for r in found] == [0.1, 0.1, 0.15]
