@@ -124,6 +124,9 @@ def forest_stages(
         maxDepth=plan.depth,
         maxBins=bins,
         seed=seed,
+        # Where a row stands in each tree is kept, not looked for from the root at each level.
+        # Hashed rows are wide; they need the memory themselves.
+        cacheNodeIds=not plan.hashed,
     )
     if plan.balanced:
         forest = forest.setWeightCol("class_weight")
@@ -131,6 +134,15 @@ def forest_stages(
     return Pipeline(stages=[*stages, assembler, forest])
 
 
+PARTS_PER_CORE = 4
+
+
+def dealt_evenly(df: DataFrame) -> DataFrame:
+    """`df` in equal parts, some for each core: a forest reads its rows once a level, which takes
+    as long as the largest part, and keeps them in memory by the part."""
+    return df.repartition(PARTS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def training_rows(df: DataFrame, plan: ForestPlan, label: str | None = None) -> DataFrame:
     """Rows with the features the plan asks for, and their split.
 
@@ -144,7 +156,7 @@ def training_rows(df: DataFrame, plan: ForestPlan, label: str | None = None) ->
     needed = [*plan.numeric, label, *([] if plan.keeps_gaps else CATEGORY_FEATURES)]
     df = df.select(*wanted).dropna(how="any", subset=needed)
     # Read again by the split, the vocabularies, the trees and the evaluation.
-    df = written(df, "training")
+    df = written(dealt_evenly(df), "training")
     return stratified_split(df, label) if plan.stratified else random_split(df)
 
 

@@ -223,3 +223,12 @@ def test_forest_scores_in_a_session_that_observed_a_write(spark):
     forest = models.train_forest(rows, models.SIMPLE_FOREST)
     assert models.score(rows, forest).filter("fraud_probability > 0.5").count() == 40
     assert forest.transform(rows).count() == 100
+
+
+def test_forests_read_even_parts_and_keep_places(spark, rows):
+    few = rows.coalesce(1)
+    sizes = models.dealt_evenly(few).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == models.PARTS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert max(r["count"] for r in sizes) <= 2 * min(r["count"] for r in sizes)
+    train = models.training_rows(rows, SMALL, "is_fraud")
+    assert models.train_forest(train, SMALL, "is_fraud").stages[-1].getCacheNodeIds()
