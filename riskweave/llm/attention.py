@@ -12,11 +12,10 @@ Windows. Each scores STRIDE tokens and sees CONTEXT tokens in front of them, tho
 before it, so that every token is scored once with at least that much context (or all there is).
 
 Training. Word counts of all training texts, and so the counts of all ids, choose the symbols,
-the shares of rare ones and the first biases. The weights are fitted on a sample that grows with the
-corpus: a fixed SHARE of its texts, or as many as give LEAST_TOKENS. The sample is cut into shards
-of about SHARD_TOKENS; in each of ROUNDS rounds every shard fits its own part of the sample, starting
-from the common weights (Adam), and their mean, summed up by Spark, starts the next round. Where all
-texts together have fewer tokens, each piece of them is used in more than one round.
+the shares of rare ones and the first biases. The weights are fitted on all training texts as well, cut
+into shards of about SHARD_TOKENS; in each of ROUNDS rounds every shard fits a part of its pieces,
+starting from the common weights (Adam), and their mean, summed up by Spark, starts the next round. Every
+piece is used in one round, or in more where all texts together have fewer than LEAST_TOKENS.
 
 Beside the model's score each text has that of smoothed word counts. The LISTED most frequent words
 are broadcast with their counts and ids; the counts of the others come from a join. How often
@@ -25,7 +24,7 @@ such a word stands anywhere is bounded by their being rare.
 Defined results. NULL and empty texts consist of the end alone. Words of more than LONG_WORD
 characters become ids in portions of that many. If there are no training texts, nothing is known
 and all symbols are alike. Repeated rows each count and each have a row in the result; rows alike in doc_id and
-text are drawn into the sample together. Other columns are ignored.
+text teach in the same shard and round. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -52,12 +51,13 @@ END, RARE = 0, 1
 WIDTH, HIDDEN = 32, 32
 CONTEXT, STRIDE = 16, 32
 SPAN = CONTEXT + STRIDE
-SHARE = 1 / 64
 LEAST_TOKENS = 2_000_000
-SHARD_TOKENS = 1_000_000
+SHARD_TOKENS = 4_000_000
 ROUNDS = 3
-PIECE = 32 * STRIDE  # tokens of a text that stay together in the sample
-BATCH = 32  # windows of a step
+PIECE = 32 * STRIDE  # tokens of a text that stay together in a shard
+BATCH, LARGEST_BATCH = 32, 128  # windows of a step
+STEPS = 325  # of a pass, before its steps take more than BATCH windows
+KNOWN_WORDS = 200_000  # whose symbols a task remembers
 RATE = 1e-2
 ATTENDED_AT_ONCE, SCORED_AT_ONCE = 32, 1024  # windows
 
@@ -267,7 +267,8 @@ def fit_windows(w: dict, windows: tuple, seed: int, rate: float = RATE) -> dict:
     w = {n: v.copy() for n, v in w.items()}
     first = {n: np.zeros_like(v) for n, v in w.items()}
     second = {n: np.zeros_like(v) for n, v in w.items()}
-    steps = [order[i : i + BATCH] for i in range(0, len(order), BATCH)]
+    size = min(max(BATCH, len(order) // STEPS), LARGEST_BATCH)
+    steps = [order[i : i + size] for i in range(0, len(order), size)]
     for step, at in enumerate(steps, 1):
         _, g = gradients(w, inputs[at], absent[at], targets[at], counts[at])
         now = rate * min(1, step / 20) * (1 - 0.9 * step / (len(steps) + 1))
@@ -372,11 +373,11 @@ class Symbols:
 # --- training ----------------------------------------------------------------------------
 
 
-def _sample(
-    docs: DataFrame, symbols: Symbols, subwords, rate: float, shards: int, uses: int, seed: int
+def _pieces(
+    docs: DataFrame, symbols: Symbols, subwords, shards: int, uses: int, seed: int
 ) -> DataFrame:
-    """Pieces of the drawn texts, each for `uses` rounds: shard, round, symbols, and how many of
-    them are context."""
+    """Pieces of all texts, each for `uses` rounds: shard, round, symbols, and how many of them are
+    context."""
 
     def make():
         ids_of, known = subwords(), {}
@@ -391,8 +392,9 @@ def _sample(
 
         def work(c):
             out = {n: [] for n in ("shard", "round", "symbols", "skip")}
-            known.clear()
             for text, drawn in zip(c["text"], c["drawn"]):
+                if len(known) > KNOWN_WORDS:
+                    known.clear()
                 all_of = symbols_of(text)
                 place = np.random.default_rng([seed, drawn % (1 << 62)])
                 for start in range(0, len(all_of), PIECE):
@@ -408,9 +410,7 @@ def _sample(
         return work
 
     drawn = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "text")
-    bound = F.lit(int(rate * 1_000_000))
     rows = docs.select(F.col("text").cast("string").alias("text"), drawn.alias("drawn"))
-    rows = rows.filter(F.pmod("drawn", F.lit(1_000_000)) < bound)
     return map_rows(rows, make, "shard int, round int, symbols binary, skip int")
 
 
@@ -426,9 +426,9 @@ def _unpacked(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.nda
     return out
 
 
-def _mean_of_shards(sample: DataFrame, w: dict, round_no: int, shards: int, seed: int) -> dict:
+def _mean_of_shards(pieces: DataFrame, w: dict, round_no: int, shards: int, seed: int) -> dict:
     """The mean of the weights that the shards reach, by the tokens they have."""
-    shared = sample.sparkSession.sparkContext.broadcast(w)
+    shared = pieces.sparkSession.sparkContext.broadcast(w)
     columns = "part int, tokens bigint, weights binary"
 
     def row(part: int, tokens: int, flat: np.ndarray) -> pa.Table:
@@ -439,10 +439,10 @@ def _mean_of_shards(sample: DataFrame, w: dict, round_no: int, shards: int, seed
 
     def fit(table: pa.Table) -> pa.Table:
         # In a fixed order, so that a repeated task finds the same weights.
-        pieces = sorted(zip(table.column("symbols").to_pylist(), table.column("skip").to_pylist()))
-        rows = [np.frombuffer(b, "<i2").astype(np.int32) for b, _ in pieces]
+        held = sorted(zip(table.column("symbols").to_pylist(), table.column("skip").to_pylist()))
+        rows = [np.frombuffer(b, "<i2").astype(np.int32) for b, _ in held]
         begins = np.cumsum([0, *map(len, rows)])
-        skip = np.array([n for _, n in pieces])
+        skip = np.array([n for _, n in held])
         *windows, _ = windows_of(np.concatenate(rows), begins, skip)
         shard = table.column("shard")[0].as_py()
         tokens = int(windows[3].sum())
@@ -453,7 +453,7 @@ def _mean_of_shards(sample: DataFrame, w: dict, round_no: int, shards: int, seed
         flat = np.sum([np.frombuffer(b, "<f8") for b in sorted(table.column("weights").to_pylist())], axis=0)
         return row(0, sum(table.column("tokens").to_pylist()), flat)
 
-    fitted = sample.filter(F.col("round") == round_no).groupBy("shard").applyInArrow(fit, columns)
+    fitted = pieces.filter(F.col("round") == round_no).groupBy("shard").applyInArrow(fit, columns)
     sums = fitted.groupBy("part").applyInArrow(added, columns).collect()  # a root of the shards
     shared.unpersist()
     if not sums:
@@ -489,14 +489,13 @@ def fit(docs: DataFrame, learns: Column, subwords: Callable[[], Subwords], seed:
     weights = new_weights(symbols.counts, seed)
     tokens = int(by_id.sum()) + texts
     if tokens:
-        rate = min(1.0, max(SHARE, LEAST_TOKENS / tokens))
-        shards = max(1, round(tokens * rate / SHARD_TOKENS))
-        uses = min(ROUNDS, max(1, round(LEAST_TOKENS / (tokens * rate))))
-        sample = written(
-            _sample(docs.filter(learns), symbols, subwords, rate, shards, uses, seed), "lm-sample"
+        shards = max(1, round(tokens / SHARD_TOKENS))
+        uses = min(ROUNDS, max(1, round(LEAST_TOKENS / tokens)))
+        pieces = written(
+            _pieces(docs.filter(learns), symbols, subwords, shards, uses, seed), "lm-pieces"
         )
         for round_no in range(ROUNDS):
-            weights = _mean_of_shards(sample, weights, round_no, shards, seed)
+            weights = _mean_of_shards(pieces, weights, round_no, shards, seed)
     return Model(counts, listed, totals, symbols, weights, subwords)
 
 

@@ -277,3 +277,23 @@ def test_nothing_to_learn_from(spark):
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in found)
     empty = docs.limit(0)
     assert attention.score(empty, attention.fit(empty, F.lit(True), SUBWORDS)).collect() == []
+
+
+def test_weights_are_fitted_on_every_training_text(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(attention, "LEAST_TOKENS", 1_000)
+    monkeypatch.setattr(attention, "SHARD_TOKENS", 20_000)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    learns = mod_crc("doc_id", 5) != 1
+    taken = []
+
+    def seen(pieces, w, *rest):
+        taken.append(pieces)
+        return w
+
+    monkeypatch.setattr(attention, "_mean_of_shards", seen)
+    attention.fit(docs, learns, SUBWORDS)
+    ids_of = SUBWORDS()
+    texts = [r["text"] or "" for r in docs.filter(learns).collect()]
+    tokens = sum(len(ids_of(w)) for t in texts for w in attention.words_of(t)) + len(texts)
+    found = taken[0].agg(F.sum(F.length("symbols") / 2 - F.col("skip")), F.count_distinct("round")).first()
+    assert tuple(found) == (tokens, attention.ROUNDS)
