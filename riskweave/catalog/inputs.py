@@ -12,7 +12,7 @@ from riskweave.operators.rollup import filter_day
 from riskweave.plans.model import empty_metrics
 from riskweave.plans.views import order_msgs, scored, table, txn
 from riskweave.schemas import TRANSACTION_SCHEMA
-from riskweave.session import scratch
+from riskweave.session import scratch, written
 from riskweave.sources.files import (
     drop_incomplete_rows,
     scan_training_input,
@@ -111,7 +111,8 @@ def quarantine_bad_transactions(spark, sf_dir):
             )
         )
     )
-    good, bad = good_and_bad(read_transactions(dirty))
+    # Filters on what is read from a message would read it anew for each field they look at.
+    good, bad = good_and_bad(written(read_transactions(dirty), "read"))
     bad_id = F.get_json_object(F.col("value").cast("string"), "$.transaction_id")
     return good.select("transaction_id", F.lit("good").alias("status")).unionByName(
         bad.select(bad_id.alias("transaction_id"), F.lit("bad").alias("status"))

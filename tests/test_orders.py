@@ -186,3 +186,11 @@ def test_old_versions_are_forgotten(spark):
     assert spark.read.parquet(paths[3]).count() == 3
     with pytest.raises(AnalysisException):
         spark.read.parquet(paths[2])
+
+
+def test_transactions_to_quarantine_are_parsed_once(spark, sf_dir):
+    from riskweave.catalog import QUERIES
+
+    found = QUERIES["quarantine_bad_transactions"](spark, sf_dir)
+    assert "from_json" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == found.select("transaction_id").distinct().count() == 1000
