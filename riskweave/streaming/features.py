@@ -16,7 +16,7 @@ from dataclasses import astuple, dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -94,17 +94,45 @@ def _account_features(names: list[str], expires: bool):
                 yield rows.assign(**dict.fromkeys(FEATURES))[names]
             return
         # An account's rows of one micro-batch; the source's limit bounds them.
-        rows = pd.concat(list(chunks)).sort_values(["_us", "transaction_id"], kind="stable")
+        rows = list(chunks)
+        rows = rows[0] if len(rows) == 1 else pd.concat(rows)
+        us, ids = rows["_us"].to_numpy(np.int64), rows["transaction_id"].tolist()
+        order = sorted(range(len(us)), key=list(zip(us.tolist(), ids)).__getitem__)
+        taken = {n: rows[n].to_numpy().take(order) for n in {*names, "amount"} - {*FEATURES}}
         account = AccountState(*state.get) if state.exists else AccountState()
-        found = account.add(rows["_us"].to_numpy(np.int64), rows["amount"].to_numpy(float))
+        found = account.add(us.take(order), taken["amount"].astype(float))
         state.update(astuple(account))
         if expires:
             state.setTimeoutDuration(ROLLING_WINDOW_MICROS // 1000)
-        yield rows.assign(**dict(zip(FEATURES, found)))[names]
+        taken |= zip(FEATURES, found)
+        yield pd.DataFrame({n: taken[n] for n in names}, copy=False)
 
     return run
 
 
+def _packable(field: T.StructField) -> bool:
+    return isinstance(field.dataType, (T.StringType, T.TimestampType))
+
+
+def _packed(fields: list[T.StructField]) -> Column:
+    """Texts and times as one array of texts."""
+    return F.array(
+        *[
+            (F.unix_micros(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f.name)).cast("string")
+            for f in fields
+        ]
+    )
+
+
+def _unpacked(fields: list[T.StructField]) -> dict[str, Column]:
+    texts = {f.name: F.get("_packed", F.lit(i)) for i, f in enumerate(fields)}
+    return texts | {
+        f.name: F.timestamp_micros(texts[f.name].cast("long"))
+        for f in fields
+        if isinstance(f.dataType, T.TimestampType)
+    }
+
+
 def live_features(read: DataFrame, expires: bool = False) -> DataFrame:
     """A stream of `read_transactions` rows with the account features of the good ones; those of
     the others are NULL.
@@ -116,15 +144,24 @@ def live_features(read: DataFrame, expires: bool = False) -> DataFrame:
     their times: for streams that keep up with their events, not for those that catch up.
     """
     bad = F.pmod(F.xxhash64("value"), F.lit(BAD_BUCKETS)).cast("int")
-    keyed = read.withColumns(
-        {
-            "_us": micros("event_time"),
-            "_bucket": F.when(F.col("reason").isNull(), F.lit(GOOD)).otherwise(bad),
-        }
+    # What only passes through goes as one column: each column of a group, that is of an account in
+    # a micro-batch, costs as much as some hundred rows on its way to Python and back.
+    texts = [f for f in read.schema if _packable(f)]
+    others = [f for f in read.schema if not _packable(f)]
+    keyed = read.select(
+        _packed(texts).alias("_packed"),
+        *[f.name for f in others],
+        "transaction_id",
+        "account_id",
+        micros("event_time").alias("_us"),
+        F.when(F.col("reason").isNull(), F.lit(GOOD)).otherwise(bad).alias("_bucket"),
     )
     kinds = (T.DoubleType(), T.DoubleType(), T.LongType())
-    schema = T.StructType([*read.schema, *map(T.StructField, FEATURES, kinds)])
+    packed = T.StructField("_packed", T.ArrayType(T.StringType()))
+    schema = T.StructType([packed, *others, *map(T.StructField, FEATURES, kinds)])
     timeout = GroupStateTimeout.ProcessingTimeTimeout if expires else GroupStateTimeout.NoTimeout
-    return keyed.groupBy("account_id", "_bucket").applyInPandasWithState(
+    found = keyed.groupBy("account_id", "_bucket").applyInPandasWithState(
         _account_features(schema.names, expires), schema, STATE, "append", timeout
     )
+    columns = {f.name: F.col(f.name) for f in others} | _unpacked(texts)
+    return found.select(*[columns[n].alias(n) for n in read.columns], *FEATURES)

@@ -129,3 +129,35 @@ def test_live_stream_with_expiry(spark, sf_dir):
     finally:
         query.stop()
     assert spark.read.parquet(f"{root}/out").count() == 1000
+
+
+def test_columns_that_pass_through_go_as_one(spark, sf_dir):
+    root = scratch(spark, "packed")
+    _deliver(txn(spark, sf_dir), f"{root}/in")
+    spark.createDataFrame([("broken",)], "value string").write.mode("append").text(f"{root}/in")
+    own = {
+        "own_n": F.length("value"),
+        "own_t": F.lit("2024-01-01 00:00:00.123457").cast("timestamp"),
+        "own_b": F.col("value").cast("binary"),
+        "own_none": F.lit(None).cast("string"),
+    }
+    read = read_transactions(message_files(spark, f"{root}/in").withColumns(own))
+    live = live_features(read)
+    assert [(f.name, f.dataType) for f in live.schema][: len(read.columns)] == [
+        (f.name, f.dataType) for f in read.schema
+    ]
+    plan = live._jdf.queryExecution().analyzed().toString()
+    given = next(line for line in plan.splitlines() if "FlatMapGroupsInPandasWithState" in line)
+    assert "_packed" in given and "merchant_category" not in given
+    (
+        live.writeStream.format("parquet")
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .option("path", f"{root}/out")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    want = read_transactions(spark.read.text(f"{root}/in").withColumns(own))
+    got = spark.read.parquet(f"{root}/out").select(*want.columns)
+    assert want.count() == got.count() == 1001
+    assert got.exceptAll(want).count() == 0
