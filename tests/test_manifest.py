@@ -56,6 +56,15 @@ def test_commits_at_once_lose_none(spark):
     assert sorted(int(e.folder) for e in now.entries) == list(range(12)) and now.version == 12
 
 
+def test_one_of_many_creates_a_number(spark):
+    path = scratch(spark, "log")
+    logs = [CommitLog(spark, path) for _ in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        for n in range(1, 41):
+            made = list(pool.map(lambda i: logs[i]._create(Manifest(n, (Entry(str(i)),))), range(6)))
+            assert sum(made) == 1 and logs[0].latest().entries == (Entry(str(made.index(True))),)
+
+
 @pytest.mark.parametrize("step", ["write", "compact"])
 def test_a_crash_before_the_manifest_counts_for_nothing(spark, sf_dir, step):
     store = lake(spark, "crash")
