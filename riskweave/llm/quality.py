@@ -192,9 +192,10 @@ def _fetch(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     )
 
 
-def _bounded(rows: DataFrame, n: int, seed: int, wanted: int = SAMPLE_ROWS) -> DataFrame:
-    """About `wanted` of n rows, by a hash of doc_id and text: those of one id are drawn apart."""
+def _bounded(rows: DataFrame, n: int, seed: int, wanted: int | None = None) -> DataFrame:
+    """About `wanted` (SAMPLE_ROWS) of n rows, by a hash of doc_id and text: those of one id are drawn apart."""
     chance = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_digest"), F.lit(1_000_000)) / F.lit(1e6)
+    wanted = SAMPLE_ROWS if wanted is None else wanted
     return rows.filter(chance < min(1.0, wanted / max(n, 1)))
 
 
