@@ -30,6 +30,7 @@ text teach in the same shard and round. Other columns are ignored.
 from __future__ import annotations
 
 import base64
+import ctypes
 import math
 from collections import Counter
 from collections.abc import Callable
@@ -59,7 +60,7 @@ BATCH, LARGEST_BATCH = 32, 128  # windows of a step
 STEPS = 325  # of a pass, before its steps take more than BATCH windows
 KNOWN_WORDS = 200_000  # whose symbols a task remembers
 RATE = 1e-2
-ATTENDED_AT_ONCE, SCORED_AT_ONCE = 32, 1024  # windows
+ATTENDED_AT_ONCE, SCORED_AT_ONCE = 64, 256  # windows
 
 
 def words_of(text: str) -> list[bytes]:
@@ -76,6 +77,8 @@ class Subwords:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(t): int(n) for t, n in map(bytes.split, lines)}
         self.size = max(ranks.values()) + 1
+        self.blank = np.zeros(self.size, bool)  # those that begin with a blank
+        self.blank[[n for t, n in ranks.items() if t.startswith(b" ")]] = True
         self.of = tiktoken.Encoding(
             "subwords", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
@@ -87,6 +90,21 @@ class Subwords:
         parts = (text[i : i + LONG_WORD] for i in range(0, len(text), LONG_WORD))
         return [i for part in parts for i in self.of(part)]
 
+    def rows(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words as one array and where those of each begin in it. Words without blanks of
+        any kind are encoded as one text, as no id reaches from one into the next."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        joined = "".join([" " + t for t in texts])
+        if len(joined.split()) == len(words) and max(map(len, texts), default=0) < LONG_WORD:
+            ids = np.array(self.of(joined), np.int32)
+            begins = np.flatnonzero(self.blank[ids])
+            if len(begins) == len(words):
+                return ids, np.append(begins, len(ids))
+        if len(words) <= 8:
+            return _rows_of([self(w) for w in words])
+        (a, at), (b, then) = self.rows(words[: len(words) // 2]), self.rows(words[len(words) // 2 :])
+        return np.concatenate([a, b]), np.concatenate([at, then[1:] + len(a)])
+
 
 def _rows_of(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """Lists as one array and where each of them begins in it."""
@@ -129,154 +147,209 @@ _CAUSAL = np.where(
 
 
 def _exp(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Exponentials and their sums over the last axis; only where 32 bits do not hold them the
-    largest is taken off first."""
+    """Exponentials and their sums over the last axis; only where 32 bits do not
+    hold them the largest is taken off first."""
+    ones = np.ones(x.shape[-1], x.dtype)
     with np.errstate(over="ignore"):
         e = np.exp(x)
-        total = e.sum(-1, keepdims=True)
+        total = e @ ones
     if not (np.isfinite(total).all() and total.all()):
         e = np.exp(x - x.max(-1, keepdims=True))
-        total = e.sum(-1, keepdims=True)
+        total = e @ ones
     return e, total
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    e, total = _exp(x)
-    e /= total
-    return e
-
-
 class Tables:
-    """Queries, keys and values of all symbols and places."""
+    """What symbols and places give: query and embedding of an own place, key and value of any."""
 
     def __init__(self, w: dict[str, np.ndarray]):
         self.w = w
-        scale = np.float32(1 / math.sqrt(WIDTH))
-        self.query = w["token"] @ w["query"] * scale, w["place"][CONTEXT:] @ w["query"] * scale
-        self.key = w["token"] @ w["key"], w["place"] @ w["key"]
-        self.value = w["token"] @ w["value"], w["place"] @ w["value"]
+        scaled = w["query"] * w["query"].dtype.type(1 / math.sqrt(WIDTH))
+        of = w["token"], w["place"][CONTEXT:]
+        self.own = [np.hstack([x @ scaled, x]) for x in of]
+        self.past = [np.hstack([x @ w["key"], x @ w["value"]]) for x in (w["token"], w["place"])]
 
 
 def attended(t: Tables, inputs: np.ndarray, absent: np.ndarray) -> dict[str, np.ndarray]:
     """What the windows (symbols, and which places hold none) give for their last STRIDE places."""
-    own = inputs[:, CONTEXT:]
-    query = t.query[0].take(own, 0) + t.query[1]
-    key = t.key[0].take(inputs, 0) + t.key[1]
-    value = t.value[0].take(inputs, 0) + t.value[1]
+    own = t.own[0].take(inputs[:, CONTEXT:], 0)
+    own += t.own[1]
+    past = t.past[0].take(inputs, 0)
+    past += t.past[1]
+    query, key, value = own[..., :WIDTH], past[..., :WIDTH], past[..., WIDTH:]
     scores = query @ key.transpose(0, 2, 1)
     scores += _CAUSAL
-    if absent.any():
-        scores += np.where(absent, np.float32(-1e9), np.float32(0))[:, None, :]
+    begun = np.flatnonzero(absent[:, 0])  # what is absent stands in front
+    if len(begun):
+        scores[begun] += np.where(absent[begun], np.float32(-1e9), np.float32(0))[:, None, :]
     weights, total = _exp(scores)
-    base = t.w["token"].take(own, 0) + t.w["place"][CONTEXT:] + weights @ value / total
-    up = np.maximum(base @ t.w["up"] + t.w["up_bias"], 0)
+    given = (weights @ value).reshape(-1, WIDTH)
+    given /= total.reshape(-1, 1)
+    base = own[..., WIDTH:].reshape(-1, WIDTH) + given
+    up = base @ t.w["up"]
+    up += t.w["up_bias"]
+    np.maximum(up, 0, out=up)
+    out = up @ t.w["down"]
+    out += base
     return {
         "query": query, "key": key, "value": value, "weights": weights, "total": total,
-        "base": base, "up": up, "out": base + up @ t.w["down"],
+        "given": given, "base": base, "up": up, "out": out,
     }
 
 
-def _by_class(targets: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """The places whose target is in a class, for each class that occurs."""
-    order = np.argsort(targets // MEMBERS, kind="stable")
-    ends = np.cumsum(np.bincount(targets // MEMBERS, minlength=CLASSES))
-    return [
-        (c, order[a:b]) for c, (a, b) in enumerate(zip(np.r_[0, ends[:-1]], ends)) if b > a
-    ]
+def _choices(w: dict[str, np.ndarray], out: np.ndarray, targets: np.ndarray) -> dict:
+    """Exponentials of the classes and of the members of each target's class, with their sums.
+
+    Places are in the order of their targets' classes, so that each class (c, a, b) is a slice.
+    """
+    kind = targets // MEMBERS
+    order = np.argsort(kind.astype(np.int16), kind="stable")
+    ends = np.cumsum(np.bincount(kind, minlength=CLASSES))
+    slices = [(c, a, b) for c, (a, b) in enumerate(zip([0, *ends[:-1]], ends)) if b > a]
+    rows = out.take(order, 0)
+    logits = np.empty((2, len(rows), MEMBERS), out.dtype)
+    np.matmul(rows, w["class"], out=logits[0])
+    logits[0] += w["class_bias"]
+    for c, a, b in slices:
+        np.matmul(rows[a:b], w["member"][c], out=logits[1, a:b])
+        logits[1, a:b] += w["member_bias"][c]
+    e, total = _exp(logits)
+    at = np.stack([kind, targets % MEMBERS])[:, order]
+    chosen = np.take_along_axis(e, at[..., None], 2)[..., 0]
+    logs = np.log(np.maximum(chosen, 1e-38) / total).sum(0)
+    return {"order": order, "slices": slices, "rows": rows, "e": e, "total": total, "at": at, "logs": logs}
 
 
 def log_probabilities(t: Tables, inputs, absent, targets) -> np.ndarray:
     """Natural logarithms, windows by STRIDE."""
-    out = np.empty((*targets.shape, WIDTH), t.w["token"].dtype)
+    out = np.empty((targets.size, WIDTH), t.w["token"].dtype)
     for i in range(0, len(inputs), ATTENDED_AT_ONCE):
         some = slice(i, i + ATTENDED_AT_ONCE)
-        out[some] = attended(t, inputs[some], absent[some])["out"]
-    out, flat = out.reshape(-1, WIDTH), targets.reshape(-1)
-    chosen = _log_softmax_at(out @ t.w["class"] + t.w["class_bias"], flat // MEMBERS)
-    for c, at in _by_class(flat):
-        logits = out.take(at, 0) @ t.w["member"][c] + t.w["member_bias"][c]
-        chosen[at] += _log_softmax_at(logits, flat.take(at) % MEMBERS)
-    return chosen.reshape(targets.shape)
-
-
-def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    e, total = _exp(logits)
-    return np.log(np.maximum(e[np.arange(len(at)), at], 1e-38) / total[:, 0])
+        out[i * STRIDE : (i + ATTENDED_AT_ONCE) * STRIDE] = attended(t, inputs[some], absent[some])["out"]
+    found = _choices(t.w, out, targets.reshape(-1))
+    logs = np.empty_like(found["logs"])
+    logs[found["order"]] = found["logs"]
+    return logs.reshape(targets.shape)
+
+
+def _by_symbol(symbols: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sums of the rows of each symbol."""
+    order = np.argsort(symbols.astype(np.int16), kind="stable")
+    held = symbols[order]
+    first = np.flatnonzero(np.diff(held, prepend=-1))
+    out = np.zeros((SYMBOLS, rows.shape[1]), rows.dtype)
+    pairs = rows.take(order, 0).view(np.result_type(rows, np.complex64))  # two numbers at a time
+    out[held[first]] = np.add.reduceat(pairs, first).view(rows.dtype)
+    return out
 
 
 def gradients(w: dict, inputs, absent, targets, counts) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean loss (nats a token) over the places that count, and its gradients."""
+    """Mean loss (nats a token) over the places that count, and its gradients.
+
+    Queries, keys and values are linear in what tokens and places give, so their gradients are
+    summed up by symbol and by place before they go through the weights.
+    """
     t = Tables(w)
     f = attended(t, inputs, absent)
-    g = {n: np.zeros_like(v) for n, v in w.items()}
-    out = f["out"].reshape(-1, WIDTH)
-    flat, weight = targets.reshape(-1), counts.reshape(-1).astype(np.float32)
-    weight = weight / max(weight.sum(), 1)
-    rows = np.arange(len(flat))
-    p = _softmax(out @ w["class"] + w["class_bias"])
-    loss = -(weight * np.log(p[rows, flat // MEMBERS] + 1e-30)).sum()
-    p[rows, flat // MEMBERS] -= 1
-    p *= weight[:, None]
-    g["class"], g["class_bias"] = out.T @ p, p.sum(0)
-    d_out = p @ w["class"].T
-    for c, at in _by_class(flat):
-        p = _softmax(out[at] @ w["member"][c] + w["member_bias"][c])
-        own = np.arange(len(at)), flat[at] % MEMBERS
-        loss -= (weight[at] * np.log(p[own] + 1e-30)).sum()
-        p[own] -= 1
-        p *= weight[at][:, None]
-        g["member"][c], g["member_bias"][c] = out[at].T @ p, p.sum(0)
-        d_out[at] += p @ w["member"][c].T
-    up, base = f["up"].reshape(-1, HIDDEN), f["base"].reshape(-1, WIDTH)
-    g["down"] = up.T @ d_out
-    d_up = (d_out @ w["down"].T) * (up > 0)
-    g["up"], g["up_bias"] = base.T @ d_up, d_up.sum(0)
-    d_base = (d_out + d_up @ w["up"].T).reshape(f["base"].shape)
-    weights = f["weights"] / f["total"]
-    d_value = weights.transpose(0, 2, 1) @ d_base
-    d_weights = d_base @ f["value"].transpose(0, 2, 1)
-    d_scores = weights * (d_weights - (d_weights * weights).sum(-1, keepdims=True))
-    d_query = d_scores @ f["key"] * np.float32(1 / math.sqrt(WIDTH))
-    d_key = d_scores.transpose(0, 2, 1) @ f["query"]
-    # Queries hold the scale, so keys get it through them.
-    flat_in = inputs.reshape(-1)
-    x = (w["token"][inputs] + w["place"]).reshape(-1, WIDTH)
-    own_x = x.reshape(*inputs.shape, WIDTH)[:, CONTEXT:].reshape(-1, WIDTH)
-    d_x = np.zeros((*inputs.shape, WIDTH), np.float32)
-    for name, d, of in (("key", d_key, x), ("value", d_value, x), ("query", d_query, own_x)):
-        d2 = d.reshape(-1, WIDTH)
-        g[name] = of.T @ d2
-        back = (d2 @ w[name].T).reshape(*d.shape[:2], WIDTH)
-        if name == "query":
-            d_x[:, CONTEXT:] += back
-        else:
-            d_x += back
-    d_x[:, CONTEXT:] += d_base
-    g["place"] = d_x.sum(0)
-    order = np.argsort(flat_in, kind="stable")
-    first = np.flatnonzero(np.diff(flat_in[order], prepend=-1))
-    g["token"][flat_in[order[first]]] = np.add.reduceat(d_x.reshape(-1, WIDTH)[order], first)
+    g = {}
+    weight = counts.reshape(-1).astype(w["token"].dtype)
+    weight /= max(weight.sum(), 1)
+    found = _choices(w, f["out"], targets.reshape(-1))
+    order, slices, rows, p = (found[n] for n in ("order", "slices", "rows", "e"))
+    weight = weight[order]
+    loss = -(weight * found["logs"]).sum()
+    p *= (weight / found["total"])[..., None]
+    p[np.arange(2)[:, None], np.arange(len(rows)), found["at"]] -= weight
+    g["class"], g["class_bias"] = rows.T @ p[0], p[0].sum(0)
+    g["member"], g["member_bias"] = np.zeros_like(w["member"]), np.zeros_like(w["member_bias"])
+    d = np.empty_like(rows)
+    for c, a, b in slices:
+        np.matmul(rows[a:b].T, p[1, a:b], out=g["member"][c])
+        np.matmul(p[1, a:b], w["member"][c].T, out=d[a:b])
+    g["member_bias"][[c for c, _, _ in slices]] = np.add.reduceat(p[1], [a for _, a, _ in slices])
+    d += p[0] @ w["class"].T
+    d_base = np.empty_like(d)
+    d_base[order] = d
+    g["down"] = f["up"].T @ d_base
+    d_up = d_base @ w["down"].T
+    d_up *= f["up"] > 0
+    g["up"], g["up_bias"] = f["base"].T @ d_up, d_up.sum(0)
+    d_base += d_up @ w["up"].T
+    # The weights of the attention are left as they are, undivided by their sums.
+    d_own = np.empty((len(inputs), STRIDE, 2 * WIDTH), d.dtype)
+    d_past = np.empty((len(inputs), SPAN, 2 * WIDTH), d.dtype)
+    d_own[..., WIDTH:] = d_base.reshape(-1, STRIDE, WIDTH)
+    total = f["total"].reshape(-1, 1)
+    d_given = d_base / total
+    common = np.einsum("ij,ij->i", d_given, f["given"]).reshape(-1, STRIDE, 1)
+    d_given = d_given.reshape(-1, STRIDE, WIDTH)
+    np.matmul(f["weights"].transpose(0, 2, 1), d_given, out=d_past[..., WIDTH:])
+    d_scores = d_given @ f["value"].transpose(0, 2, 1)
+    d_scores -= common
+    d_scores *= f["weights"]
+    np.matmul(d_scores, f["key"], out=d_own[..., :WIDTH])
+    np.matmul(d_scores.transpose(0, 2, 1), f["query"], out=d_past[..., :WIDTH])
+    scale = w["query"].dtype.type(1 / math.sqrt(WIDTH))  # keys get it through the queries
+    token, place = w["token"], w["place"]
+    past = _by_symbol(inputs.reshape(-1), d_past.reshape(-1, 2 * WIDTH)), d_past.sum(0)
+    own = _by_symbol(inputs[:, CONTEXT:].reshape(-1), d_own.reshape(-1, 2 * WIDTH)), d_own.sum(0)
+    both = token.T @ past[0] + place.T @ past[1]
+    g["key"], g["value"] = both[:, :WIDTH], both[:, WIDTH:]
+    g["query"] = (token.T @ own[0][:, :WIDTH] + place[CONTEXT:].T @ own[1][:, :WIDTH]) * scale
+    to_past = np.hstack([w["key"], w["value"]]).T
+    to_own = np.vstack([w["query"].T * scale, np.eye(WIDTH, dtype=d.dtype)])
+    g["token"] = past[0] @ to_past + own[0] @ to_own
+    g["place"] = past[1] @ to_past
+    g["place"][CONTEXT:] += own[1] @ to_own
     return float(loss), g
 
 
+def _packed(w: dict[str, np.ndarray]) -> np.ndarray:
+    return np.concatenate([w[n].ravel() for n in sorted(w)])
+
+
+def _views(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    out, at = {}, 0
+    for n in sorted(like):
+        out[n] = flat[at : at + like[n].size].reshape(like[n].shape)
+        at += like[n].size
+    return out
+
+
+def keep_freed_memory() -> None:
+    """Arrays of a step take the room of the step before instead of asking the system for it anew,
+    which takes longer than the arithmetic. At most 64 MB are kept."""
+    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
+    if mallopt:  # GNU C library: M_MMAP_THRESHOLD, M_TRIM_THRESHOLD
+        mallopt(-3, 8 << 20)
+        mallopt(-1, 64 << 20)
+
+
 def fit_windows(w: dict, windows: tuple, seed: int, rate: float = RATE) -> dict:
     """Weights after one pass of Adam over the windows, in random order."""
     inputs, absent, targets, counts = windows
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(inputs))
-    w = {n: v.copy() for n, v in w.items()}
-    first = {n: np.zeros_like(v) for n, v in w.items()}
-    second = {n: np.zeros_like(v) for n, v in w.items()}
+    flat = _packed(w)
+    w = _views(flat, w)
+    first, second, grown = (np.zeros_like(flat) for _ in range(3))
     size = min(max(BATCH, len(order) // STEPS), LARGEST_BATCH)
     steps = [order[i : i + size] for i in range(0, len(order), size)]
     for step, at in enumerate(steps, 1):
         _, g = gradients(w, inputs[at], absent[at], targets[at], counts[at])
         now = rate * min(1, step / 20) * (1 - 0.9 * step / (len(steps) + 1))
-        for n, v in g.items():
-            first[n] += 0.1 * (v - first[n])
-            second[n] += 0.01 * (v * v - second[n])
-            a, b = first[n] / (1 - 0.9**step), second[n] / (1 - 0.99**step)
-            w[n] -= np.float32(now) * a / (np.sqrt(b) + 1e-8)
+        g = _packed(g)
+        first += 0.1 * (g - first)
+        g *= g
+        g -= second
+        g *= 0.01
+        second += g
+        np.divide(second, 1 - 0.99**step, out=grown)
+        np.sqrt(grown, out=grown)
+        grown += 1e-8
+        np.divide(first, grown, out=grown)
+        grown *= now / (1 - 0.9**step)
+        flat -= grown
     return w
 
 
@@ -292,13 +365,17 @@ def windows_of(symbols: np.ndarray, begins: np.ndarray, skip: np.ndarray):
     row = np.repeat(np.arange(len(sizes)), per)
     nth = np.arange(len(row)) - np.repeat(np.cumsum(per) - per, per)
     start = begins[row] + skip[row] + nth * STRIDE  # the first target
-    at = start[:, None] + np.arange(-CONTEXT - 1, STRIDE)  # one input in front of each target
-    low, high = begins[row][:, None], begins[row + 1][:, None]
-    held = np.append(symbols, END)
-    known = np.where((at >= low) & (at < high), held[np.clip(at, 0, len(symbols))], END)
+    # Rows set apart by ENDs, so that each window is one stretch.
+    gap = SPAN + 1
+    apart = np.full(len(symbols) + gap * (len(begins) + 1), END, symbols.dtype)
+    shift = gap * np.arange(1, len(begins))
+    apart[np.arange(begins[0], begins[-1]) + np.repeat(shift, np.diff(begins))] = symbols[begins[0] : begins[-1]]
+    stretches = np.lib.stride_tricks.sliding_window_view(apart, SPAN + 1)
+    known = stretches[start + shift[row] - CONTEXT - 1]
     inputs, targets = known[:, :-1], known[:, 1 + CONTEXT :]
-    absent = at[:, :-1] < low - 1  # the place just in front of a row holds END
-    counts = at[:, 1 + CONTEXT :] < high
+    # The place just in front of a row holds END.
+    absent = np.arange(SPAN) < (begins[row] + CONTEXT - start)[:, None]
+    counts = np.arange(STRIDE) < (begins[row + 1] - start)[:, None]
     return inputs, absent, targets, counts, row
 
 
@@ -341,7 +418,7 @@ def id_counts(counts: DataFrame, subwords: Callable[[], Subwords]) -> np.ndarray
         for batch in batches:
             ids_of = ids_of or subwords()
             words, n = batch.column("word").to_pylist(), batch.column("n").to_numpy()
-            flat, begins = _rows_of([ids_of(w.encode()) for w in words])
+            flat, begins = ids_of.rows([w.encode() for w in words])
             sums = np.bincount(flat, np.repeat(n, np.diff(begins)), ids_of.size)
             used = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays(
@@ -369,6 +446,11 @@ class Symbols:
         self.log_share[rest] = np.log(share / share.sum())
         self.counts = np.concatenate([[texts, share.sum()], counts[own]])
 
+    def of_words(self, flat: np.ndarray, begins: np.ndarray) -> list[bytes]:
+        """The symbols of each word, as 16-bit numbers, from the ids of all."""
+        held, at = self.of[flat].astype("<i2").tobytes(), (2 * begins).tolist()
+        return [held[a:b] for a, b in zip(at, at[1:])]
+
 
 # --- training ----------------------------------------------------------------------------
 
@@ -381,29 +463,25 @@ def _pieces(
 
     def make():
         ids_of, known = subwords(), {}
-
-        def symbols_of(text: str) -> np.ndarray:
-            found = []
-            for w in words_of(text):
-                if w not in known:
-                    known[w] = symbols.of[ids_of(w)].tolist()
-                found += known[w]
-            return np.array([*found, END], "<i2")
+        end = np.array([END], "<i2").tobytes()
 
         def work(c):
+            if len(known) > KNOWN_WORDS:
+                known.clear()
+            split = [words_of(t) for t in c["text"]]
+            new = list({w for words in split for w in words} - known.keys())
+            known.update(zip(new, symbols.of_words(*ids_of.rows(new))))
             out = {n: [] for n in ("shard", "round", "symbols", "skip")}
-            for text, drawn in zip(c["text"], c["drawn"]):
-                if len(known) > KNOWN_WORDS:
-                    known.clear()
-                all_of = symbols_of(text)
+            for words, drawn in zip(split, c["drawn"]):
+                all_of = b"".join(map(known.__getitem__, words)) + end
                 place = np.random.default_rng([seed, drawn % (1 << 62)])
-                for start in range(0, len(all_of), PIECE):
+                for start in range(0, len(all_of) // 2, PIECE):
                     front = min(start, CONTEXT + 1)
                     shard, first = int(place.integers(shards)), int(place.integers(ROUNDS))
                     for use in range(uses):
                         out["shard"].append(shard)
                         out["round"].append((first + use) % ROUNDS)
-                        out["symbols"].append(all_of[start - front : start + PIECE].tobytes())
+                        out["symbols"].append(all_of[2 * (start - front) : 2 * (start + PIECE)])
                         out["skip"].append(front)
             return out
 
@@ -414,18 +492,6 @@ def _pieces(
     return map_rows(rows, make, "shard int, round int, symbols binary, skip int")
 
 
-def _packed(w: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([w[n].ravel() for n in sorted(w)])
-
-
-def _unpacked(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for n in sorted(like):
-        out[n] = flat[at : at + like[n].size].reshape(like[n].shape).astype(np.float32)
-        at += like[n].size
-    return out
-
-
 def _mean_of_shards(pieces: DataFrame, w: dict, round_no: int, shards: int, seed: int) -> dict:
     """The mean of the weights that the shards reach, by the tokens they have."""
     shared = pieces.sparkSession.sparkContext.broadcast(w)
@@ -438,6 +504,7 @@ def _mean_of_shards(pieces: DataFrame, w: dict, round_no: int, shards: int, seed
     groups = max(1, math.isqrt(shards))
 
     def fit(table: pa.Table) -> pa.Table:
+        keep_freed_memory()
         # In a fixed order, so that a repeated task finds the same weights.
         held = sorted(zip(table.column("symbols").to_pylist(), table.column("skip").to_pylist()))
         rows = [np.frombuffer(b, "<i2").astype(np.int32) for b, _ in held]
@@ -453,14 +520,16 @@ def _mean_of_shards(pieces: DataFrame, w: dict, round_no: int, shards: int, seed
         flat = np.sum([np.frombuffer(b, "<f8") for b in sorted(table.column("weights").to_pylist())], axis=0)
         return row(0, sum(table.column("tokens").to_pylist()), flat)
 
-    fitted = pieces.filter(F.col("round") == round_no).groupBy("shard").applyInArrow(fit, columns)
+    # By range, as shards of one size would meet in some tasks by hash.
+    dealt = pieces.filter(F.col("round") == round_no).repartitionByRange(shards, "shard")
+    fitted = dealt.groupBy("shard").applyInArrow(fit, columns)
     sums = fitted.groupBy("part").applyInArrow(added, columns).collect()  # a root of the shards
     shared.unpersist()
     if not sums:
         return w
     tokens = sum(r["tokens"] for r in sums)
     flat = np.sum([np.frombuffer(r["weights"], "<f8") for r in sorted(sums, key=lambda r: bytes(r["weights"]))], axis=0)
-    return _unpacked(flat / max(tokens, 1), w)
+    return _views((flat / max(tokens, 1)).astype(np.float32), w)
 
 
 class Model:
@@ -474,7 +543,7 @@ class Model:
 def _listed(rows: pa.Table, ids_of: Subwords) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """Words behind each other, their counts, their ids, and where those of each begin."""
     words = [w.encode() for w in rows.column("word").to_pylist()]
-    return b" ".join(words), rows.column("n").to_numpy(), *_rows_of([ids_of(w) for w in words])
+    return b" ".join(words), rows.column("n").to_numpy(), *ids_of.rows(words)
 
 
 def fit(docs: DataFrame, learns: Column, subwords: Callable[[], Subwords], seed: int = 13) -> Model:
@@ -508,10 +577,17 @@ class Scorer:
     def __init__(self, words: tuple, totals, symbols: Symbols, weights, subwords):
         self.ids_of, self.symbols = subwords(), symbols
         self.tables = Tables(weights)
-        listed, self.n, self.flat, self.begins = words
+        listed, self.n, flat, begins = words
         self.number = dict(zip(listed.split(), range(len(self.n))))
+        self.held, self.share = self._of_words(flat, begins)
         self.total, self.distinct, self.texts = totals
 
+    def _of_words(self, flat: np.ndarray, begins: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+        """The symbols of words and the logarithms of their ids' shares in them."""
+        whose = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
+        share = np.bincount(whose, self.symbols.log_share[flat], len(begins) - 1)
+        return self.symbols.of_words(flat, begins), share.astype(float)
+
     def log_base(self, n: np.ndarray) -> np.ndarray:
         return np.log10((n + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
 
@@ -528,8 +604,8 @@ class Scorer:
         base = np.bincount(at, self.log_base(n), len(texts)) + self.log_base(np.array(self.texts))
         other = np.flatnonzero(~listed)
         new = {w: i for i, w in enumerate(dict.fromkeys(words[i] for i in other))}
-        flat, begins = _rows_of([self.ids_of(w) for w in new])
-        number[other] = [len(self.begins) - 1 + new[words[i]] for i in other]
+        held, share = self._of_words(*self.ids_of.rows(list(new)))
+        number[other] = [len(self.n) + new[words[i]] for i in other]
         rare: list[list[str]] = [[] for _ in texts]
         for i in other.tolist():
             rare[owner[i]].append(words[i].decode("utf-8", "replace"))
@@ -537,23 +613,21 @@ class Scorer:
             "n_tokens": sizes + 1,
             "known": known.astype(np.int64),
             "base": base,
-            "score": self._scores(number, owner, len(texts), flat, begins),
+            "score": self._scores(number, sizes, self.held + held, np.concatenate([self.share, share])),
             "rare": rare,
         }
 
-    def _scores(self, number, owner, n_texts, more, more_begins) -> np.ndarray:
-        """log10 probabilities of the texts whose words have these numbers."""
-        ids = np.concatenate([self.flat, more])
-        begins = np.concatenate([self.begins[:-1], len(self.flat) + more_begins])
-        size = begins[number + 1] - begins[number]
-        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        ids = ids[np.repeat(begins[number], size) + place]
-        whose = np.repeat(owner, size)
-        ends = np.bincount(whose, minlength=n_texts).cumsum()
-        row_begins = np.concatenate([[0], ends + np.arange(1, n_texts + 1)])
-        symbols = np.insert(self.symbols.of[ids], ends, END)
+    def _scores(self, number, sizes, held, share) -> np.ndarray:
+        """log10 probabilities of texts of so many words, that have these numbers, symbols and shares."""
+        n_texts = len(sizes)
+        parts = [held[i] for i in number.tolist()]
+        end, ends = np.array([END], "<i2").tobytes(), np.cumsum(sizes)
+        rows = [b"".join(parts[b - n : b]) + end for b, n in zip(ends.tolist(), sizes.tolist())]
+        row_begins = np.cumsum([0, *map(len, rows)]) // 2
+        symbols = np.frombuffer(b"".join(rows), "<i2").astype(np.int32)
         # Of nothing, bincount gives integers.
-        total = np.bincount(whose, self.symbols.log_share[ids], n_texts).astype(float)
+        owner = np.repeat(np.arange(n_texts), sizes)
+        total = np.bincount(owner, share[number], n_texts).astype(float)
         for a in range(0, n_texts, 64):  # texts at a time, so that windows take little room
             b = min(a + 64, n_texts)
             total[a:b] += self._windows(symbols, row_begins[a : b + 1])
@@ -585,6 +659,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = spark.sparkContext.broadcast(parts)
 
     def make():
+        keep_freed_memory()
         scorer = Scorer(*shared.value)
 
         def work(c):

@@ -279,6 +279,15 @@ def test_nothing_to_learn_from(spark):
     assert attention.score(empty, attention.fit(empty, F.lit(True), SUBWORDS)).collect() == []
 
 
+def test_words_are_encoded_together_as_alone():
+    ids_of = SUBWORDS()
+    words = attention.words_of("The 12345 don't !!! \x85 a\u3000b c\x1cd \ud800z 'S \u2028 z\xdcrich. " + "x" * 1500)
+    flat, begins = ids_of.rows(words * 3)
+    assert [flat[a:b].tolist() for a, b in zip(begins, begins[1:])] == [ids_of(w) for w in words * 3]
+    flat, begins = ids_of.rows([])
+    assert (len(flat), begins.tolist()) == (0, [0])
+
+
 def test_weights_are_fitted_on_every_training_text(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(attention, "LEAST_TOKENS", 1_000)
     monkeypatch.setattr(attention, "SHARD_TOKENS", 20_000)
