@@ -30,6 +30,7 @@ from riskweave.operators.metrics import (
     with_class_weights,
 )
 from riskweave.operators.splits import random_split, stratified_split
+from riskweave.plans.forest import fit_forest
 from riskweave.schemas import (
     CATEGORY_FEATURES,
     MIN_PRECISION,
@@ -170,9 +171,18 @@ def train_forest(
     if plan.balanced:
         train = with_class_weights(train, label)
     indexer = None if plan.hashed else category_indexer().fit(train)
+    stages = forest_stages(plan, indexer, label)
+    if plan.hashed or plan.one_hot:
+        *before, forest = stages.getStages()
+        features = Pipeline(stages=before).fit(train)
+        weight = "class_weight" if plan.balanced else None
+        fitted = fit_forest(
+            features.transform(train), forest, plan.numeric, len(CATEGORY_FEATURES), weight
+        )
+        return PipelineModel([*features.stages, fitted])
     # A copy has no training summary. That one holds the session, which no task can be sent once
     # it has observed a write.
-    return forest_stages(plan, indexer, label).fit(train).copy()
+    return stages.fit(train).copy()
 
 
 def score(df: DataFrame, model: Transformer) -> DataFrame:
