@@ -6,13 +6,14 @@ from dataclasses import replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.catalog.registry import query, rounded
 from riskweave.operators import metrics, splits
 from riskweave.plans import model as models
 from riskweave.plans.views import scored, txn
-from riskweave.session import scratch
+from riskweave.session import scratch, written
 from riskweave.sinks.tables import write_metrics as write_metrics_json
 
 SPLIT_SQL = """(
@@ -49,6 +50,12 @@ def stand_in_model(scale: float) -> PipelineModel:
     )
 
 
+def scored_once(rows: DataFrame, forest: PipelineModel) -> DataFrame:
+    """The test side's labels and scores, written, as several aggregates read them."""
+    test = models.score(rows.filter("split = 'test'"), forest)
+    return written(test.select("is_fraud", "fraud_probability"), "predictions")
+
+
 @query(f"select {PRECISION_SQL} from scored")
 def precision_recall(spark, sf_dir):
     return rounded(
@@ -238,7 +245,7 @@ def train_forest(spark, sf_dir):
     rows = models.training_rows(scored(spark, sf_dir), models.BEHAVIOUR_FOREST, "is_fraud")
     forest = models.train_forest(rows)
     trees = forest.stages[-1].trees
-    test = models.score(rows.filter("split = 'test'"), forest)
+    test = scored_once(rows, forest)
     return models.side_by_side(
         metrics.split_counts(rows).select("n_train", "n_test"),
         test.agg(
@@ -267,7 +274,7 @@ def train_hashed_forest(spark, sf_dir):
     rows = models.training_rows(rows, plan, "is_fraud")
     forest = models.train_forest(rows, plan)
     trees = forest.stages[-1].trees
-    test = models.score(rows.filter("split = 'test'"), forest)
+    test = scored_once(rows, forest)
     return models.side_by_side(
         metrics.split_counts(rows).select("n_train", "n_test"),
         test.agg(

@@ -125,8 +125,8 @@ def forest_stages(
         maxDepth=plan.depth,
         maxBins=bins,
         seed=seed,
-        # Where a row stands in each tree is kept, not looked for from the root at each level.
-        # Hashed rows are wide; they need the memory themselves.
+        # Where the library grows the trees, a row's place in each is kept, not looked for from the
+        # root at each level.
         cacheNodeIds=not plan.hashed,
     )
     if plan.balanced:
@@ -165,7 +165,8 @@ def train_forest(
     rows: DataFrame, plan: ForestPlan = BEHAVIOUR_FOREST, label: str | None = None
 ) -> PipelineModel:
     """A fitted model from the training side of `training_rows`; the vocabularies are
-    learnt from that side only."""
+    learnt from that side only. Forests over 0/1 columns are grown by `fit_forest`, those over
+    indexed categories by the library."""
     label = label or plan.label
     train = rows.filter("split = 'train'")
     if plan.balanced:
