@@ -36,6 +36,7 @@ from riskweave.session import scratch, written
 PORTION_ROWS = 65_536
 GRID = 4_096  # quantiles that bins are made from
 LARGEST_TABLE = 1 << 22  # entries of the places of columns by node, else they are searched
+MOST_AT_ONCE = 64  # tasks whose counts of a tree are added up in one step
 NEVER = 255  # no bin is above
 _UNIFORM = (np.arange(1 << 16) + 0.5) / (1 << 16)
 _TAKEN = 1 - math.exp(-1)  # share of rows that are drawn at all
@@ -80,6 +81,8 @@ def cuts(values: np.ndarray, bins: int) -> np.ndarray:
 
 def all_cuts(rows: DataFrame, numeric: tuple[str, ...], bins: int) -> list[np.ndarray]:
     """Of each number, from quantiles of all rows."""
+    if not numeric:
+        return []
     grid = [i / GRID for i in range(GRID + 1)]
     numbers = rows.select(*[F.col(c).cast("double").alias(c) for c in numeric])
     return [cuts(np.array(q), bins) for q in numbers.approxQuantile(list(numeric), grid, 0.5 / GRID)]
@@ -350,18 +353,18 @@ def _level(chunks, trees: Trees, growing, drew, level, numbers, encoded, bins, c
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [(*tree, Layout(tree[-1], encoded, bins, classes)) for tree in shared.value]
-        sums = None
+        sums, part = None, TaskContext.get().partitionId() % groups
         for batch in batches:
             for row in batch.to_pylist():
                 n = row["n"]
-                of_bins = np.frombuffer(row["bins"], np.uint8).reshape(n, -1)
-                columns = np.frombuffer(row["held"], kind).reshape(n, -1)
+                of_bins = np.frombuffer(row["bins"], np.uint8).reshape(n, words * 4)
+                set_columns = np.frombuffer(row["held"], kind).reshape(n, -1)
                 labels = np.frombuffer(row["classes"], np.int32).astype(np.int64)
                 portion = (
                     row["portion"],
                     list(np.ascontiguousarray(of_bins.view(np.uint32).T)) if words else [],
                     [of_bins[:, j] * np.int64(classes) + labels for j in range(numbers)],
-                    list(np.ascontiguousarray(columns.T)),
+                    list(np.ascontiguousarray(set_columns.T)),
                     labels,
                 )
                 sums = sums or [0] * len(held)
@@ -369,18 +372,31 @@ def _level(chunks, trees: Trees, growing, drew, level, numbers, encoded, bins, c
                     tree = t, seed, above, column, grows
                     sums[i] = sums[i] + count_level(portion, tree, level, layout, classes, encoded)
         for (t, *_), found in zip(held, sums or []):
-            yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([found.tobytes()])], ["tree", "counts"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([t], pa.int32()), pa.array([part], pa.int32()), pa.array([found.tobytes()])],
+                ["tree", "part", "counts"],
+            )
+
+    def added(table: pa.Table) -> np.ndarray:
+        return np.sum([np.frombuffer(b) for b in table.column("counts").to_pylist()], axis=0)
+
+    def add(table: pa.Table) -> pa.Table:
+        return table.slice(0, 1).set_column(2, "counts", pa.array([added(table).tobytes()]))
 
     def split(key: tuple, table: pa.Table) -> pa.Table:
         t = key[0].as_py()
         chosen = next(x[-1] for x in shared.value if x[0] == t)
-        counts = np.sum([np.frombuffer(b) for b in table.column("counts").to_pylist()], axis=0)
-        found = best_splits(counts, Layout(chosen, encoded, bins, classes), chosen, class_weights)
+        found = best_splits(added(table), Layout(chosen, encoded, bins, classes), chosen, class_weights)
         return pa.table([pa.array([t], pa.int32()), *[[np.ravel(x).astype(float).tobytes()] for x in found]], names)
 
+    tasks = chunks.rdd.getNumPartitions()
+    groups = math.isqrt(tasks) if tasks > MOST_AT_ONCE else 1
+    columns = "tree int, part int, counts binary"
     names = ["tree", "total", "best", "last", "gain", "left"]
     schema = "tree int, " + ", ".join(f"{n} binary" for n in names[1:])
-    counted = chunks.mapInArrow(count, "tree int, counts binary")
+    counted = chunks.mapInArrow(count, columns)
+    if groups > 1:
+        counted = counted.groupBy("tree", "part").applyInArrow(add, columns)
     rows = counted.groupBy("tree").applyInArrow(split, schema).collect()
     shared.unpersist()
     for r in rows:

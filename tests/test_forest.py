@@ -120,3 +120,11 @@ def test_a_forest_of_no_rows_or_weights_within_a_class_is_refused(rows):
         forests.fit_forest(rows.filter("a < 0"), forest, ("a", "b"), 2)
     with pytest.raises(ValueError):
         forests.fit_forest(rows.withColumn("weight", F.col("a")), forest, ("a", "b"), 2, "weight")
+
+
+def test_counts_of_many_tasks_are_added_up_in_steps(rows, monkeypatch):
+    forest = RandomForestClassifier(labelCol="y", weightCol="weight", numTrees=3, maxDepth=3, seed=3)
+    want = forests.fit_forest(rows, forest, ("a", "b"), 2, "weight")
+    monkeypatch.setattr(forests, "MOST_AT_ONCE", 0)
+    monkeypatch.setattr(forests.math, "isqrt", lambda n: 2)
+    assert said(forests.fit_forest(rows, forest, ("a", "b"), 2, "weight")) == said(want)
