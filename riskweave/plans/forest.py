@@ -308,7 +308,7 @@ def grow(
     growing = {t: np.array([1]) for t in range(trees)}
     for level in range(max(depth, 1)):
         drew = {
-            t: _drawn_columns(columns, per_node, len(nodes), seed, t, level)
+            t: _drawn_columns(columns, per_node, len(nodes), t, level, seed)
             for t, nodes in growing.items()
         }
         for t, row in _level(chunks, out, growing, drew, level, numbers, encoded, bins, class_weights, (seed,) if bagged else ()):

@@ -50,7 +50,7 @@ def test_one_tree_is_the_library_s(rows):
 
 def test_forest_scores_as_the_library_s(rows, tmp_path):
     settings = RandomForestClassifier(labelCol="y", weightCol="weight", numTrees=40, maxDepth=5, seed=3)
-    want, got = settings.fit(rows), forests.fit_forest(rows, settings, ("a", "b"), 2, "weight")
+    want, got = settings.fit(rows).copy(), forests.fit_forest(rows, settings, ("a", "b"), 2, "weight")
     assert (got.getNumTrees, got.numFeatures, got.numClasses, got.getMaxDepth()) == (40, 8, 2, 5)
     assert len({t.toDebugString.split("\n", 1)[1] for t in got.trees}) > 30
     assert max(abs(want.featureImportances.toArray() - got.featureImportances.toArray())) < 0.08
